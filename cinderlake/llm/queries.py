@@ -6,13 +6,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, language_id, line_dedup, simhash_bk, source_mix
+from . import decontaminate, language_id, license_scan, line_dedup, media_chunks, secret_crf, simhash_bk, source_mix, suffix_dedup, token_counts
+from ._common import shared_folder
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Starts with an empty cache of its own, so every distinct content is encoded."""
+    return token_counts.token_counts(_read(spark, sf_dir, "documents"), f"{shared_folder(spark)}/token_counts")
+
+
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    return secret_crf.scan(docs, secret_crf.train(docs))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents")
     return language_id.identify(docs, language_id.train(docs))
@@ -27,19 +38,37 @@ def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_mix.schedule(_read(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op6_media_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw pages are the payloads: the table's own bytes as fetched."""
+    return media_chunks.chunk_report(_read(spark, sf_dir, "pages"))
+
+
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(_read(spark, sf_dir, "documents"))
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_bk.duplicates(_read(spark, sf_dir, "documents"))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.passages(_read(spark, sf_dir, "documents"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_counts": op1_token_counts,
+    "op2_secret_scan": op2_secret_scan,
     "op3_language_id": op3_language_id,
     "op4_line_dedup": op4_line_dedup,
     "op5_source_mix": op5_source_mix,
+    "op6_media_chunks": op6_media_chunks,
+    "op7_license_scan": op7_license_scan,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_decontamination": op10_decontamination,
 }
 
@@ -58,6 +87,19 @@ ORACLE_SQL: dict[str, str] = {
         FROM documents d LEFT JOIN (
             SELECT doc_id, string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone) AS text, count(*) FILTER (gone) AS lines_removed
             FROM marked GROUP BY doc_id) m USING (doc_id)""",
+    "op9_suffix_dedup": f"""
+        WITH docs AS (
+            SELECT doc_id, string_split(trim(regexp_replace(lower(text), '[^0-9a-z\\x{{80}}-\\x{{10FFFF}}]+', ' ', 'g')), ' ') AS words
+            FROM documents WHERE text IS NOT NULL),
+        places AS (
+            SELECT doc_id, i, md5(array_to_string(words[i + 1 : i + {suffix_dedup.PASSAGE}], ' ')) AS passage
+            FROM (SELECT doc_id, words, unnest(range(0, len(words) - {suffix_dedup.PASSAGE} + 1)) AS i FROM docs WHERE len(words) >= {suffix_dedup.PASSAGE})),
+        shared AS (SELECT passage, min(doc_id) AS kept FROM places GROUP BY passage HAVING min(doc_id) <> max(doc_id)),
+        marked AS (
+            SELECT doc_id, kept, i, i - row_number() OVER (PARTITION BY doc_id, kept ORDER BY i) AS island
+            FROM places JOIN shared USING (passage))
+        SELECT doc_id, min(i) AS first_word, max(i) + {suffix_dedup.PASSAGE} AS end_word, kept AS kept_doc_id, doc_id = kept AS is_kept
+        FROM marked GROUP BY doc_id, kept, island""",
     "op10_decontamination": f"""
         WITH clean AS (
             SELECT item_id, trim(regexp_replace(lower(text), '[^0-9a-z\\x{{80}}-\\x{{10FFFF}}]+', ' ', 'g')) AS text FROM benchmark),
