@@ -9,7 +9,7 @@ test are not hashed. Retrieved templates are verified on the words themselves: `
 One pass over the texts, no shuffle; the templates are a fixed table and go with the tasks.
 
 Results for edge cases: NULL, empty and wordless texts match nothing. NULL ids, repeated ids and repeated rows are scanned each for itself. Among equally good windows the
-first counts. Templates without words are refused; one shorter than a shingle is one shingle. An empty table gives an empty result. Further
+first counts. Templates of fewer words than a shingle are refused. An empty table gives an empty result. Further
 columns are ignored.
 """
 
@@ -87,8 +87,8 @@ class Scanner:
         sized = []
         for name, text in templates.items():
             words = _words(text)[1]
-            if not len(words.begins):
-                raise ValueError(f"template {name} has no words")
+            if len(words.begins) < SHINGLE:
+                raise ValueError(f"template {name} has fewer than {SHINGLE} words")
             sized.append((len(words.begins), name, np.unique(shingle_hashes(words.hashes)), _grams(words.folded.tobytes(), words, 0, len(words.begins))))
         self.classes, rest = [], sorted(sized, key=lambda x: (x[0], x[1]))
         while rest:
@@ -110,9 +110,6 @@ class Scanner:
         hashed = mix(sum(padded[k : k + size] * _STEPS[k] for k in range(SHINGLE)))
         doc = np.repeat(np.arange(block.size), count)
         whole = np.arange(size) <= words.offsets[1:][doc] - SHINGLE  # shingles that end within their document
-        for d in np.flatnonzero((count > 0) & (count < SHINGLE)):
-            low, high = words.offsets[d], words.offsets[d + 1]
-            hashed[low], whole[low] = shingle_hashes(words.hashes[low:high])[0], True
         hits = np.flatnonzero(whole & self._maybe[(hashed >> np.uint64(48)).astype(np.int64)])
         hits = hits[np.isin(hashed[hits], self.known)]
         if not len(hits):

@@ -47,9 +47,12 @@ def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     return clear.unionAll(exact)
 
 
-def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, id_column: str = "doc_id", text_column: str = "text", site_column: str = "source", removed: str | None = None, lines: DataFrame | None = None) -> DataFrame:
-    """The documents with boilerplate lines taken out of their texts, and their number in the column ``removed`` if named."""
-    lines = materialise(line_table(docs, id_column, text_column, site_column)) if lines is None else lines
+def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, id_column: str = "doc_id", text_column: str = "text", site_column: str = "source", removed: str | None = None, drop_emptied: bool = False) -> DataFrame:
+    """The documents with boilerplate lines taken out of their texts, and their number in the column ``removed`` if named.
+
+    With ``drop_emptied`` the documents go of which only blank lines are left.
+    """
+    lines = materialise(line_table(docs, id_column, text_column, site_column))
     hits = materialise(lines.join(boilerplate(lines, min_sites), "line", "left_semi").select("line", "id").distinct())
     keeper = hits.groupBy("line").agg(F.min("id").alias("keeper"))
     gone = hits.join(keeper, "line").where(~F.col("id").eqNullSafe(F.col("keeper"))).groupBy("id").agg(F.collect_set("line").alias("gone"))
@@ -62,7 +65,9 @@ def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, id_column: s
     parts = F.split(F.col(own_text), "\n")
     rest = F.filter(parts, stays)
     text = F.when(F.col("__gone").isNull() | F.col(own_text).isNull(), F.col(own_text)).otherwise(F.array_join(rest, "\n"))
-    out = [text.alias(c) if c == text_column else F.col(a).alias(c) for c, a in clash.items()]
+    out = [text.alias(f"__n{i}") if c == text_column else F.col(a) for i, (c, a) in enumerate(clash.items())]
     if removed:
-        out.append(F.when(F.col("__gone").isNull() | F.col(own_text).isNull(), F.lit(0)).otherwise(F.size(parts) - F.size(rest)).cast("bigint").alias(removed))
-    return joined.select(out)
+        out.append(F.when(F.col("__gone").isNull() | F.col(own_text).isNull(), F.lit(0)).otherwise(F.size(parts) - F.size(rest)).cast("bigint").alias("__removed"))
+    if drop_emptied:
+        joined = joined.where(F.col("__gone").isNull() | F.col(own_text).isNull() | F.exists(rest, lambda x: trimmed(x) != ""))
+    return joined.select(out).toDF(*docs.columns, *([removed] if removed else []))

@@ -154,9 +154,9 @@ def mix(docs: DataFrame, weights: dict[str, int] | None = None, default_weight:
     own_id, own_source = F.col(clash[id_column]), F.col(clash[source_column]).cast("string")
     joined = plain.join(lists, own_id.eqNullSafe(F.col("__id")) & own_source.eqNullSafe(F.col("__s")))
     at = F.row_number().over(same.orderBy(*[F.col(a) for c, a in clash.items()])) if repeated else F.lit(1)
-    placed = joined.withColumn("__at", at).select([F.col(a).alias(c) for c, a in clash.items()] + [F.element_at("__places", F.col("__at")).alias(position)])
+    placed = joined.withColumn("__at", at).select([*clash.values(), F.element_at("__places", F.col("__at")).alias("__position")])
     rows = places.count()
     spark: SparkSession = docs.sparkSession
     parts = max(1, min(rows, int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    target = F.floor(F.col(position) * parts / max(rows, 1)).cast("int")
-    return placed.repartitionById(parts, target).sortWithinPartitions(position)
+    target = F.floor(F.col("__position") * parts / max(rows, 1)).cast("int")
+    return placed.repartitionById(parts, target).sortWithinPartitions("__position").toDF(*docs.columns, position)

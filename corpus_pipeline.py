@@ -20,8 +20,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Take cross-site boilerplate lines out of the texts (operator 4); documents of which nothing is left go."""
-    out = line_dedup.remove_boilerplate(docs, removed="__removed")
-    left = out.where((F.col("__removed") == 0) | (F.trim(F.col("text"), F.lit(" \t\r\n")) != "")).drop("__removed")
+    left = line_dedup.remove_boilerplate(docs, drop_emptied=True)
     return left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else left
 
 
