@@ -1,4 +1,8 @@
-"""Registered queries over the test tables, and their SQL."""
+"""Registered queries: every operator of the engine over the test tables, and the same in SQL.
+
+The tables hold no fires, so each operator is applied to rows of the same shape: order lines for versions of a feature, events
+for observations, parts for boxes. All queries run over whole tables.
+"""
 
 from __future__ import annotations
 
@@ -8,22 +12,417 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from ..functions import scalars as S
+from ..operators import changes, entities, versions
+from ..sources.scratch import materialise
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE_SQL: dict[str, str] = {}
+
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def query(sql: str | None = None):
+    def register(function):
+        QUERIES[function.__name__] = function
+        if sql is not None:
+            ORACLE_SQL[function.__name__] = sql
+        return function
+
+    return register
+
+
+# ---- change capture
+
+
+@query("""
+    SELECT l_orderkey, l_shipdate, l_linenumber, l_partkey, l_suppkey, l_quantity FROM lineitem
+    QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate DESC, l_linenumber DESC, l_partkey DESC, l_suppkey DESC) = 1""")
 def latest_version_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     order = [F.col(c).desc() for c in ("l_shipdate", "l_linenumber", "l_partkey", "l_suppkey")]
     rows = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_shipdate", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
-    ranked = rows.withColumn("rank", F.row_number().over(W.partitionBy("l_orderkey").orderBy(*order)))
-    return ranked.where("rank = 1").drop("rank")
+    return changes.latest_per_key(rows, ["l_orderkey"], order)
+
+
+@query("SELECT event_id, ts FROM events WHERE ts >= (SELECT max(ts) - INTERVAL 5 MINUTE FROM events)")
+def incremental_cutoff_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = read(spark, sf_dir, "events")
+    return changes.incremental_scan(events, events, "ts").select("event_id", "ts")
+
+
+@query("""
+    SELECT o_orderkey, o_orderstatus, o_totalprice FROM (
+        SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN 'X' WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_orderstatus END AS o_orderstatus, o_totalprice FROM orders) n
+    WHERE NOT EXISTS (
+        SELECT 1 FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_orderstatus END AS o_orderstatus, o_totalprice FROM orders) s
+        WHERE s.o_orderkey = n.o_orderkey AND s.o_orderstatus IS NOT DISTINCT FROM n.o_orderstatus AND s.o_totalprice IS NOT DISTINCT FROM n.o_totalprice)""")
+def changed_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    stored = orders.withColumn("o_orderstatus", F.when(F.col("o_orderkey") % 5 != 0, F.col("o_orderstatus")))
+    new = orders.withColumn("o_orderstatus", F.when(F.col("o_orderkey") % 7 == 0, "X").when(F.col("o_orderkey") % 5 != 0, F.col("o_orderstatus")))
+    return changes.changed_rows(new, stored, "o_orderkey")
+
+
+_SNAPSHOT = "CASE WHEN page_id % 10 = 0 THEN 'sources/notes.txt' ELSE 'sources/feed/' || lpad(CAST(page_id AS VARCHAR), 6, '0') || ',lastEdit=' || CAST(page_id % 13 * 1000 AS VARCHAR) || ',x.gpkg' END"
+
+
+@query(f"""
+    SELECT page_id, CASE WHEN page_id % 10 <> 0 THEN page_id ELSE -1 END AS serial, CASE WHEN page_id % 10 <> 0 THEN 'lastEdit=' || CAST(page_id % 13 * 1000 AS VARCHAR) || ',x' END AS watermark,
+        (SELECT max(page_id) FROM pages WHERE page_id % 10 <> 0 AND page_id % 13 = 4) AS next_serial
+    FROM pages WHERE {_SNAPSHOT} IS NOT NULL""")
+def snapshot_serials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = F.when(F.col("page_id") % 10 == 0, "sources/notes.txt").otherwise(F.concat(F.lit("sources/feed/"), F.lpad(F.col("page_id").cast("string"), 6, "0"), F.lit(",lastEdit="), (F.col("page_id") % 13 * 1000).cast("string"), F.lit(",x.gpkg")))
+    parsed = read(spark, sf_dir, "pages").select("page_id", S.snapshot_parts(path).alias("parts")).select("page_id", "parts.serial", "parts.watermark")
+    following = changes.next_serial(parsed, "lastEdit=4000,x").withColumnRenamed("serial", "next_serial")
+    return parsed.withColumn("serial", F.coalesce("serial", F.lit(-1))).crossJoin(F.broadcast(following))  # one row
+
+
+# ---- scalar rules
+
+
+@query(r"""
+    SELECT p_partkey, regexp_replace(regexp_replace(regexp_replace(lower(p_brand || ' -_' || p_name || '  /' || p_type), '[-_/]+', ' ', 'g'), '\s+', ' ', 'g'), '^ | $', '', 'g') AS name,
+        lower(p_brand) AS identifier, CASE WHEN p_partkey % 3 <> 0 THEN p_type END AS label
+    FROM part""")
+def normalize_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = read(spark, sf_dir, "part")
+    raw = F.concat(F.col("p_brand"), F.lit(" -_"), F.col("p_name"), F.lit("  /"), F.col("p_type"))
+    wrapped = F.concat(F.lit(" {"), F.col("p_brand"), F.lit("}\t"))
+    label = F.when(F.col("p_partkey") % 3 == 0, F.lit(" \t ")).otherwise(F.concat(F.lit("\n "), F.col("p_type"), F.lit(" ")))
+    return part.select("p_partkey", S.fire_name(raw).alias("name"), S.identifier(wrapped).alias("identifier"), S.text(label).alias("label"))
+
+
+@query("""
+    SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'ACTIVE' WHEN 'O' THEN 'INACTIVE' END AS status, o_orderstatus = 'F' AS is_child,
+        CASE o_orderstatus WHEN 'F' THEN 'Active Fires' ELSE 'Inactive Fires' END AS folder
+    FROM orders""")
+def decode_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    code = F.when(F.col("o_orderstatus") == "F", F.lit(" Active ")).when(F.col("o_orderstatus") == "O", F.lit("0")).otherwise(F.lit("  "))
+    child = F.when(F.col("o_orderstatus") == "F", F.lit("YES")).when(F.col("o_orderstatus") == "O", F.lit("false"))
+    rows = read(spark, sf_dir, "orders").select("o_orderkey", S.status(code).alias("status"), S.flag(child).alias("is_child"))
+    return rows.withColumn("folder", S.status_folder(F.col("status")))
+
+
+@query("""
+    SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN '2024-cabdf-' || lpad(CAST(o_orderkey AS VARCHAR), 6, '0')
+        WHEN o_orderkey % 3 = 1 THEN substr(md5(CAST(o_custkey AS VARCHAR)), 1, 8) || '-' || substr(md5(CAST(o_custkey AS VARCHAR)), 9, 4) || '-' || substr(md5(CAST(o_custkey AS VARCHAR)), 13, 4) || '-' || substr(md5(CAST(o_custkey AS VARCHAR)), 17, 4) || '-' || substr(md5(CAST(o_custkey AS VARCHAR)), 21, 12)
+        ELSE least('a' || CAST(o_orderkey AS VARCHAR), 'b' || CAST(o_custkey AS VARCHAR)) END AS canonical
+    FROM orders""")
+def identifier_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    digest = F.md5(F.col("o_custkey").cast("string"))
+    guid = F.concat_ws("-", *(F.substring(digest, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))))
+    unique = F.concat(F.lit("2024-cabdf-"), F.lpad(F.col("o_orderkey").cast("string"), 6, "0"))
+    plain = F.array(F.concat(F.lit("a"), F.col("o_orderkey").cast("string")), F.concat(F.lit("b"), F.col("o_custkey").cast("string")))
+    kind = F.col("o_orderkey") % 3
+    ids = F.when(kind == 0, F.concat(plain, F.array(guid, unique))).when(kind == 1, F.concat(plain, F.array(guid))).otherwise(plain)
+    return read(spark, sf_dir, "orders").select("o_orderkey", S.canonical_identifier(ids).alias("canonical"))
+
+
+@query("""
+    WITH codes AS (SELECT p_partkey, lower(regexp_replace(p_name, '[^A-Za-z]+', ' ', 'g')) AS words FROM part)
+    SELECT p_partkey, trim(words) || CASE WHEN p_partkey % 4 = 1 THEN ' update final' ELSE '' END AS name, trim(words) AS base_name FROM codes""")
+def mission_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = F.trim(F.regexp_replace("p_name", "[^A-Za-z]+", " "))
+    kind = F.col("p_partkey") % 4
+    code = F.when(kind == 0, F.concat(F.lit("CA-BDF-"), words, F.lit("-n12b"))).when(kind == 1, F.concat(F.lit(" nv-abc1-"), words, F.lit("-Update_FINAL"))).when(kind == 2, F.concat(words, F.lit("-07A"))).otherwise(words)
+    return read(spark, sf_dir, "part").select("p_partkey", S.mission(code).alias("m")).select("p_partkey", "m.name", "m.base_name")
+
+
+@query("""
+    SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_shipdate, coalesce(CASE WHEN l_tax - 0.04 > 0 THEN l_tax END, CASE WHEN l_discount > 0 THEN l_discount END, CASE WHEN l_quantity > 0 THEN l_quantity END) AS size,
+        CASE WHEN l_returnflag = 'R' THEN NULL ELSE l_quantity END AS present
+    FROM lineitem""")
+def coalesce_positive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    size = S.first_positive(F.when(F.col("l_tax") - 0.04 > 0, F.col("l_tax")), F.col("l_discount"), F.col("l_quantity"))
+    present = S.first_present_number(F.when(F.col("l_returnflag") == "R", F.lit("unknown")), F.col("l_quantity"))
+    return read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate", size.alias("size"), present.alias("present"))
+
+
+@query("""
+    SELECT event_id, CAST(ts AS DATE) AS day, strftime(ts, '%m/%d %H:%M') AS label, CAST(floor(epoch(utc)) AS BIGINT) AS modified
+    FROM (SELECT event_id, timezone('America/Los_Angeles', timezone('UTC', ts)) AS ts, ts AS utc FROM events) x, (SELECT 0) WHERE utc IS NOT NULL""")
+def local_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    time = F.col("ts").cast("timestamp")
+    millis = F.unix_millis(time).cast("string")
+    return read(spark, sf_dir, "events").select("event_id", S.local_date(time).alias("day"), S.time_label(time).alias("label"), F.unix_seconds(S.modified_time(millis)).alias("modified"))
+
+
+@query("""
+    SELECT p_partkey, printf('%02x', CAST(floor(p_size * 255 / 100) AS INTEGER)) || '563412' AS color FROM part""")
+def style_colors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "part").select("p_partkey", S.kml_color(F.lit("#123456"), F.col("p_size")).alias("color"))
+
+
+@query("""SELECT event_id, json_extract_string(props, '$.k') AS k, props IS NOT NULL AS present FROM events""")
+def json_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "events").select("event_id", F.get_json_object("props", "$.k").alias("k"), F.col("props").isNotNull().alias("present"))
+
+
+# ---- entity resolution
+
+_SPELLED = "CASE p_partkey % 4 WHEN 0 THEN upper(p_type) WHEN 1 THEN lower(p_type) ELSE substr(p_type, 1, 1) || lower(substr(p_type, 2)) END"
+
+
+@query(f"""
+    WITH spelled AS (SELECT p_brand, p_partkey, {_SPELLED} AS name FROM part),
+    counted AS (SELECT p_brand, name, lower(name) <> name AND upper(name) <> name AS mixed, count(*) AS n, min(p_partkey) AS first FROM spelled GROUP BY p_brand, name)
+    SELECT p_brand, name FROM counted QUALIFY row_number() OVER (PARTITION BY p_brand ORDER BY mixed DESC, n DESC, first) = 1""")
+def preferred_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kind = F.col("p_partkey") % 4
+    spelled = F.when(kind == 0, F.upper("p_type")).when(kind == 1, F.lower("p_type")).otherwise(F.concat(F.substring("p_type", 1, 1), F.lower(F.substring("p_type", 2, 1000))))
+    return entities.preferred_names(read(spark, sf_dir, "part").select("p_brand", "p_partkey", spelled.alias("name")), "p_brand", "name", "p_partkey")
+
+
+@query("""
+    WITH RECURSIVE edges AS (
+        SELECT l_partkey AS a, -l_suppkey AS b FROM lineitem WHERE l_quantity = 50 AND l_linenumber = 1
+        UNION SELECT -l_suppkey, l_partkey FROM lineitem WHERE l_quantity = 50 AND l_linenumber = 1),
+    reach AS (SELECT a AS node, a AS other FROM edges UNION SELECT r.node, e.b FROM reach r JOIN edges e ON r.other = e.a)
+    SELECT node, min(other) AS component FROM reach GROUP BY node""")
+def entity_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.components import connected_components
+
+    lines = read(spark, sf_dir, "lineitem").where("l_quantity = 50 AND l_linenumber = 1")
+    return connected_components(lines.select(F.col("l_partkey").alias("a"), (-F.col("l_suppkey")).alias("b")), materialise)
+
+
+@query("""
+    WITH p AS (SELECT c_custkey AS id, c_acctbal AS x, CAST(c_custkey % 100 AS DOUBLE) AS y, c_mktsegment AS g FROM customer)
+    SELECT l.id AS a, r.id AS b FROM p l JOIN p r ON l.g = r.g AND l.id < r.id AND (l.x - r.x) * (l.x - r.x) + (l.y - r.y) * (l.y - r.y) <= 2500""")
+def proximity_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    points = read(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", (F.col("c_custkey") % 100).cast("double").alias("y"), "c_mktsegment")
+    return entities.proximity_pairs(points, 50.0, "c_custkey", "c_acctbal", "y", "c_mktsegment")
+
+
+@query("""
+    SELECT user_id, min(ts) AS first_seen, max(ts) AS last_seen FROM events WHERE event_type = 'click' GROUP BY user_id
+    HAVING count(ts) >= 2 AND max(ts) - min(ts) > INTERVAL 28 DAY""")
+def entity_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return entities.observation_spread(read(spark, sf_dir, "events").where("event_type = 'click'"), "user_id", "ts", 28)
+
+
+@query("""
+    SELECT s_suppkey, n_name AS identifier, r.fire_id FROM supplier JOIN nation ON s_nationkey = n_nationkey
+    JOIN (SELECT n_name AS identifier, min(n_regionkey) AS fire_id FROM nation WHERE n_regionkey <> 2 GROUP BY n_name) r ON n_name = r.identifier""")
+def membership_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nation = read(spark, sf_dir, "nation")
+    memberships = read(spark, sf_dir, "supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", F.col("n_name").alias("identifier"))
+    fires = nation.where("n_regionkey <> 2").select(F.col("n_name").alias("identifier"), F.col("n_regionkey").alias("fire_id"))
+    return entities.complex_members(memberships, fires)[0].select("s_suppkey", "identifier", "fire_id")
+
+
+@query("""
+    SELECT c_custkey AS fire_id, c_name FROM customer WHERE NOT EXISTS (
+        SELECT 1 FROM orders WHERE o_custkey = c_custkey AND CAST(o_orderkey AS VARCHAR) IN (SELECT CAST(l_orderkey AS VARCHAR) FROM lineitem WHERE l_quantity >= 45))""")
+def complex_parents_excluded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fires = read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("fire_id"), "c_name")
+    owned = read(spark, sf_dir, "orders").select(F.col("o_custkey").alias("fire_id"), F.col("o_orderkey").cast("string").alias("identifier"))
+    named = read(spark, sf_dir, "lineitem").where("l_quantity >= 45").select(F.col("l_orderkey").cast("string").alias("identifier"))
+    return entities.without_parents(fires, owned, named)
+
+
+# ---- classification
+
+
+@query("""
+    SELECT user_id, event_type, max(ts) AS ts, arg_max(value, ts) AS value FROM events GROUP BY user_id, event_type""")
+def freshest_per_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    order = F.struct("ts", "event_id")
+    return read(spark, sf_dir, "events").groupBy("user_id", "event_type").agg(F.max("ts").alias("ts"), F.max_by("value", order).alias("value"))
+
+
+@query("""
+    WITH f AS (SELECT user_id, event_type, max(ts) AS ts, arg_max(value, ts) AS value FROM events WHERE event_type IN ('click', 'view') GROUP BY user_id, event_type)
+    SELECT a.user_id, round(b.value / a.value, 6) AS ratio, b.value > 1.05 * a.value AS disagrees
+    FROM f a JOIN f b ON a.user_id = b.user_id AND a.event_type = 'click' AND b.event_type = 'view'
+    WHERE abs(epoch(a.ts) - epoch(b.ts)) <= 86400 AND a.value > 0""")
+def extent_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    freshest = read(spark, sf_dir, "events").where(F.col("event_type").isin("click", "view"))
+    pivoted = freshest.groupBy("user_id").agg(*(f(F.when(F.col("event_type") == kind, F.struct("ts", "event_id", "value"))).alias(kind) for kind in ("click", "view") for f in (F.max,)))
+    near = F.abs(F.unix_micros(F.col("click.ts").cast("timestamp")) - F.unix_micros(F.col("view.ts").cast("timestamp"))) <= 86_400_000_000
+    fit = pivoted.where(F.col("click").isNotNull() & F.col("view").isNotNull() & near & (F.col("click.value") > 0))
+    return fit.select("user_id", F.round(F.col("view.value") / F.col("click.value"), 6).alias("ratio"), (F.col("view.value") > 1.05 * F.col("click.value")).alias("disagrees"))
+
+
+_CLASSES = """CASE WHEN inside > 0 AND (size - inside > 0.01 * size OR size - inside > 500) THEN 'CROSSES_CALIFORNIA_BORDER'
+    WHEN inside >= 0.5 * size THEN CASE WHEN gap <= 10 THEN 'INSIDE_CALIFORNIA_NEAR_BORDER' ELSE 'INSIDE_CALIFORNIA' END
+    WHEN gap <= 10 THEN 'OUTSIDE_CALIFORNIA_NEAR_BORDER' ELSE 'OUTSIDE_CALIFORNIA' END"""
+
+
+@query(f"""
+    WITH b AS (SELECT p_partkey, p_retailprice / 10 AS x, CAST(p_size AS DOUBLE) AS side FROM part),
+    m AS (SELECT p_partkey, side * side AS size, greatest(0, least(x + side, 150) - x) * side AS inside,
+        CASE WHEN x <= 150 AND x + side >= 150 THEN 0 ELSE least(abs(150 - x), abs(150 - x - side)) END AS gap FROM b),
+    c AS (SELECT p_partkey, {_CLASSES} AS classification FROM m)
+    SELECT p_partkey, classification, CASE WHEN classification IN ('CROSSES_CALIFORNIA_BORDER', 'OUTSIDE_CALIFORNIA_NEAR_BORDER', 'OUTSIDE_CALIFORNIA') THEN 'WFIGS' ELSE 'FIRIS' END AS preferred FROM c""")
+def border_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Boxes ``side x side`` from ``x`` on, against the half plane west of 150."""
+    x, side = F.col("p_retailprice") / 10, F.col("p_size").cast("double")
+    border = F.lit(150.0)
+    inside = F.greatest(F.lit(0.0), F.least(x + side, border) - x) * side
+    gap = F.when((x <= border) & (x + side >= border), 0.0).otherwise(F.least(F.abs(border - x), F.abs(border - x - side)))
+    measured = read(spark, sf_dir, "part").select("p_partkey", (side * side).alias("size"), inside.alias("inside"), gap.alias("gap"))
+    classified = measured.withColumn("classification", F.expr(_CLASSES))
+    return classified.select("p_partkey", "classification", S.preferred_source(F.col("classification")).alias("preferred"))
+
+
+@query("""
+    SELECT c_nationkey, bool_or(c_custkey % 37 = 0) AS out_of_state FROM customer GROUP BY c_nationkey""")
+def identifier_signal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    units = F.array(F.lit("cabdf"), F.when(F.col("c_custkey") % 37 == 0, F.lit("NVHTF")).otherwise(F.lit("CALMU")), F.lit("xx1"))
+    signal = F.exists(units, S.is_out_of_state)
+    return read(spark, sf_dir, "customer").groupBy("c_nationkey").agg(F.bool_or(signal).alias("out_of_state"))
+
+
+# ---- versions
+
+
+@query("""
+    SELECT event_id, user_id, event_type FROM events
+    QUALIFY lead(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) IS DISTINCT FROM event_type""")
+def collapse_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = read(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts")
+    return versions.last_of_runs(events, ["user_id"], ["ts", "event_id"], "event_type").drop("ts")
+
+
+@query("""
+    WITH m AS (SELECT *, CASE WHEN lag(event_type) OVER w IS NOT DISTINCT FROM event_type THEN 0 ELSE 1 END AS fresh FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+    i AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS island FROM m)
+    SELECT user_id, CAST(island AS BIGINT) AS island, any_value(event_type) AS event_type, min(ts) AS first_time, arg_min(value, ts) AS first_value, arg_max(event_id, ts) AS last_event
+    FROM i GROUP BY user_id, island""")
+def point_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of each run of equal attributes the first row's attributes and the last row's shape."""
+    events = read(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts", "value")
+    order = F.struct("ts", "event_id")
+    grouped = versions.islands(events, ["user_id"], ["ts", "event_id"], ["event_type"]).groupBy("user_id", "island")
+    return grouped.agg(F.min("event_type").alias("event_type"), F.min("ts").alias("first_time"), F.min_by("value", order).alias("first_value"), F.max_by("event_id", order).alias("last_event"))
+
+
+@query()
+def merge_contemporaneous(spark: SparkSession, sf_dir: str) -> DataFrame:
+    source = F.when(F.col("event_id") % 2 == 0, "FIRIS").otherwise("WFIGS")
+    attributes = F.create_map(F.concat(F.lit("k"), (F.col("event_id") % 3).cast("string")), F.col("event_id").cast("string"))
+    rows = read(spark, sf_dir, "events").select("user_id", F.col("event_id").alias("seq"), source.alias("source"), F.col("event_type").alias("shape"), F.col("ts").alias("time"), attributes.alias("attributes"), F.lit("FIRIS").alias("preferred"))
+    merged = versions.merge_identical_observations(rows, "user_id")
+    entries = F.array_sort(F.transform(F.map_entries("attributes"), lambda e: F.concat(e["key"], F.lit("="), e["value"])))
+    return merged.select("user_id", "seq", "source", "shape", "time", F.array_join(entries, ",").alias("attributes"))
+
+
+@query("""
+    WITH RECURSIVE o AS (SELECT user_id, event_id, ts, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events),
+    w AS (
+        SELECT user_id, event_id, n, ts, ts AS opened, 1 AS window_number FROM o WHERE n = 1
+        UNION ALL SELECT o.user_id, o.event_id, o.n, o.ts, CASE WHEN o.ts <= w.opened + INTERVAL 4 HOUR THEN w.opened ELSE o.ts END,
+            CASE WHEN o.ts <= w.opened + INTERVAL 4 HOUR THEN w.window_number ELSE w.window_number + 1 END
+        FROM w JOIN o ON o.user_id = w.user_id AND o.n = w.n + 1),
+    k AS (SELECT *, bool_or(event_id % 2 = 0) OVER p AND bool_or(event_id % 2 = 1) OVER p AS mixed FROM w WINDOW p AS (PARTITION BY user_id, window_number))
+    SELECT user_id, event_id, window_number FROM k WHERE NOT mixed OR event_id % 2 = 0""")
+def anchored_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = read(spark, sf_dir, "events").select("user_id", "event_id", "ts", F.when(F.col("event_id") % 2 == 0, "FIRIS").otherwise("WFIGS").alias("source"))
+    numbered = versions.anchored_windows(events, ["user_id"], "ts", "event_id")
+    return versions.keep_preferred(numbered, ["user_id"], "window_number", "source", F.lit("FIRIS")).select("user_id", "event_id", "window_number")
+
+
+@query("""
+    SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_shipdate FROM lineitem JOIN part ON l_partkey = p_partkey
+    WHERE NOT (l_extendedprice < 0.2 * l_quantity * p_retailprice) AND NOT (l_extendedprice < 0.01 * p_retailprice * 50)""")
+def implausible_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = read(spark, sf_dir, "lineitem").join(read(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    small = (F.col("l_extendedprice") < 0.2 * F.col("l_quantity") * F.col("p_retailprice")) | (F.col("l_extendedprice") < 0.01 * F.col("p_retailprice") * 50)
+    return lines.where(~small).select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate")
+
+
+_LINE_ORDER = ["l_shipdate", "l_linenumber", "l_partkey", "l_suppkey"]
+
+
+@query("""
+    WITH m AS (SELECT *, CASE WHEN row_number() OVER w > 1 AND lag(l_returnflag) OVER w = l_returnflag AND lag(nullif(l_linestatus, 'O')) OVER w IS NOT DISTINCT FROM nullif(l_linestatus, 'O') THEN 0 ELSE 1 END AS fresh
+        FROM lineitem WINDOW w AS (PARTITION BY l_orderkey ORDER BY l_shipdate, l_linenumber, l_partkey, l_suppkey)),
+    i AS (SELECT *, sum(fresh) OVER (PARTITION BY l_orderkey ORDER BY l_shipdate, l_linenumber, l_partkey, l_suppkey ROWS UNBOUNDED PRECEDING) AS island FROM m)
+    SELECT l_orderkey, CAST(island AS BIGINT) AS island, count(*) AS n, sum(l_quantity) AS quantity FROM i GROUP BY l_orderkey, island""")
+def identity_islands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = read(spark, sf_dir, "lineitem").withColumn("state", F.nullif(F.col("l_linestatus"), F.lit("O")))
+    found = versions.islands(lines, ["l_orderkey"], _LINE_ORDER, ["l_returnflag", "state"])
+    return found.groupBy("l_orderkey", "island").agg(F.count("*").alias("n"), F.sum("l_quantity").alias("quantity"))
+
+
+_NESTED = """
+    WITH s AS (SELECT l_orderkey, l_quantity * l_quantity AS area, l_tax, row_number() OVER w AS place, min(l_quantity * l_quantity) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS kept
+        FROM lineitem WINDOW w AS (PARTITION BY l_orderkey ORDER BY l_shipdate, l_linenumber, l_partkey, l_suppkey)),"""
+
+
+@query(_NESTED.rstrip(",") + " SELECT l_orderkey, place, area, kept FROM s")
+def suffix_intersection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Centred squares lie inside each other, so the intersection of a square with all later ones is the least of them."""
+    lines = read(spark, sf_dir, "lineitem").withColumn("area", F.col("l_quantity") * F.col("l_quantity"))
+    place = F.row_number().over(W.partitionBy("l_orderkey").orderBy(*_LINE_ORDER)).cast("bigint")
+    return versions.suffix_minimum(lines, ["l_orderkey"], _LINE_ORDER, "area", "kept").select("l_orderkey", place.alias("place"), "area", "kept")
+
+
+@query(_NESTED + """
+    g AS (SELECT *, max(place) OVER (PARTITION BY l_orderkey) AS last, coalesce(lag(kept) OVER (PARTITION BY l_orderkey ORDER BY place), 0) AS before FROM s),
+    v AS (SELECT l_orderkey, place, kept, coalesce(lead(place) OVER (PARTITION BY l_orderkey ORDER BY place) - 1, last) AS representative FROM g WHERE kept > before),
+    r AS (SELECT v.l_orderkey, v.place, v.kept, v.representative, nullif(s.l_tax, 0) AS tax FROM v JOIN s ON s.l_orderkey = v.l_orderkey AND s.place = v.representative)
+    SELECT l_orderkey, place, representative, kept, round(tax - coalesce(last_value(tax IGNORE NULLS) OVER (PARTITION BY l_orderkey ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0), 6) AS growth FROM r""")
+def growth_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = read(spark, sf_dir, "lineitem").withColumn("area", F.col("l_quantity") * F.col("l_quantity"))
+    kept = versions.suffix_minimum(lines, ["l_orderkey"], _LINE_ORDER, "area", "kept").select("l_orderkey", *_LINE_ORDER, "kept", F.nullif(F.col("l_tax"), F.lit(0.0)).alias("tax"))
+    numbered = kept.withColumn("at", F.row_number().over(W.partitionBy("l_orderkey").orderBy(*_LINE_ORDER)))
+    grown = versions.survivors(kept.drop("tax"), ["l_orderkey"], _LINE_ORDER, "kept")
+    shown = grown.select("l_orderkey", "place", "representative", "kept").join(numbered.select("l_orderkey", F.col("at").alias("representative"), "tax"), ["l_orderkey", "representative"])
+    out = versions.growth(shown, ["l_orderkey"], ["place"], "tax", "growth")
+    return out.select("l_orderkey", F.col("place").cast("bigint").alias("place"), F.col("representative").cast("bigint").alias("representative"), "kept", F.round("growth", 6).alias("growth"))
+
+
+@query("""
+    WITH a AS (SELECT o_custkey, o_totalprice, datediff('day', CAST(o_orderdate AS DATE), max(CAST(o_orderdate AS DATE)) OVER (PARTITION BY o_custkey)) AS age FROM orders)
+    SELECT o_custkey, CASE WHEN age = 0 THEN 0 WHEN age <= 2 THEN 1 WHEN age <= 6 THEN 2 WHEN age <= 14 THEN 3 WHEN age <= 30 THEN 4 WHEN age <= 62 THEN 5 WHEN age <= 126 THEN 6 ELSE 7 END AS band,
+        count(*) AS n, round(sum(o_totalprice), 2) AS total
+    FROM a GROUP BY ALL""")
+def progression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    day = F.to_date("o_orderdate")
+    age = F.datediff(F.max(day).over(W.partitionBy("o_custkey")), day)
+    aged = read(spark, sf_dir, "orders").select("o_custkey", "o_totalprice", S.band_of_age(age).alias("band"))
+    return aged.groupBy("o_custkey", "band").agg(F.count("*").alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+
+
+# ---- reports and documents
+
+
+@query("""
+    SELECT o_custkey, round(sum(o_totalprice), 2) AS total, count(*) AS n FROM orders GROUP BY o_custkey ORDER BY total DESC, o_custkey LIMIT 10""")
+def top_growth_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    totals = read(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.round(F.sum("o_totalprice"), 2).alias("total"), F.count("*").alias("n"))
+    return totals.orderBy(F.desc("total"), "o_custkey").limit(10)
+
+
+@query("""
+    SELECT o_custkey, o_orderkey, o_orderdate, 4 - rank AS draw_order FROM (
+        SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rank FROM orders) WHERE rank <= 3""")
+def latest_three(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rank = F.row_number().over(W.partitionBy("o_custkey").orderBy(F.desc("o_orderdate"), F.desc("o_orderkey"))).cast("bigint")
+    ranked = read(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderdate", rank.alias("rank"))
+    return ranked.where("rank <= 3").select("o_custkey", "o_orderkey", "o_orderdate", (4 - F.col("rank")).alias("draw_order"))
+
+
+@query("""
+    WITH c AS (SELECT o_custkey, o_orderkey, sum(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey ROWS UNBOUNDED PRECEDING) AS total, o_orderdate FROM orders)
+    SELECT o_custkey, min(o_orderdate) AS crossed FROM c WHERE total >= 500000 GROUP BY o_custkey""")
+def threshold_crossing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    running = F.sum("o_totalprice").over(W.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey").rowsBetween(W.unboundedPreceding, 0))
+    return read(spark, sf_dir, "orders").withColumn("total", running).where("total >= 500000").groupBy("o_custkey").agg(F.min("o_orderdate").alias("crossed"))
+
 
+@query("""
+    SELECT c_custkey, c_name, string_agg(CAST(o_orderkey AS VARCHAR) || ':' || o_orderstatus, ', ' ORDER BY o_orderdate, o_orderkey) AS orders, count(o_orderkey) AS n
+    FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY c_custkey, c_name""")
+def fire_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    item = F.struct("o_orderdate", "o_orderkey", "o_orderstatus")
+    lists = read(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.sort_array(F.collect_list(item)).alias("items"))
+    joined = read(spark, sf_dir, "customer").join(lists, F.col("c_custkey") == F.col("o_custkey"), "left")
+    shown = F.array_join(F.transform("items", lambda x: F.concat_ws(":", x["o_orderkey"].cast("string"), x["o_orderstatus"])), ", ")
+    return joined.select("c_custkey", "c_name", shown.alias("orders"), F.coalesce(F.size("items"), F.lit(0)).cast("bigint").alias("n"))
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"latest_version_per_key": latest_version_per_key}
 
-ORACLE_SQL: dict[str, str] = {
-    "latest_version_per_key": """
-        SELECT l_orderkey, l_shipdate, l_linenumber, l_partkey, l_suppkey, l_quantity FROM lineitem
-        QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate DESC, l_linenumber DESC, l_partkey DESC, l_suppkey DESC) = 1""",
-}
