@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ..functions import scalars as S
+from ..functions import spatial
 from ..operators import changes, entities, versions
-from ..sources.scratch import materialise
+from ..sources.scratch import materialise, shared_folder
+from ..streaming import ingest as streams
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -426,3 +428,62 @@ def fire_document(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select("c_custkey", "c_name", shown.alias("orders"), F.coalesce(F.size("items"), F.lit(0)).cast("bigint").alias("n"))
 
 
+# ---- geometry and streams
+
+_BOXES = "SELECT p_partkey, p_size % 7 AS x, p_size % 5 AS y, 1 + p_size % 4 AS side, p_retailprice % 3 AS shift FROM part"
+
+
+def _boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two boxes for each part, the second moved to the right."""
+    part = read(spark, sf_dir, "part").select("p_partkey", "p_brand", *(e.cast("double").alias(n) for n, e in (("x", F.col("p_size") % 7), ("y", F.col("p_size") % 5), ("side", 1 + F.col("p_size") % 4), ("shift", F.floor(F.col("p_retailprice")) % 3))))
+    first = spatial.st_box("x", "y", F.col("x") + F.col("side"), F.col("y") + F.col("side"))
+    second = spatial.st_box(F.col("x") + F.col("shift"), "y", F.col("x") + F.col("shift") + F.col("side"), F.col("y") + F.col("side"))
+    return part.withColumn("a", first).withColumn("b", second)
+
+
+@query(f"""
+    WITH b AS ({_BOXES.replace('p_retailprice % 3', 'CAST(floor(p_retailprice) AS BIGINT) % 3')})
+    SELECT p_partkey, round(CAST(greatest(0, side - shift) * side AS DOUBLE), 6) AS both_area, round(CAST((2 * side - greatest(0, side - shift)) * side AS DOUBLE), 6) AS either_area,
+        round(CAST(least(side, shift) * side AS DOUBLE), 6) AS lost_area, round(CAST(2 * least(side, shift) * side AS DOUBLE), 6) AS changed_area, CAST(greatest(0, shift - side) AS DOUBLE) AS gap
+    FROM b""")
+def overlay_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    area = lambda shape: F.round(F.coalesce(spatial.st_area(shape), F.lit(0.0)), 6)
+    return _boxes(spark, sf_dir).select(
+        "p_partkey", area(spatial.st_intersection("a", "b")).alias("both_area"), area(spatial.st_union("a", "b")).alias("either_area"),
+        area(spatial.st_difference("a", "b")).alias("lost_area"), area(spatial.st_symdifference("a", "b")).alias("changed_area"), spatial.st_distance("a", "b").alias("gap"),
+    )
+
+
+@query()
+def geodesic_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shapes = _boxes(spark, sf_dir).withColumn("shape", spatial.st_box(F.col("x") - 122, F.col("y") + 34, F.col("x") - 121, F.col("y") + 35))
+    albers = spatial.st_area(spatial.st_transform_3310("shape"))
+    return shapes.select("p_partkey", F.round(spatial.st_area_acres("shape"), 3).alias("acres"), F.round(albers, 0).alias("albers_area"), spatial.st_representative_point("shape").alias("point"), F.octet_length(spatial.st_clean("shape")).alias("clean_bytes"))
+
+
+@query()
+def union_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    united = spatial.union_by(_boxes(spark, sf_dir), "p_brand", "a")
+    return united.select("p_brand", F.round(spatial.st_area("a"), 6).alias("area"))
+
+
+@query("""
+    WITH s AS (SELECT l_orderkey, row_number() OVER w AS place, l_quantity / 100 AS side, min(l_quantity / 100) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS kept
+        FROM lineitem WINDOW w AS (PARTITION BY l_orderkey ORDER BY l_shipdate, l_linenumber, l_partkey, l_suppkey)),
+    g AS (SELECT *, coalesce(lag(kept) OVER (PARTITION BY l_orderkey ORDER BY place), 0) AS before FROM s)
+    SELECT l_orderkey, place, round(kept * kept, 6) AS area FROM g WHERE kept > before""")
+def differential_perimeters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    half = F.col("l_quantity") / 200
+    place = F.row_number().over(W.partitionBy("l_orderkey").orderBy(*_LINE_ORDER)).cast("bigint")
+    squares = read(spark, sf_dir, "lineitem").select("l_orderkey", place.alias("place"), spatial.st_box(-half, -half, half, half).alias("shape"))
+    grown = spatial.differential(squares, "l_orderkey", "place", "shape")
+    return grown.select("l_orderkey", "place", F.round(spatial.st_area("shape"), 6).alias("area"))
+
+
+@query("""
+    SELECT user_id, ts, event_id, event_type FROM events
+    QUALIFY lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) IS DISTINCT FROM event_type""")
+def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events, work = read(spark, sf_dir, "events"), shared_folder(spark)
+    table = streams.ingest(spark, sf_dir, events.schema, f"{work}/table", f"{work}/checkpoint", "user_id", ["ts", "event_id"], ["event_type"], "events.parquet")
+    return table.drop("serial")
