@@ -45,15 +45,15 @@ def fire_groups(rows: DataFrame, edges: DataFrame, materialise: Callable[[DataFr
 
 def preferred_names(rows: DataFrame, key: str, name: str, seq: str) -> DataFrame:
     """``key, name``: each key's most common mixed-case spelling, else its most common one; ties go to the first seen."""
-    counted = rows.where(F.col(name).isNotNull()).groupBy(key, name).agg(F.count("*").alias("n"), F.min(seq).alias("first"))
-    order = F.struct(is_mixed_case(F.col(name)), F.col("n"), -F.col("first"))
+    counted = rows.where(F.col(name).isNotNull()).groupBy(key, name).agg(F.count("*").alias("__times"), F.min(seq).alias("__first"))
+    order = F.struct(is_mixed_case(F.col(name)), F.col("__times"), -F.col("__first"))
     return counted.groupBy(key).agg(F.max_by(name, order).alias(name))
 
 
 def observation_spread(rows: DataFrame, key: str, time: str, days: int) -> DataFrame:
     """``key, first, last`` of keys observed at two times at least, further apart than ``days``."""
-    spans = rows.groupBy(key).agg(F.min(time).alias("first_seen"), F.max(time).alias("last_seen"), F.count(time).alias("n"))
-    return spans.where((F.col("n") >= 2) & (F.col("last_seen") - F.col("first_seen") > F.make_dt_interval(F.lit(days)))).drop("n")
+    spans = rows.groupBy(key).agg(F.min(time).alias("first_seen"), F.max(time).alias("last_seen"), F.count(time).alias("__times"))
+    return spans.where((F.col("__times") >= 2) & (F.col("last_seen") - F.col("first_seen") > F.make_dt_interval(F.lit(days)))).drop("__times")
 
 
 def complex_members(memberships: DataFrame, fires: DataFrame, identifier: str = "identifier") -> tuple[DataFrame, DataFrame]:
