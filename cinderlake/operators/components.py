@@ -17,7 +17,8 @@ def connected_components(edges: DataFrame, materialise: Callable[[DataFrame], Da
 
     Edges with a NULL end are ignored; loops, repeated edges and both directions are allowed.
     """
-    links = edges.select(F.col(left).alias("a"), F.col(right).alias("b")).where("a is not null and b is not null")
+    # edges may be costly to find, so they are written once and read for the nodes and for the first round
+    links = materialise(edges.select(F.col(left).alias("a"), F.col(right).alias("b")).where("a is not null and b is not null"))
     nodes = materialise(links.select(F.explode(F.array("a", "b")).alias("node")).distinct())
     current = materialise(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     # after a round in which nothing changed every edge leads from a node to its component's smallest node
