@@ -2,9 +2,12 @@
 
 A gear hash rolls over the payload (``h = 2 h + G[byte]`` modulo 2**32, so it depends on the last 32 bytes only); a chunk ends where the hash's
 ``MASK_BITS`` leading bits are zero, but never below ``MIN_SIZE`` or above ``MAX_SIZE`` bytes. The hash of all positions is built in five
-doubling steps in numpy. Chunks are addressed by SHA-256; a join against the chunk store leaves the digests that it lacks, of which
-each is stored once. A recipe is the ordered list of a payload's chunk digests; reconstruction joins the recipes with the store, puts the chunks in order and
-checks the payload's own digest.
+doubling steps in numpy. Chunks and payloads are addressed by SHA-256; a recipe is the ordered list of a payload's chunk digests.
+
+Joins over digests alone decide what is stored: chunks that the store has are left out, a new chunk of one payload goes into that payload's pack, and a new
+chunk of several goes, once, from the one with the smallest digest into the table of shared chunks. Payloads move once, to meet
+that decision, in compressed blobs of many payloads each. Reconstruction checks a pack that is a whole payload where it lies;
+only packs that lack chunks are moved, to be joined with the shared chunks (or with other payloads' packs that hold them) and put in order.
 
 Results for edge cases: a NULL payload has no recipe (NULL in all columns but the id), an empty one an empty recipe and counts as verified. NULL ids, repeated ids and
 repeated rows are kept, row for row; equal payloads share their recipe. An empty table gives an empty result. Further columns are ignored.
@@ -17,18 +20,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import zstandard
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import mix, shared_folder, text_buffers
+from ._common import materialise, mix, shared_folder, text_buffers
 
 MIN_SIZE = 256
 MASK_BITS = 10
 MAX_SIZE = 8192
+#: Payload bytes that one packing task gets, about.
+BUCKET_BYTES = 16 << 20
 _GEAR = (mix(np.arange(1, 257, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32)
 _STRIDE = 1 << 22
 
 RECIPES = "media binary, chunks array<binary>, sizes array<int>"
+STORE = "key binary, chunks array<binary>, sizes array<int>, bytes binary"
 
 
 def gear_hashes(data: np.ndarray) -> np.ndarray:
@@ -62,64 +69,217 @@ def cuts(data: np.ndarray, min_size: int = MIN_SIZE, mask_bits: int = MASK_BITS,
     return out
 
 
-def _chunked(media: DataFrame, payload_column: str, min_size: int, mask_bits: int, max_size: int, with_bytes: bool) -> DataFrame:
+def _payloads(media: DataFrame, payload_column: str) -> DataFrame:
+    return media.select(F.col(payload_column).cast("binary").alias("payload")).where("payload is not null")
+
+
+def recipes(media: DataFrame, payload_column: str = "payload", min_size: int = MIN_SIZE, mask_bits: int = MASK_BITS, max_size: int = MAX_SIZE) -> DataFrame:
+    """``media, chunks, sizes`` for each distinct payload; ``media`` is the payload's digest."""
+
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = text_buffers(batch.column(0))
-            whole, digests, sizes, chunks, flat = [], [], [], [], []
+            whole, digests, sizes = [], [], []
             for k in range(batch.num_rows):
                 payload = data[offsets[k] : offsets[k + 1]]
                 ends = cuts(payload, min_size, mask_bits, max_size)
                 raw = payload.tobytes()
-                parts = [raw[a:b] for a, b in zip([0, *ends], ends)]
-                own = [hashlib.sha256(part).digest() for part in parts]
-                if with_bytes:
-                    flat += own
-                    chunks += parts
-                else:
-                    whole.append(hashlib.sha256(raw).digest())
-                    digests.append(own)
-                    sizes.append([len(part) for part in parts])
-            if with_bytes:
-                yield pa.RecordBatch.from_arrays([pa.array(flat, pa.binary()), pa.array(chunks, pa.binary())], ["chunk", "bytes"])
-            else:
-                yield pa.RecordBatch.from_arrays([pa.array(whole, pa.binary()), pa.array(digests, pa.list_(pa.binary())), pa.array(sizes, pa.list_(pa.int32()))], ["media", "chunks", "sizes"])
+                whole.append(hashlib.sha256(raw).digest())
+                digests.append([hashlib.sha256(raw[a:b]).digest() for a, b in zip([0, *ends], ends)])
+                sizes.append(np.diff([0, *ends]).tolist())
+            yield pa.RecordBatch.from_arrays([pa.array(whole, pa.binary()), pa.array(digests, pa.list_(pa.binary())), pa.array(sizes, pa.list_(pa.int32()))], ["media", "chunks", "sizes"])
 
-    payloads = media.select(F.col(payload_column).cast("binary").alias("payload")).where("payload is not null")
-    return payloads.mapInArrow(apply, "chunk binary, bytes binary" if with_bytes else RECIPES)
+    return _payloads(media, payload_column).mapInArrow(apply, RECIPES).groupBy("media").agg(F.first("chunks").alias("chunks"), F.first("sizes").alias("sizes"))
 
 
-def recipes(media: DataFrame, payload_column: str = "payload", min_size: int = MIN_SIZE, mask_bits: int = MASK_BITS, max_size: int = MAX_SIZE) -> DataFrame:
-    """``media, chunks, sizes`` for each distinct payload; ``media`` is the payload's digest."""
-    return _chunked(media, payload_column, min_size, mask_bits, max_size, False).groupBy("media").agg(F.first("chunks").alias("chunks"), F.first("sizes").alias("sizes"))
+def _bucket(digest: bytes, buckets: int) -> int:
+    return int.from_bytes(digest[:8], "big") % buckets
+
+
+def _blobs(frame: DataFrame, buckets: int, keyed: bool) -> DataFrame:
+    """``bucket, keys, sizes, blob``: payloads by their key's bucket, many in a compressed blob. Unkeyed payloads get their digest as key."""
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            by: dict[int, dict[bytes, bytes]] = {}
+            for k in range(batch.num_rows):
+                raw = batch.column(0)[k].as_py()
+                key = batch.column(1)[k].as_py() if keyed else hashlib.sha256(raw).digest()
+                by.setdefault(_bucket(key, buckets), {})[key] = raw
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(by), pa.int32()), pa.array([list(x) for x in by.values()], pa.list_(pa.binary())), pa.array([[len(r) for r in x.values()] for x in by.values()], pa.list_(pa.int64())), pa.array([squeeze.compress(b"".join(x.values())) for x in by.values()], pa.binary())],
+                ["bucket", "keys", "sizes", "blob"],
+            )
+
+    return frame.mapInArrow(apply, "bucket int, keys array<binary>, sizes array<bigint>, blob binary")
+
+
+def _unblob(table: pa.Table) -> Iterator[tuple[bytes, bytes]]:
+    spread = zstandard.ZstdDecompressor()
+    for row in range(table.num_rows):
+        keys, sizes = table["keys"][row].as_py(), table["sizes"][row].as_py()
+        raw, at = spread.decompress(table["blob"][row].as_py(), max_output_size=max(1, sum(sizes))) if sum(sizes) else b"", 0
+        for key, size in zip(keys, sizes):
+            yield key, raw[at : at + size]
+            at += size
+
+
+def _buckets(total: int) -> int:
+    return max(1, -(-total // BUCKET_BYTES))
 
 
-def add_chunks(media: DataFrame, store_path: str, payload_column: str = "payload", min_size: int = MIN_SIZE, mask_bits: int = MASK_BITS, max_size: int = MAX_SIZE) -> DataFrame:
-    """Append the chunks that the store at ``store_path`` lacks, and give the store."""
+def _bucket_column(digest, buckets: int):
+    """``_bucket`` as an expression: the first eight bytes, unsigned, modulo ``buckets``."""
+    high, low = (F.conv(F.hex(F.substring(digest, a, 4)), 16, 10).cast("bigint") for a in (1, 5))
+    return F.pmod(F.pmod(high, F.lit(buckets)) * ((1 << 32) % buckets) + F.pmod(low, F.lit(buckets)), F.lit(buckets)).cast("int")
+
+
+def _read(spark: SparkSession, store_path: str, kind: str) -> DataFrame:
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{store_path}/{kind}")
+    there = path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+    table = spark.read.schema(STORE).parquet(f"{store_path}/{kind}") if there else spark.createDataFrame([], STORE)
+    return table.withColumnRenamed("key", "media") if kind == "packs" else table.select(F.col("key").alias("chunk"), "bytes")
+
+
+def add_chunks(media: DataFrame, store_path: str, payload_column: str = "payload", made: DataFrame | None = None) -> None:
+    """Store the chunks of ``media`` that the store at ``store_path`` lacks. ``made`` are the payloads' recipes, if at hand."""
     spark = media.sparkSession
-    made = _chunked(media, payload_column, min_size, mask_bits, max_size, True).groupBy("chunk").agg(F.first("bytes").alias("bytes"))
-    path = spark._jvm.org.apache.hadoop.fs.Path(store_path)
-    if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
-        made = made.join(spark.read.schema("chunk binary, bytes binary").parquet(store_path).select("chunk"), "chunk", "left_anti")
-    made.write.mode("append").parquet(store_path)
-    return spark.read.schema("chunk binary, bytes binary").parquet(store_path)
+    made = materialise(recipes(media, payload_column)) if made is None else made
+    total = made.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("bigint"), lambda a, x: a + x))).first()[0] or 0
+    buckets = _buckets(total)
+    stored = _read(spark, store_path, "packs").select(F.explode("chunks").alias("chunk")).unionAll(_read(spark, store_path, "shared").select("chunk"))
+    used = made.select("media", F.posexplode("chunks").alias("place", "chunk"))
+    owners = used.groupBy("chunk").agg(F.min("media").alias("owner"), F.max("media").alias("last")).join(stored, "chunk", "left_anti")
+    # of a chunk that a payload repeats the first place counts
+    wanted = used.groupBy("media", "chunk").agg(F.min("place").alias("place")).join(owners, "chunk").where(F.col("media") == F.col("owner"))
+    plan = wanted.groupBy("media").agg(F.sort_array(F.collect_list(F.struct("place", (F.col("owner") != F.col("last")).alias("shared")))).alias("take"))
+    plan = plan.join(made, "media").select(_bucket_column(F.col("media"), buckets).alias("bucket"), "media", "take", "chunks", "sizes")
+    blobs = _blobs(_payloads(media, payload_column), buckets, False)
+
+    def pack(left: pa.Table, right: pa.Table) -> pa.Table:
+        todo = {row["media"]: row for row in right.to_pylist()}
+        kinds, keys, chunks, sizes, contents = [], [], [], [], []
+        for key, raw in _unblob(left):
+            row = todo.pop(key, None)  # equal payloads of several tasks are packed once
+            if row is None:
+                continue
+            ends = np.cumsum(row["sizes"]).tolist()
+            own: tuple[list, list, list] = ([], [], [])
+            for take in row["take"]:
+                place = take["place"]
+                part = raw[ends[place] - row["sizes"][place] : ends[place]]
+                if take["shared"]:
+                    kinds.append("shared")
+                    keys.append(row["chunks"][place])
+                    chunks.append(None)
+                    sizes.append(None)
+                    contents.append(part)
+                else:
+                    for column, value in zip(own, (row["chunks"][place], row["sizes"][place], part)):
+                        column.append(value)
+            if own[0]:
+                kinds.append("packs")
+                keys.append(key)
+                chunks.append(own[0])
+                sizes.append(own[1])
+                contents.append(b"".join(own[2]))
+        return pa.table({"kind": pa.array(kinds, pa.string()), "key": pa.array(keys, pa.binary()), "chunks": pa.array(chunks, pa.list_(pa.binary())), "sizes": pa.array(sizes, pa.list_(pa.int32())), "bytes": pa.array(contents, pa.binary())})
 
+    packed = blobs.groupBy("bucket").cogroup(plan.groupBy("bucket")).applyInArrow(pack, "kind string, key binary, chunks array<binary>, sizes array<int>, bytes binary")
+    fresh = shared_folder(spark)
+    packed.write.option("compression", "zstd").partitionBy("kind").parquet(fresh)
+    # both kinds come from one pass; their files are then added to the store's tables
+    for kind in ("packs", "shared"):
+        _adopt(spark, f"{fresh}/kind={kind}", f"{store_path}/{kind}")
 
-def reconstruct(recipe_table: DataFrame, store: DataFrame) -> DataFrame:
-    """``media, payload, verified`` for each recipe; a missing chunk or a wrong digest gives ``verified`` false."""
-    places = recipe_table.select("media", F.posexplode_outer("chunks").alias("place", "chunk"))
-    joined = places.join(store, "chunk", "left").groupBy("media").agg(F.sort_array(F.collect_list(F.struct("place", "bytes"))).alias("parts"))
 
-    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _adopt(spark: SparkSession, fresh: str, table: str) -> None:
+    paths = spark._jvm.org.apache.hadoop.fs.Path
+    files = paths(fresh).getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.exists(paths(fresh)):
+        files.mkdirs(paths(table))
+        for status in files.listStatus(paths(fresh)):
+            if status.getPath().getName().endswith(".parquet"):
+                files.rename(status.getPath(), paths(table, status.getPath().getName()))
+
+
+def reconstruct(recipe_table: DataFrame, store_path: str) -> DataFrame:
+    """``media, n_bytes, verified`` for each recipe, rebuilt from the store; a missing chunk or a wrong digest gives ``verified`` false."""
+    return _rebuilt(recipe_table, store_path, False)
+
+
+def payloads_of(recipe_table: DataFrame, store_path: str) -> DataFrame:
+    """``media, n_bytes, verified, payload`` for each recipe."""
+    return _rebuilt(recipe_table, store_path, True)
+
+
+def _rebuilt(recipe_table: DataFrame, store_path: str, with_payload: bool) -> DataFrame:
+    spark = recipe_table.sparkSession
+    schema = "media binary, n_bytes bigint, verified boolean" + ", payload binary" * with_payload
+    packs, shared = _read(spark, store_path, "packs"), _read(spark, store_path, "shared")
+
+    def rows(found: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
+        columns = [pa.array([m for m, _ in found], pa.binary()), pa.array([len(p) for _, p in found], pa.int64()), pa.array([hashlib.sha256(p).digest() == m for m, p in found], pa.bool_())]
+        if with_payload:
+            columns.append(pa.array([p for _, p in found], pa.binary()))
+        return pa.RecordBatch.from_arrays(columns, ["media", "n_bytes", "verified", "payload"][: len(columns)])
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            payloads, verified = [], []
-            for media, parts in zip(batch.column("media"), batch.column("parts")):
-                raw = b"".join(part["bytes"] for part in parts.as_py() if part["bytes"] is not None)
-                payloads.append(raw)
-                verified.append(hashlib.sha256(raw).digest() == media.as_py())
-            yield pa.RecordBatch.from_arrays([batch.column("media").cast(pa.binary()), pa.array(payloads, pa.binary()), pa.array(verified)], ["media", "payload", "verified"])
+            pairs = zip(batch.column("media"), batch.column("bytes"))
+            yield rows([(m, p) for m, p in ((m.as_py(), p.as_py()) for m, p in pairs) if hashlib.sha256(p).digest() == m])
+
+    ready = packs.select("media", "bytes").mapInArrow(whole, schema)
+    done = materialise(ready.join(recipe_table.select("media"), "media", "left_semi"))
+    open_ = materialise(recipe_table.join(done.select("media"), "media", "left_anti"))
+    total = open_.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("bigint"), lambda a, x: a + x))).first()[0] or 0
+    buckets = _buckets(total)
+    needed = open_.select("media", F.explode("chunks").alias("chunk")).distinct()
+    own = packs.select("media", F.explode("chunks").alias("chunk"))
+    elsewhere = needed.join(own, ["media", "chunk"], "left_anti")
+    foreign = materialise(elsewhere.join(shared.select("chunk"), "chunk", "left_anti").join(own.withColumnRenamed("media", "holder"), "chunk"))
+    pieces = elsewhere.join(shared, "chunk").select("media", "chunk", "bytes")
+    if foreign.limit(1).count():  # chunks that sit in other payloads' packs
+
+        def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                out: tuple[list, list, list] = ([], [], [])
+                for row in batch.to_pylist():
+                    at, parts = 0, {}
+                    for chunk, size in zip(row["chunks"], row["sizes"]):
+                        parts[chunk] = row["bytes"][at : at + size]
+                        at += size
+                    for want in row["wants"]:
+                        for column, value in zip(out, (want["media"], want["chunk"], parts[want["chunk"]])):
+                            column.append(value)
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in out], ["media", "chunk", "bytes"])
+
+        wants = foreign.groupBy("holder").agg(F.collect_list(F.struct("media", "chunk")).alias("wants"))
+        held = packs.join(wants, packs["media"] == F.col("holder")).select("chunks", "sizes", "bytes", "wants")
+        pieces = pieces.unionAll(held.mapInArrow(take, "media binary, chunk binary, bytes binary"))
+    part = F.struct("chunk", "bytes")
+    gathered = pieces.groupBy("media").agg(F.collect_list(part).alias("parts"))
+    lists = open_.join(gathered, "media", "left").join(packs.select("media", F.col("chunks").alias("own"), F.col("sizes").alias("own_sizes")), "media", "left")
+    plan = lists.withColumn("bucket", _bucket_column(F.col("media"), buckets))
+    blobs = _blobs(packs.join(open_.select("media"), "media", "left_semi").select("bytes", "media"), buckets, True) if total else None
+
+    def build(left: pa.Table, right: pa.Table) -> pa.Table:
+        packed = dict(_unblob(left))
+        found = []
+        for row in right.to_pylist():
+            parts = {p["chunk"]: p["bytes"] for p in row["parts"] or ()}
+            at, raw = 0, packed.get(row["media"], b"")
+            for chunk, size in zip(row["own"] or (), row["own_sizes"] or ()):
+                parts[chunk] = raw[at : at + size]
+                at += size
+            found.append((row["media"], b"".join(parts.get(chunk, b"") for chunk in row["chunks"])))
+        return pa.Table.from_batches([rows(found)])
 
-    return joined.mapInArrow(apply, "media binary, payload binary, verified boolean")
+    if blobs is None:  # nothing is open but, at most, the empty payload
+        rest = open_.select("media", F.lit(0).cast("bigint").alias("n_bytes"), (F.col("media") == F.unhex(F.sha2(F.lit(b""), 256))).alias("verified"), *([F.lit(b"").alias("payload")] if with_payload else []))
+        return done.unionAll(rest)
+    return done.unionAll(blobs.groupBy("bucket").cogroup(plan.groupBy("bucket")).applyInArrow(build, schema))
 
 
 def chunk_report(media: DataFrame, store_path: str | None = None, id_column: str = "page_id", payload_column: str = "html") -> DataFrame:
@@ -128,10 +288,10 @@ def chunk_report(media: DataFrame, store_path: str | None = None, id_column: str
     ``id, n_bytes, n_chunks, media, chunks, verified``; digests in hexadecimal, chunks in order.
     """
     store_path = store_path or f"{shared_folder(media.sparkSession)}/chunks"
-    store = add_chunks(media, store_path, payload_column)
-    made = recipes(media, payload_column)
-    checked = reconstruct(made, store).select("media", F.octet_length("payload").cast("bigint").alias("n_bytes"), "verified")
-    known = made.join(checked, "media").withColumnRenamed("media", "__media")
+    made = materialise(recipes(media, payload_column))
+    add_chunks(media, store_path, payload_column, made)
+    checked = reconstruct(made, store_path)
+    known = made.select("media", "chunks").join(checked, "media").withColumnRenamed("media", "__media")
     rows = media.select(F.col(id_column), F.unhex(F.sha2(F.col(payload_column).cast("binary"), 256)).alias("__own"))
     hexed = lambda x: F.lower(F.hex(x))
     out = rows.join(known, F.col("__own") == F.col("__media"), "left")

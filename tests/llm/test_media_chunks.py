@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pytest
 
 from cinderlake.llm import media_chunks as M
 
@@ -43,7 +44,9 @@ def test_strides_do_not_change_cuts(monkeypatch):
     assert M.cuts(data) == whole
 
 
-def test_round_trip_and_dedup(spark, tmp_path):
+@pytest.mark.parametrize("bucket_bytes", [M.BUCKET_BYTES, 200_000])
+def test_round_trip_and_dedup(spark, tmp_path, monkeypatch, bucket_bytes):
+    monkeypatch.setattr(M, "BUCKET_BYTES", bucket_bytes)
     rows = payloads()
     frame = spark.createDataFrame([(i, p, "x", "y") for i, p in rows], "page_id bigint, html binary, media string, chunk string")
     path = str(tmp_path / "store")
@@ -57,13 +60,21 @@ def test_round_trip_and_dedup(spark, tmp_path):
             assert by[i].n_bytes == len(raw) and by[i].media == hashlib.sha256(raw).hexdigest()
     # one insertion changes a chunk or two of about forty
     assert len(set(by[1].chunks) & set(by[2].chunks)) >= len(by[1].chunks) - 3
-    store = spark.read.parquet(path)
-    stored = store.count()
-    assert stored == store.select("chunk").distinct().count() == len({c for r in got for c in r.chunks or ()})
+    def stored():
+        packs, shared = M._read(spark, path, "packs").collect(), M._read(spark, path, "shared").collect()
+        return [bytes(c) for p in packs for c in p.chunks] + [bytes(s.chunk) for s in shared]
+
+    held = stored()
+    assert len(held) == len(set(held)) and {c.hex() for c in held} == {c for r in got for c in r.chunks or ()}
     M.add_chunks(frame, path, "html")
-    assert spark.read.parquet(path).count() == stored
-    rebuilt = {bytes(r.media): bytes(r.payload) for r in M.reconstruct(M.recipes(frame, "html"), store).collect()}
+    assert len(stored()) == len(held)
+    rebuilt = {bytes(r.media): bytes(r.payload) for r in M.payloads_of(M.recipes(frame, "html"), path).collect()}
     assert sorted(rebuilt.values()) == sorted({raw for _, raw in rows if raw is not None})
-    broken = M.reconstruct(M.recipes(frame, "html"), store.limit(0)).collect()
+    # a later payload made of others' chunks finds them in their packs
+    mixed = rows[8][1][:500_000] + rows[0][1]
+    later = spark.createDataFrame([(9, mixed)], "page_id bigint, html binary")
+    assert M.chunk_report(later, path).first().verified and len(stored()) < len(held) + 6
+    assert bytes(M.payloads_of(M.recipes(later, "html"), path).first().payload) == mixed
+    broken = M.reconstruct(M.recipes(frame, "html"), str(tmp_path / "elsewhere")).collect()
     assert [r.verified for r in broken].count(True) == 1  # the empty payload
     assert M.chunk_report(frame.limit(0), str(tmp_path / "none")).count() == 0
