@@ -33,7 +33,7 @@ from ._common import Block, Substrings, Words, blocks, materialise, mix, words_o
 PASSAGE = 50
 ANCHOR = 25
 #: Suffixes that one merging task gets, about.
-RANGE_SUFFIXES = 50_000
+RANGE_SUFFIXES = 20_000
 _SAMPLE = 64
 
 
@@ -308,7 +308,8 @@ def passages(docs: DataFrame, passage: int = PASSAGE, anchor: int | None = None,
     shares = [k / parts for k in range(1, parts)]
     splitters = table.agg(F.percentile_approx("head", shares, 20000)).first()[0] if shares else []
     runs = suffix_runs(texts.join(by_doc, "id").select("id", "text", "hot"), sorted(set(splitters or [])), passage, anchor)
-    ranges = runs.repartition("part").sortWithinPartitions("part")
+    # a task for each range: hashed part numbers would give some tasks several ranges and others none
+    ranges = runs.repartitionById(parts, "part")
     id_field = T.StructField("id", texts.schema["id"].dataType)
     schema = T.StructType([id_field, T.StructField("first", T.LongType()), T.StructField("last", T.LongType()), T.StructField("kept", id_field.dataType)])
 
