@@ -79,16 +79,21 @@ def merge_identical(rows: list[dict], preferred: str) -> list[dict]:
     the later; it takes the place of the earlier one, and the other's attributes where it has none of that name.
     """
     versions: list[dict] = []
+    alike: dict = {}  # places of the versions of each shape: only those can match, and a merge keeps the shape
     for row in rows:
-        for number, other in enumerate(versions):
-            times = (other["time"], row["time"])
-            missing = [pd.isna(t) for t in times]
-            together = all(missing) or (not any(missing) and abs(times[1] - times[0]) <= TOLERANCE)
-            if together and other["shape"] == row["shape"]:
+        places = alike.setdefault(row["shape"], [])
+        time = row["time"]
+        absent = time is None or time is pd.NaT
+        for number in places:
+            other = versions[number]
+            then = other["time"]
+            missing = then is None or then is pd.NaT
+            if (absent and missing) or (not absent and not missing and abs(time - then) <= TOLERANCE):
                 winner, loser = (other, row) if other["source"] == preferred else (row, other)
                 versions[number] = {**winner, "attributes": {**loser["attributes"], **winner["attributes"]}}
                 break
         else:
+            places.append(len(versions))
             versions.append(row)
     return versions
 
