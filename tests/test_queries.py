@@ -33,3 +33,43 @@ def test_query(spark, name):
         assert sorted(columns) == sorted(frame.columns)
         want = sorted((plain(r) for r in cursor.fetchall()), key=repr)
         assert sorted((plain(tuple(r[c] for c in columns)) for r in rows), key=repr) == want
+
+
+def union_find(edges):
+    parent = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        a, b = root(a), root(b)
+        parent[max(a, b)] = min(a, b)
+    return {x: root(x) for x in parent}
+
+
+def partition(components):
+    groups = {}
+    for node, component in components.items():
+        groups.setdefault(component, set()).add(node)
+    return {frozenset(g) for g in groups.values()}
+
+
+def test_components_of_all_lines(spark, tmp_path):
+    # quantities and line numbers that a row filter would leave out hold the groups together
+    lines = [(1, 1, 50.0, 1), (1, 2, 3.0, 1), (2, 2, 50.0, 4), (3, 3, 7.0, 2), (4, 3, 1.0, 7), (5, 4, 50.0, 1), (6, 5, 50.0, 1), (6, 4, 49.0, 1), (7, 9, 2.0, 3), (7, 9, 2.0, 3), (None, 1, 5.0, 1), (8, None, 5.0, 1), (0, 8, 5.0, 1), (10, 0, 5.0, 1)]
+    spark.createDataFrame(lines, "l_partkey bigint, l_suppkey bigint, l_quantity double, l_linenumber int").write.parquet(f"{tmp_path}/lineitem.parquet")
+    found = {r.node: r.component for r in QUERIES["entity_components_all"](spark, str(tmp_path)).collect()}
+    named = {("part", n) if n >= 0 else ("supplier", -1 - n): c for n, c in found.items()}
+    want = union_find([(("part", p), ("supplier", s)) for p, s, _, _ in lines if p is not None and s is not None])
+    assert partition(named) == partition(want)
+    assert len(set(found.values())) == 6
+    assert all(c == min(n for n in found if found[n] == c) for c in found.values())
+
+
+def test_components_of_the_test_tables(spark):
+    rows = QUERIES["entity_components_all"](spark, str(DATA)).collect()
+    edges = [(("part", p), ("supplier", s)) for p, s in duckdb.execute(f"SELECT DISTINCT l_partkey, l_suppkey FROM '{DATA}/lineitem.parquet'").fetchall()]
+    named = {("part", r.node) if r.node >= 0 else ("supplier", -1 - r.node): r.component for r in rows}
+    assert len(named) == len(rows) and partition(named) == partition(union_find(edges))
