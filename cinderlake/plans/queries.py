@@ -9,13 +9,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from ..functions import geometry as G
 from ..functions import scalars as S
 from ..functions import spatial
-from ..operators import changes, entities, versions
+from ..operators import changes, classification, entities, versions
 from ..sources.scratch import materialise, shared_folder
 from ..streaming import ingest as streams
 
@@ -256,9 +258,12 @@ def freshest_per_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 def extent_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     freshest = read(spark, sf_dir, "events").where(F.col("event_type").isin("click", "view"))
     pivoted = freshest.groupBy("user_id").agg(*(f(F.when(F.col("event_type") == kind, F.struct("ts", "event_id", "value"))).alias(kind) for kind in ("click", "view") for f in (F.max,)))
-    near = F.abs(F.unix_micros(F.col("click.ts").cast("timestamp")) - F.unix_micros(F.col("view.ts").cast("timestamp"))) <= 86_400_000_000
-    fit = pivoted.where(F.col("click").isNotNull() & F.col("view").isNotNull() & near & (F.col("click.value") > 0))
-    return fit.select("user_id", F.round(F.col("view.value") / F.col("click.value"), 6).alias("ratio"), (F.col("view.value") > 1.05 * F.col("click.value")).alias("disagrees"))
+    near = classification.contemporaneous(F.col("click.ts"), F.col("view.ts"))
+    fit = pivoted.where(F.col("click").isNotNull() & F.col("view").isNotNull() & near & (F.col("click.value") > 0) & F.col("view.value").isNotNull())
+    # a value is the area of a box one high; the larger holds the smaller
+    shapes = [spatial.st_box(F.lit(0.0), F.lit(0.0), F.col(f"{kind}.value"), F.lit(1.0)) for kind in ("click", "view")]
+    compared = fit.select("user_id", classification.extent_signal(*shapes, F.lit(True)).alias("extent"))
+    return compared.select("user_id", F.round("extent.ratio", 6).alias("ratio"), "extent.disagrees")
 
 
 _CLASSES = """CASE WHEN inside > 0 AND (size - inside > 0.01 * size OR size - inside > 500) THEN 'CROSSES_CALIFORNIA_BORDER'
@@ -275,11 +280,12 @@ _CLASSES = """CASE WHEN inside > 0 AND (size - inside > 0.01 * size OR size - in
 def border_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Boxes ``side x side`` from ``x`` on, against the half plane west of 150."""
     x, side = F.col("p_retailprice") / 10, F.col("p_size").cast("double")
-    border = F.lit(150.0)
-    inside = F.greatest(F.lit(0.0), F.least(x + side, border) - x) * side
-    gap = F.when((x <= border) & (x + side >= border), 0.0).otherwise(F.least(F.abs(border - x), F.abs(border - x - side)))
-    measured = read(spark, sf_dir, "part").select("p_partkey", (side * side).alias("size"), inside.alias("inside"), gap.alias("gap"))
-    classified = measured.withColumn("classification", F.expr(_CLASSES))
+    west, line = G.encode(G.box(-1e4, -1e4, 150, 1e4)), G.encode_line(np.array([(150.0, -1e4), (150.0, 1e4)]))
+    shape = spatial.st_box(x, F.lit(0.0), x + side, side)
+    signal = classification.geometry_signal(shape, west, line, outside_acres=500 / S.SQUARE_METERS_PER_ACRE, near=10.0)
+    nothing = F.struct(F.lit(None).cast("double").alias("ratio"), F.lit(False).alias("disagrees"))
+    measured = read(spark, sf_dir, "part").select("p_partkey", signal.alias("geometry"))
+    classified = measured.select("p_partkey", classification.classify(F.col("geometry"), nothing, F.lit(False))["classification"].alias("classification"))
     return classified.select("p_partkey", "classification", S.preferred_source(F.col("classification")).alias("preferred"))
 
 
