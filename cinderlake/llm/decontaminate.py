@@ -7,7 +7,8 @@ that block names the test strings whose first ``m`` bytes end in it, and a direc
 segments advance in step as one numpy vector, so most bytes of a text are never looked at. One pass over the texts, no shuffle.
 
 The tables are broadcast behind a check of the benchmark's size: beyond ``GROUP_BYTES`` of text the items are split into
-groups by hash, each group has tables of its own and the texts are searched once per group.
+groups by a hash of their id, so that all texts of an id (and of NULL) are counted together however large they are; each group has tables
+of its own and the texts are searched once per group.
 
 Results for edge cases: NULL, empty and wordless texts match nothing; NULL or too short items yield no test string; a NULL item id is kept as one. Rows that share an
 id count as one document (the greatest count is given). Items that share a test string are all reported. An empty table on either side gives
@@ -104,8 +105,8 @@ def _groups(benchmark: DataFrame, window: int, least_words: int, item_column: st
     groups = max(1, ceil(size * min(window, 8) / GROUP_BYTES))  # windows overlap, so tables outgrow the texts
     for group in range(groups):
         own: dict[bytes, dict] = {}
-        part = items if groups == 1 else items.where(F.pmod(F.xxhash64("text"), F.lit(groups)) == group)
-        for row in part.collect():  # at most GROUP_BYTES, checked above
+        part = items if groups == 1 else items.where(F.pmod(F.xxhash64("item"), F.lit(groups)) == group)
+        for row in part.collect():  # about GROUP_BYTES, checked above; an item's texts stay together
             for string in test_strings(row.text, window, least_words):
                 own.setdefault(string, {})[row.item] = None
         if own:

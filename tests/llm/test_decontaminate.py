@@ -72,3 +72,14 @@ def test_normalise():
     raw = data.tobytes().decode()
     got = [data[a:b].tobytes().decode() for a, b in zip(offsets[:-1], offsets[1:])]
     assert got == [" ab c ", "", "", "", " é 1 ", " x "] and raw == "".join(got)
+
+
+def test_texts_of_one_item_are_counted_together_in_any_number_of_groups(spark, make, monkeypatch):
+    texts = [prose(300 + k, 20) for k in range(12)]
+    benchmark = spark.createDataFrame([(item, t) for t in texts for item in (1, None)] + [(2, texts[0])], "item_id bigint, text string")
+    docs = make([(1, "\n".join(texts), "en", "a"), (2, texts[3], "en", "a")])
+    whole = sorted(map(tuple, D.matches(docs, benchmark).collect()), key=repr)
+    monkeypatch.setattr(D, "GROUP_BYTES", 4096)
+    split = sorted(map(tuple, D.matches(docs, benchmark).collect()), key=repr)
+    assert split == whole
+    assert (1, 1, 12 * 8) in split and (1, None, 12 * 8) in split and (1, 2, 8) in split
