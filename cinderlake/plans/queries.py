@@ -1,8 +1,8 @@
 """Registered queries: every operator of the engine over the test tables, and the same in SQL.
 
 The tables hold no fires, so each operator is applied to rows of the same shape: order lines for versions of a feature, events
-for observations, parts for boxes. All queries run over whole tables, except ``entity_components``, whose recursive SQL can close only
-the sparse graph of a few rows; ``entity_components_all`` is the same over all of them.
+for observations, parts for boxes. All queries run over whole tables, except two: ``entity_components``, whose recursive SQL can close only
+the sparse graph of a few rows; ``entity_components_all`` is the same over all of them. ``entity_spread`` and its SQL take clicks only, ``entity_spread_all`` all events.
 """
 
 from __future__ import annotations
@@ -220,6 +220,14 @@ def entity_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entities.observation_spread(read(spark, sf_dir, "events").where("event_type = 'click'"), "user_id", "ts", 28)
 
 
+@query("""
+    SELECT user_id, min(ts) AS first_seen, max(ts) AS last_seen FROM events GROUP BY user_id
+    HAVING count(ts) >= 2 AND max(ts) - min(ts) > INTERVAL 28 DAY""")
+def entity_spread_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Over events of every type."""
+    return entities.observation_spread(read(spark, sf_dir, "events"), "user_id", "ts", 28)
+
+
 @query("""
     SELECT s_suppkey, n_name AS identifier, r.fire_id FROM supplier JOIN nation ON s_nationkey = n_nationkey
     JOIN (SELECT n_name AS identifier, min(n_regionkey) AS fire_id FROM nation WHERE n_regionkey <> 2 GROUP BY n_name) r ON n_name = r.identifier""")

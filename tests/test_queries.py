@@ -73,3 +73,9 @@ def test_components_of_the_test_tables(spark):
     edges = [(("part", p), ("supplier", s)) for p, s in duckdb.execute(f"SELECT DISTINCT l_partkey, l_suppkey FROM '{DATA}/lineitem.parquet'").fetchall()]
     named = {("part", r.node) if r.node >= 0 else ("supplier", -1 - r.node): r.component for r in rows}
     assert len(named) == len(rows) and partition(named) == partition(union_find(edges))
+
+
+def test_spread_counts_events_of_every_type(spark, tmp_path):
+    rows = [(1, "click", "2024-01-01"), (1, "view", "2024-01-30"), (2, "view", "2024-01-01"), (2, "view", "2024-01-31"), (3, "click", "2024-01-01"), (3, "buy", "2024-01-29")]
+    spark.createDataFrame(rows, "user_id bigint, event_type string, ts string").selectExpr("user_id", "event_type", "CAST(ts AS timestamp_ntz) AS ts").write.parquet(f"{tmp_path}/events.parquet")
+    assert sorted(r.user_id for r in QUERIES["entity_spread_all"](spark, str(tmp_path)).collect()) == [1, 2]
