@@ -1,8 +1,7 @@
 """Registered queries: every operator of the engine over the test tables, and the same in SQL.
 
 The tables hold no fires, so each operator is applied to rows of the same shape: order lines for versions of a feature, events
-for observations, parts for boxes. All queries run over whole tables, except two: ``entity_components``, whose recursive SQL can close only
-the sparse graph of a few rows; ``entity_components_all`` is the same over all of them. ``entity_spread`` and its SQL take clicks only, ``entity_spread_all`` all events.
+for observations, parts for boxes. All queries run over whole tables.
 """
 
 from __future__ import annotations
@@ -18,6 +17,7 @@ from ..functions import geometry as G
 from ..functions import scalars as S
 from ..functions import spatial
 from ..operators import changes, classification, entities, versions
+from ..operators.components import connected_components
 from ..sources.scratch import materialise, shared_folder
 from ..streaming import ingest as streams
 
@@ -181,26 +181,15 @@ def preferred_name(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    WITH RECURSIVE edges AS (
-        SELECT l_partkey AS a, -l_suppkey AS b FROM lineitem WHERE l_quantity = 50 AND l_linenumber = 1
-        UNION SELECT -l_suppkey, l_partkey FROM lineitem WHERE l_quantity = 50 AND l_linenumber = 1),
-    reach AS (SELECT a AS node, a AS other FROM edges UNION SELECT r.node, e.b FROM reach r JOIN edges e ON r.other = e.a)
-    SELECT node, min(other) AS component FROM reach GROUP BY node""")
+    WITH RECURSIVE links AS (SELECT DISTINCT l_partkey AS a, -1 - l_suppkey AS b FROM lineitem WHERE l_partkey IS NOT NULL AND l_suppkey IS NOT NULL),
+    edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+    labels(node, component) USING KEY (node) AS (
+        SELECT a, a FROM edges GROUP BY a
+        UNION
+        SELECT e.b, min(l.component) FROM labels l JOIN edges e ON e.a = l.node JOIN recurring.labels r ON r.node = e.b WHERE l.component < r.component GROUP BY e.b)
+    SELECT node, component FROM labels""")
 def entity_components(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ..operators.components import connected_components
-
-    lines = read(spark, sf_dir, "lineitem").where("l_quantity = 50 AND l_linenumber = 1")
-    return connected_components(lines.select(F.col("l_partkey").alias("a"), (-F.col("l_suppkey")).alias("b")), materialise)
-
-
-@query()
-def entity_components_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The edges of all order lines; no SQL, as a closure of the one giant component they make has the square of its nodes as rows.
-
-    Suppliers are nodes -1 - key, since part 0 and supplier 0 are two.
-    """
-    from ..operators.components import connected_components
-
+    """Parts and suppliers linked by all order lines. Suppliers are nodes -1 - key, since part 0 and supplier 0 are two."""
     lines = read(spark, sf_dir, "lineitem")
     return connected_components(lines.select(F.col("l_partkey").alias("a"), (-1 - F.col("l_suppkey")).alias("b")), materialise)
 
@@ -213,18 +202,10 @@ def proximity_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entities.proximity_pairs(points, 50.0, "c_custkey", "c_acctbal", "y", "c_mktsegment")
 
 
-@query("""
-    SELECT user_id, min(ts) AS first_seen, max(ts) AS last_seen FROM events WHERE event_type = 'click' GROUP BY user_id
-    HAVING count(ts) >= 2 AND max(ts) - min(ts) > INTERVAL 28 DAY""")
-def entity_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return entities.observation_spread(read(spark, sf_dir, "events").where("event_type = 'click'"), "user_id", "ts", 28)
-
-
 @query("""
     SELECT user_id, min(ts) AS first_seen, max(ts) AS last_seen FROM events GROUP BY user_id
     HAVING count(ts) >= 2 AND max(ts) - min(ts) > INTERVAL 28 DAY""")
-def entity_spread_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Over events of every type."""
+def entity_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entities.observation_spread(read(spark, sf_dir, "events"), "user_id", "ts", 28)
 
 

@@ -69,11 +69,15 @@ def test_change_capture(spark):
     assert changes.cutoff(empty, "t").first().cutoff == spark.sql("SELECT timestamp'1970-01-01 00:00:00' AS t").first().t
 
 
-@pytest.mark.parametrize("size", [0, 1, 60])
-def test_components(spark, size):
+
+@pytest.mark.parametrize(("size", "limit"), [(0, 9), (1, 0), (60, 0), (60, 10**6)])
+def test_components(spark, size, limit):
     r = np.random.default_rng(size)
     pairs = [(int(a), int(b)) for a, b in r.integers(0, size + 1, (size, 2))] + [(k + 1000, k + 1001) for k in range(size)] + ([(5, 5), (None, 1)] if size else [])
-    got = {x.node: x.component for x in components.connected_components(spark.createDataFrame(pairs, "a bigint, b bigint"), materialise).collect()}
+    edges = spark.createDataFrame(pairs, "a bigint, b bigint")
+    got = {x.node: x.component for x in components.connected_components(edges, materialise, local_edges=limit).collect()}
+    packed = edges.selectExpr(*(f"CASE WHEN {c} IS NOT NULL THEN struct({c} AS x, 1 AS y) END AS {c}" for c in "ab"))
+    assert {x.node.x: x.component.x for x in components.connected_components(packed, materialise, local_edges=limit).collect()} == got
     leader = {n: n for p in pairs if None not in p for n in p}
     for _ in leader:
         for a, b in pairs:
