@@ -9,6 +9,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
@@ -16,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 BLOCK_BYTES = 1 << 19
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
@@ -46,13 +48,44 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/cinderlake-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def cleaned(spark: SparkSession) -> Iterator[None]:
+    """Jobs in here drop their shuffle files when they end, as what they write is read back instead."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+
+
 def materialise(frame: DataFrame) -> DataFrame:
     """Write a frame to the shared folder and read it back: it survives the loss of executors and cuts lineage."""
     path = shared_folder(frame.sparkSession)
-    frame.write.parquet(path)
+    with cleaned(frame.sparkSession):
+        frame.write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def discard(frame: DataFrame) -> None:
+    """Delete the files of a materialised frame that nothing will read again."""
+    spark = frame.sparkSession
+    for folder in {name.rsplit("/", 1)[0] for name in frame.inputFiles()}:
+        place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def free_name(name: str, taken: list[str]) -> str:
+    """The name, or with the first number that no column of ``taken`` has (capitals are no difference)."""
+    lower, number = {c.lower() for c in taken}, 1
+    while (found := name if number == 1 else f"{name}_{number}").lower() in lower:
+        number += 1
+    return found
+
+
 @dataclass
 class Block:
     """Documents ``first`` to ``last`` (exclusive) of a record batch; ``starts`` are byte offsets into ``data``."""
