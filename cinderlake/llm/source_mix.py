@@ -3,28 +3,37 @@
 A source with weight ``q`` of ``Q`` in all has a rate ``w = q / Q``. Its block ``i`` (from 1) is released at slot
 ``floor((i - 1) / w)`` and due by slot ``ceil(i / w)``; of the released blocks the earliest deadline goes first (ties: the
 greater weight, then the source's name). With the rates summing to one this keeps every source within less than one block of its
-ideal share at every slot. Integer weights make the schedule repeat every ``Q`` slots, so only one period is computed, on the
-driver: its size depends on the weights alone. When a source runs out of blocks the rest go on, their rates divided by
-their sum, as a new phase; each phase holds its own bound. Every document comes out exactly once.
+ideal share at every slot. Integer weights make the schedule repeat every ``Q`` slots, so at most one period of a phase is computed, with two heaps, on
+the driver. When a source runs out of blocks the rest go on, their rates divided by their sum, as a new phase; each phase holds its own bound.
+The schedule has at most as many entries as there are blocks, and as sources times the sum of weights (each source ends one phase). Every document comes out exactly once.
+
+The schedule reaches the documents' ranks as sorted arrays, by binary search in Arrow batches; it is broadcast in parts of at most ``SCHEDULE_BYTES``, each part with
+the sources of one range of names, however many sources there are.
 
 Ranks within a source come from a salted hash order: counts per (source, hash range) are summed, and rows are numbered within each range, so no
 task ever holds a whole source.
 
 Results for edge cases: a NULL source is a source of its own with the default weight. A NULL id, repeated rows and ties in the
 hash order are ordered by all that is known of them; rows equal in id and source take neighbouring places. Texts play no part. An empty table
-gives an empty result. Sources with weight zero or below are refused. Further columns are kept by ``mix`` as they are.
+gives an empty result. Sources with weight zero or below are refused. Texts may have any length; only ``mix`` carries them, whole. Further columns are kept by ``mix``
+as they are; where one has the name of the position column, the position takes the next free name (``mix_position_2`` and so on).
 """
 
 from __future__ import annotations
 
-from fractions import Fraction
-from math import ceil, floor
+from collections.abc import Iterator
+from dataclasses import dataclass
+from heapq import heapify, heappop, heappush
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from ._common import materialise
+from ._common import free_name, materialise
 
 BLOCK_DOCS = 16
 #: Production weights: four favoured sources, one share for every other.
@@ -32,50 +41,108 @@ WEIGHTS = {"src1": 6, "src2": 4, "src3": 3, "src4": 2}
 DEFAULT_WEIGHT = 1
 #: Rows that one numbering task sorts, about.
 RANGE_ROWS = 200_000
+#: Bytes of the schedule that are broadcast at once.
+SCHEDULE_BYTES = 64 << 20
 
 
-def period(weights: dict[str | None, int]) -> list[tuple[int, str | None, int]]:
-    """One period of the schedule: (slot, source, the source's how-many-th block in the period)."""
-    total = sum(weights.values())
-    names = sorted(weights, key=lambda s: (-weights[s], s is None, s or ""))
-    sent = dict.fromkeys(names, 0)
-    out = []
-    for slot in range(total):
-        best = None
-        for order, name in enumerate(names):
-            rate = Fraction(weights[name], total)
-            done = sent[name]
-            if done < weights[name] and floor(done / rate) <= slot:
-                deadline = ceil((done + 1) / rate)
-                if best is None or (deadline, order) < best[:2]:
-                    best = (deadline, order, name)
-        assert best is not None and best[0] > slot, "rates that sum to one always leave a released block in time"
-        out.append((slot, best[2], sent[best[2]]))
-        sent[best[2]] += 1
-    return out
-
-
-def phases(blocks: dict[str | None, int], weights: dict[str | None, int]) -> list[dict]:
-    """The schedule as phases: start slot, each source's first block, and the period's table.
+def phases(blocks: dict[str | None, int], weights: dict[str | None, int]) -> Iterator[dict]:
+    """The schedule as phases: start and length in slots, the period, and for each source its first block, how many it gets, and the slots of its first turns.
 
     A phase ends right after the last block of the first source to run out.
     """
-    left, first, out, start = {s: n for s, n in blocks.items() if n}, dict.fromkeys(blocks, 0), [], 0
+    left = {s: n for s, n in blocks.items() if n}
+    first, start = dict.fromkeys(left, 0), 0
+    names = sorted(left, key=lambda s: (-weights[s], s is None, s or ""))
     while left:
-        table = period({s: weights[s] for s in left})
-        size = len(table)
-        place = {(s, j): slot for slot, s, j in table}
-        ends = {s: ((n - 1) // weights[s]) * size + place[s, (n - 1) % weights[s]] for s, n in left.items()}
-        length = min(ends.values()) + 1
-        whole, rest = divmod(length, size)
-        used = {s: whole * weights[s] + sum(1 for slot, own, _ in table if own == s and slot < rest) for s in left}
-        out.append({"start": start, "length": length, "size": size, "first": {s: first[s] for s in left}, "table": table, "weights": {s: weights[s] for s in left}})
+        names = [s for s in names if s in left]
+        share, rest = [weights[s] for s in names], [left[s] for s in names]
+        size = sum(share)
+        turns: list[list[int]] = [[] for _ in names]
+        waiting, ready = [(0, k) for k in range(len(names))], []  # by release; by deadline, then in the order of names
+        heapify(waiting)
+        length = 0
+        for slot in range(size):
+            while waiting and waiting[0][0] <= slot:
+                k = heappop(waiting)[1]
+                heappush(ready, (-(-(len(turns[k]) + 1) * size // share[k]), k))
+            deadline, k = heappop(ready)
+            assert deadline > slot, "rates that sum to one always leave a released block in time"
+            own = turns[k]
+            own.append(slot)
+            if len(own) == rest[k]:
+                length = slot + 1
+                break
+            if len(own) < share[k]:
+                heappush(waiting, (len(own) * size // share[k], k))
+        if not length:  # nobody runs out within the first period, so all of its turns are known and repeat
+            length = 1 + min((n - 1) // q * size + own[(n - 1) % q] for n, q, own in zip(rest, share, turns))
+        whole, part = divmod(length, size)
+        used = [whole * q + sum(slot < part for slot in own) if whole else len(own) for q, own in zip(share, turns)]
+        yield {"start": start, "length": length, "size": size, "sources": [(s, first[s], n, q, own) for s, n, q, own in zip(names, used, share, turns) if n]}
         start += length
-        for s in used:
-            first[s] += used[s]
-            left[s] -= used[s]
+        for s, n in zip(names, used):
+            first[s] += n
+            left[s] -= n
         left = {s: n for s, n in left.items() if n}
-    return out
+
+
+@dataclass
+class Schedule:
+    """Sorted arrays: the spans of ``names[i]``'s blocks that one phase places, and the slots of a period's turns."""
+
+    names: list
+    spans: np.ndarray  # (key, phase, first block, start, size, weight, place of the first turn); key = source << 40 | first block
+    turns: np.ndarray
+    gaps: np.ndarray  # slots after which documents are missing, as a block was short
+    missing: np.ndarray  # how many documents then are
+
+    @property
+    def bytes(self) -> int:
+        return self.spans.nbytes + self.turns.nbytes
+
+    def place(self, source: np.ndarray, block: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Phase and slot of each block."""
+        own = self.spans[np.searchsorted(self.spans[:, 0], (source << 40) | block, side="right") - 1]
+        _, phase, first, start, size, weight, at = own.T
+        whole, turn = np.divmod(block - first, weight)
+        return phase, start + whole * size + self.turns[at + turn]
+
+    def lacking(self, slot: np.ndarray) -> np.ndarray:
+        return self.missing[np.searchsorted(self.gaps, slot, side="left")]
+
+    def of(self, low: int, high: int) -> Schedule:
+        """The same for the sources ``low`` to ``high`` (exclusive) alone."""
+        own = self.spans[np.searchsorted(self.spans[:, 0], low << 40) : np.searchsorted(self.spans[:, 0], high << 40)].copy()
+        counts = np.minimum(own[:, 5], _turn_counts(own, len(self.turns), self.spans))
+        turns = np.concatenate([self.turns[a : a + n] for a, n in zip(own[:, 6].tolist(), counts.tolist())]) if len(own) else self.turns[:0]
+        own[:, 6] = np.cumsum(counts) - counts
+        own[:, 0] -= low << 40
+        return Schedule(self.names[low:high], own, turns, self.gaps, self.missing)
+
+
+def _turn_counts(own: np.ndarray, total: int, spans: np.ndarray) -> np.ndarray:
+    """Turns of each span: up to the next span's first turn."""
+    begins = np.append(np.sort(spans[:, 6]), total)
+    return begins[np.searchsorted(begins, own[:, 6], side="right")] - own[:, 6]
+
+
+def plan(rows: dict[str | None, int], weights: dict[str | None, int], block_docs: int) -> Schedule:
+    """The whole schedule of sources with so many rows; names in the order of their bytes, NULL first."""
+    names = sorted(rows, key=lambda s: (s is not None, (s or "").encode()))
+    number = {s: k for k, s in enumerate(names)}
+    spans, turns, at, last = [], [], 0, {}
+    for phase, made in enumerate(phases({s: -(-n // block_docs) for s, n in rows.items()}, weights)):
+        for s, first, n, q, own in made["sources"]:
+            own = own[: min(q, n)]
+            spans.append(((number[s] << 40) | first, phase, first, made["start"], made["size"], q, at))
+            turns.append(np.array(own, np.int64))
+            at += len(own)
+            last[s] = made["start"] + (n - 1) // q * made["size"] + own[(n - 1) % q]
+    table = np.array(spans, np.int64).reshape(-1, 7)
+    short = sorted((last[s], -n % block_docs) for s, n in rows.items() if n % block_docs)
+    gaps = np.array([place for place, _ in short], np.int64)
+    missing = np.cumsum([0, *(lack for _, lack in short)]).astype(np.int64)
+    return Schedule(names, table[np.argsort(table[:, 0])], np.concatenate(turns) if turns else np.zeros(0, np.int64), gaps, missing)
 
 
 def _ranked(docs: DataFrame, id_column: str, source_column: str, seed: int) -> tuple[DataFrame, dict[str | None, int]]:
@@ -97,47 +164,38 @@ def _ranked(docs: DataFrame, id_column: str, source_column: str, seed: int) -> t
     return ranked, sizes
 
 
-def schedule(docs: DataFrame, weights: dict[str, int] | None = None, default_weight: int = DEFAULT_WEIGHT, block_docs: int = BLOCK_DOCS, id_column: str = "doc_id", source_column: str = "source", seed: int = 0) -> DataFrame:
+def schedule(docs: DataFrame, weights: dict[str, int] | None = None, default_weight: int = DEFAULT_WEIGHT, block_docs: int = BLOCK_DOCS, id_column: str = "doc_id", source_column: str = "source", seed: int = 0, schedule_bytes: int = SCHEDULE_BYTES) -> DataFrame:
     """``id, source, block, phase, slot, position``: where each document goes; positions are 0 to rows - 1 without gaps."""
     spark = docs.sparkSession
     weights = WEIGHTS if weights is None else weights
     if min([default_weight, block_docs, *weights.values()]) <= 0:
         raise ValueError("weights and block size must be positive")
     ranked, sizes = _ranked(docs, id_column, source_column, seed)
-    own = {s: weights.get(s, default_weight) for s in sizes}
-    made = phases({s: -(-n // block_docs) for s, n in sizes.items()}, own)
-    table, spans, short, total = [], [], [], {}
-    for number, phase in enumerate(made):
-        table += [(number, s, j, slot) for slot, s, j in phase["table"]]
-        for s, first in phase["first"].items():
-            later = [p["first"][s] for p in made[number + 1 :] if s in p["first"]]
-            spans.append((number, s, first, later[0] if later else 1 << 62, phase["start"], phase["size"], phase["weights"][s]))
-    # each source's last block may be short; the slots after it begin that much earlier
-    for s, n in sizes.items():
-        last = -(-n // block_docs) - 1
-        number, first = [(k, p["first"][s]) for k, p in enumerate(made) if s in p["first"]][-1]
-        phase = made[number]
-        place = {(name, j): slot for slot, name, j in phase["table"]}
-        q = phase["weights"][s]
-        short.append((phase["start"] + (last - first) // q * phase["size"] + place[s, (last - first) % q], block_docs * (last + 1) - n))
-    periods = spark.createDataFrame(table, "phase int, s string, turn bigint, offset bigint")
-    ranges = spark.createDataFrame(spans, "phase int, s string, first bigint, until bigint, start bigint, size bigint, weight bigint")
-    blocks = ranked.withColumn("block", F.floor(F.col("rank") / block_docs).cast("bigint"))
-    # phases x sources and periods depend on weights and sources alone, so these are small at any corpus size
-    inside = blocks.join(F.broadcast(ranges), F.col("source").eqNullSafe(F.col("s")) & (F.col("block") >= F.col("first")) & (F.col("block") < F.col("until"))).drop("s")
-    turned = inside.withColumn("turn", F.pmod(F.col("block") - F.col("first"), F.col("weight")))
-    steps = F.broadcast(periods.select(F.col("phase").alias("p"), F.col("s").alias("ps"), F.col("turn").alias("pt"), "offset"))
-    placed = turned.join(steps, (F.col("phase") == F.col("p")) & F.col("source").eqNullSafe(F.col("ps")) & (F.col("turn") == F.col("pt")))
-    slot = F.col("start") + F.floor((F.col("block") - F.col("first")) / F.col("weight")).cast("bigint") * F.col("size") + F.col("offset")
-    placed = placed.withColumn("slot", slot)
-    gaps = [(place, lack) for place, lack in sorted(short) if lack]
-    missing = sum((F.when(F.col("slot") > place, F.lit(lack)).otherwise(F.lit(0)) for place, lack in gaps), F.lit(0)) if len(gaps) <= 64 else None
-    if missing is None:
-        edges = spark.createDataFrame(gaps, "place bigint, lack bigint")
-        lacks = placed.select("slot").distinct().join(F.broadcast(edges), F.col("slot") > F.col("place")).groupBy("slot").agg(F.sum("lack").alias("lacking"))
-        placed, missing = placed.join(lacks, "slot", "left"), F.coalesce(F.col("lacking"), F.lit(0))
-    position = F.col("slot") * block_docs + F.pmod(F.col("rank"), F.lit(block_docs)) - missing
-    return placed.select("id", "source", "block", "phase", "slot", position.cast("bigint").alias("position"))
+    made = plan(sizes, {s: weights.get(s, default_weight) for s in sizes}, block_docs)
+    parts = -(-made.bytes // schedule_bytes) if sizes else 1
+    step = max(1, -(-len(made.names) // max(1, parts)))
+    schema = T.StructType([f for f in ranked.schema.fields if f.name != "rank"] + [T.StructField("block", T.LongType()), T.StructField("phase", T.IntegerType()), T.StructField("slot", T.LongType()), T.StructField("position", T.LongType())])
+    out = None
+    for low in range(0, max(1, len(made.names)), step):
+        own = made.of(low, low + step) if parts > 1 else made
+        sent = spark.sparkContext.broadcast((pa.array(own.names, pa.string()), own))
+
+        def apply(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            names, own = sent.value
+            for batch in batches:
+                source = pc.index_in(batch.column("source"), value_set=names).to_numpy(zero_copy_only=False).astype(np.int64)
+                block, inside = np.divmod(batch.column("rank").to_numpy().astype(np.int64), block_docs)
+                phase, slot = own.place(source, block) if len(source) else (source, source)
+                position = slot * block_docs + inside - own.lacking(slot)
+                yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("source"), pa.array(block), pa.array(phase.astype(np.int32)), pa.array(slot), pa.array(position)], schema.names)
+
+        rows = ranked
+        if parts > 1:
+            named = [n for n in own.names if n is not None]
+            rows = ranked.where((F.col("source").isNull() if None in own.names else F.lit(False)) | (F.col("source").between(named[0], named[-1]) if named else F.lit(False)))
+        placed = rows.mapInArrow(apply, schema)
+        out = placed if out is None else out.unionAll(placed)
+    return out
 
 
 def mix(docs: DataFrame, weights: dict[str, int] | None = None, default_weight: int = DEFAULT_WEIGHT, block_docs: int = BLOCK_DOCS, id_column: str = "doc_id", source_column: str = "source", seed: int = 0, position: str = "mix_position") -> DataFrame:
@@ -159,4 +217,4 @@ def mix(docs: DataFrame, weights: dict[str, int] | None = None, default_weight:
     spark: SparkSession = docs.sparkSession
     parts = max(1, min(rows, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     target = F.floor(F.col("__position") * parts / max(rows, 1)).cast("int")
-    return placed.repartitionById(parts, target).sortWithinPartitions("__position").toDF(*docs.columns, position)
+    return placed.repartitionById(parts, target).sortWithinPartitions("__position").toDF(*docs.columns, free_name(position, docs.columns))
