@@ -1,18 +1,20 @@
 """Benchmark decontamination by Wu-Manber multi-pattern search.
 
-Test strings are the ``window``-word windows of each benchmark item (the whole item where it has fewer words, but at least
-``least_words``), in normalised form: case-folded words between single spaces. With ``m`` the shortest test string's length
+Test strings are the ``window``-word windows of each benchmark item (the whole item where it has fewer words, down to
+``least_words``, by default one), in normalised form: case-folded words between single spaces. With ``m`` the shortest test string's length
 in bytes, a table over hashed blocks of ``BLOCK`` bytes tells how far a cursor may jump; where the jump is zero, the bucket of
 that block names the test strings whose first ``m`` bytes end in it, and a direct comparison decides. The cursors of many text
-segments advance in step as one numpy vector, so most bytes of a text are never looked at. One pass over the texts, no shuffle.
+segments advance in step as one numpy vector, so most bytes of a text are never looked at. One pass over the texts, no shuffle. Strings of fewer than ``SHORT_WORDS`` words have tables of their
+own beside those of the others, whose jumps they would shorten; both are searched in that pass and count alike.
 
 The tables are broadcast behind a check of the benchmark's size: beyond ``GROUP_BYTES`` of text the items are split into
 groups by a hash of their id, so that all texts of an id (and of NULL) are counted together however large they are; each group has tables
 of its own and the texts are searched once per group.
 
-Results for edge cases: NULL, empty and wordless texts match nothing; NULL or too short items yield no test string; a NULL item id is kept as one. Rows that share an
+Results for edge cases: NULL, empty and wordless texts match nothing; NULL, wordless and (below ``least_words``) too short items yield no test string; a NULL item id is kept as one. Rows that share an
 id count as one document (the greatest count is given). Items that share a test string are all reported. An empty table on either side gives
-no match. Further columns are ignored by ``matches`` and kept by ``remove_contaminated``.
+no match. A text is searched as a whole however long it is, in segments that overlap by a test string. Item ids may be of any type. Further columns are ignored by
+``matches`` and kept by ``remove_contaminated``, whatever their names.
 """
 
 from __future__ import annotations
@@ -29,7 +31,8 @@ from pyspark.sql import types as T
 from ._common import blocks, normalise
 
 WINDOW = 13
-LEAST_WORDS = 5
+LEAST_WORDS = 1
+SHORT_WORDS = 5
 BLOCK = 8
 TABLE_BITS = 20
 SEGMENT = 2048
@@ -98,19 +101,43 @@ def test_strings(text: str | None, window: int = WINDOW, least_words: int = LEAS
 test_strings.__test__ = False  # not a test
 
 
-def _groups(benchmark: DataFrame, window: int, least_words: int, item_column: str, text_column: str) -> Iterator[tuple[Tables, list[list]]]:
-    """Tables and, for each test string, its items; one pair for each group of items that fits the size check."""
+class Search:
+    """The tables of one group of items: for each of their strings the places of its items in ``ids``."""
+
+    def __init__(self, own: dict[bytes, dict[int, None]], ids: pa.Array) -> None:
+        self.ids, self.parts = ids, []
+        for short in (False, True):
+            strings = [s for s in own if (s.count(b" ") - 1 < SHORT_WORDS) == short]
+            if strings:
+                self.parts.append((Tables(strings), [list(own[s]) for s in strings]))
+
+    def hits(self, data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, list[int]]]:
+        """(text, places of the items) for every test string that occurs in the text, once."""
+        for tables, items in self.parts:
+            for text, number in set(tables.search(data, offsets)):
+                yield text, items[number]
+
+    def texts(self, data: np.ndarray, offsets: np.ndarray) -> set[int]:
+        return {text for tables, _ in self.parts for text, _ in tables.search(data, offsets)}
+
+
+def _groups(benchmark: DataFrame, window: int, least_words: int, item_column: str, text_column: str) -> Iterator[Search]:
+    """One search for each group of items that fits the size check."""
     items = benchmark.select(F.col(item_column).alias("item"), F.col(text_column).cast("string").alias("text")).where("text is not null")
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     groups = max(1, ceil(size * min(window, 8) / GROUP_BYTES))  # windows overlap, so tables outgrow the texts
     for group in range(groups):
-        own: dict[bytes, dict] = {}
         part = items if groups == 1 else items.where(F.pmod(F.xxhash64("item"), F.lit(groups)) == group)
-        for row in part.collect():  # about GROUP_BYTES, checked above; an item's texts stay together
-            for string in test_strings(row.text, window, least_words):
-                own.setdefault(string, {})[row.item] = None
+        rows = part.toArrow()  # about GROUP_BYTES, checked above; an item's texts stay together
+        ids = pa.concat_arrays(rows.column("item").chunks) if rows.num_rows else pa.array([], rows.schema.field("item").type)
+        first: dict = {}
+        own: dict[bytes, dict[int, None]] = {}
+        for place, (item, text) in enumerate(zip(ids.to_pylist(), rows.column("text").to_pylist())):
+            item = first.setdefault(item, place)
+            for string in test_strings(text, window, least_words):
+                own.setdefault(string, {})[item] = None
         if own:
-            yield Tables(list(own)), [list(x) for x in own.values()]
+            yield Search(own, ids)
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, least_words: int = LEAST_WORDS, id_column: str = "doc_id", text_column: str = "text", item_column: str = "item_id", item_text_column: str = "text") -> DataFrame:
@@ -124,22 +151,21 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, least_w
         sent = spark.sparkContext.broadcast(group)
 
         def apply(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            tables, items = sent.value
+            search = sent.value
             for batch in batches:
                 rows, found, counts = [], [], []
                 for block in blocks(batch.column(1)):
-                    seen = set(tables.search(*normalise(block)))
-                    tally: dict[tuple, int] = {}
-                    for text, number in seen:
-                        for item in items[number]:
+                    tally: dict[tuple[int, int], int] = {}
+                    for text, items in search.hits(*normalise(block)):
+                        for item in items:
                             tally[text, item] = tally.get((text, item), 0) + 1
                     for (text, item), n in tally.items():
                         rows.append(block.first + text)
                         found.append(item)
                         counts.append(n)
                 if rows:
-                    ids = batch.column(0).take(pa.array(rows, pa.int64()))
-                    yield pa.RecordBatch.from_arrays([ids, pa.array(found), pa.array(counts, pa.int64())], [id_column, item_column, "n_strings"])
+                    columns = [batch.column(0).take(pa.array(rows, pa.int64())), search.ids.take(pa.array(found, pa.int64())), pa.array(counts, pa.int64())]
+                    yield pa.RecordBatch.from_arrays(columns, schema.names)
 
         hits = docs.select(id_column, F.col(text_column).cast("string")).mapInArrow(apply, schema)
         out = hits if out is None else out.unionAll(hits)
@@ -152,13 +178,13 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WIN
     """The documents, all columns as they were, in which no test string occurs; a filter in one pass, nothing is joined."""
     spark = docs.sparkSession
     for group in _groups(benchmark, window, least_words, item_column, item_text_column):
-        sent = spark.sparkContext.broadcast(group[0])
+        sent = spark.sparkContext.broadcast(group)
 
         def apply(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 keep = np.ones(batch.num_rows, dtype=bool)
                 for block in blocks(batch.column(text_column)):
-                    for text, _ in sent.value.search(*normalise(block)):
+                    for text in sent.value.texts(*normalise(block)):
                         keep[block.first + text] = False
                 yield batch.filter(pa.array(keep))
 

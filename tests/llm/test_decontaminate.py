@@ -83,3 +83,17 @@ def test_texts_of_one_item_are_counted_together_in_any_number_of_groups(spark, m
     split = sorted(map(tuple, D.matches(docs, benchmark).collect()), key=repr)
     assert split == whole
     assert (1, 1, 12 * 8) in split and (1, None, 12 * 8) in split and (1, 2, 8) in split
+
+
+def test_short_items_and_ids_of_other_types(spark, make):
+    items = [(1, "one two three four"), (2, "solo"), (3, prose(40, 30)), (4, "!!!"), (3, "Solo")]
+    rows = [(1, "Zero one two three, four five", "en", "a"), (2, "one two three", "en", "a"), (3, "a SOLO voice", "en", "a"), (4, "soloist", "en", "a"), (5, prose(40, 30) + " solo", "en", "a")]
+    docs = make(rows)
+    want = {(1, 1): 1, (3, 2): 1, (3, 3): 1, (5, 2): 1, (5, 3): 18 + 1}
+    for kind in ("int", "bigint", "string", "date"):
+        table = spark.createDataFrame(items, "item_id int, text string").selectExpr(f"CAST({'DATE_ADD(DATE' + chr(39) + '2024-01-01' + chr(39) + ', item_id)' if kind == 'date' else 'item_id'} AS {kind}) AS item_id", "text")
+        ids = {r.item_id: r.k for r in table.selectExpr("item_id", f"CAST({'DATEDIFF(item_id, DATE' + chr(39) + '2024-01-01' + chr(39) + ')' if kind == 'date' else 'item_id'} AS int) AS k").distinct().collect()}
+        got = D.matches(docs, table)
+        assert got.schema["item_id"].dataType == table.schema["item_id"].dataType
+        assert {(x.doc_id, ids[x.item_id]): x.n_strings for x in got.collect()} == want
+    assert {x.doc_id for x in D.remove_contaminated(docs, table).collect()} == {2, 4}
