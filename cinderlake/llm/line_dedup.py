@@ -11,7 +11,7 @@ Results for edge cases: a NULL text stays NULL, an empty one empty. A NULL site
 lines like any other and are never the document that keeps one, unless no other has it, in which case all of them keep it.
 Rows that share an id count as one document. Lines compare after trimming spaces, tabs and carriage returns; the lines that
 stay are unchanged. Empty lines never go. An empty table gives an empty result. Further columns are ignored by ``boilerplate`` and kept by
-``remove_boilerplate``, whatever their names.
+``remove_boilerplate``, whatever their names; where one has the name ``removed``, the count takes the next free name. Texts of any length are worked on whole.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import materialise
+from ._common import free_name, materialise
 
 MIN_SITES = 10
 SKETCH_BITS = 11
@@ -70,4 +70,4 @@ def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, id_column: s
         out.append(F.when(F.col("__gone").isNull() | F.col(own_text).isNull(), F.lit(0)).otherwise(F.size(parts) - F.size(rest)).cast("bigint").alias("__removed"))
     if drop_emptied:
         joined = joined.where(F.col("__gone").isNull() | F.col(own_text).isNull() | F.exists(rest, lambda x: trimmed(x) != ""))
-    return joined.select(out).toDF(*docs.columns, *([removed] if removed else []))
+    return joined.select(out).toDF(*docs.columns, *([free_name(removed, docs.columns)] if removed else []))

@@ -49,3 +49,10 @@ def test_odd_rows(make, odd_rows):
     assert D.remove_boilerplate(make([])).count() == 0
     alone = [(None, "same", "en", f"s{k}") for k in range(4)]
     assert result(D.remove_boilerplate(make(alone), 2)) == brute(alone, 2) == Counter({(None, "same"): 4})
+
+
+def test_count_takes_a_free_name(spark, make, odd_rows, tmp_path):
+    out = D.remove_boilerplate(make(odd_rows), 2, removed="lines_removed")
+    assert out.columns[-1] == "lines_removed_2" and len({c.lower() for c in out.columns}) == len(out.columns)
+    out.write.parquet(str(tmp_path / "out"))
+    assert {r.lines_removed for r in out.collect()} == {"x"}
