@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import decontaminate, language_id, license_scan, line_dedup, media_chunks, secret_crf, simhash_bk, source_mix, suffix_dedup, token_counts
 from ._common import shared_folder
@@ -15,8 +16,12 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Starts with an empty cache of its own, so every distinct content is encoded."""
-    return token_counts.token_counts(_read(spark, sf_dir, "documents"), f"{shared_folder(spark)}/token_counts")
+    """Counts for all documents from a cache that holds, of their contents, those whose digest begins with an even digit; the others are misses."""
+    docs, cache = _read(spark, sf_dir, "documents"), f"{shared_folder(spark)}/token_counts"
+    vocabulary = spark.conf.get("spark.cinderlake.vocabulary", token_counts.VOCABULARY)
+    even = F.conv(F.hex(F.substring(token_counts.digest(F.col("text")), 1, 1)), 16, 10).cast("int").bitwiseAND(F.lit(16)) == 0
+    token_counts.fill(docs.where(even), cache, vocabulary)
+    return token_counts.token_counts(docs, cache, vocabulary)
 
 
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,7 +53,8 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash_bk.duplicates(_read(spark, sf_dir, "documents"))
+    """A row for each document that has copies or near duplicates: its class and number of links."""
+    return simhash_bk.classes(_read(spark, sf_dir, "documents"))
 
 
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ import random
 import pytest
 
 #: Columns that operators use inside; documents may have columns of these names too.
-CLASHING = ("id", "line", "site", "label", "language", "accepted", "node", "component", "keeper", "run", "head", "hot", "part", "rank", "key", "range", "slot", "phase", "position", "digest", "content", "bytes", "chunk", "media", "count", "__gone", "__id", "__row", "__places", "license", "start", "lines_removed")
+CLASHING = ("id", "line", "site", "label", "language", "accepted", "node", "component", "keeper", "run", "head", "hot", "part", "rank", "key", "range", "slot", "phase", "position", "digest", "content", "bytes", "chunk", "media", "count", "__gone", "__id", "__row", "__places", "license", "start", "lines_removed", "class", "links", "cell", "side", "batch", "n_tokens", "block", "source_2")
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, " + ", ".join(f"`{c}` string" for c in CLASHING)
 
 _FIRST = "ba be bi bo bu da de di do du ka ke ki ko ku la le li lo lu".split()

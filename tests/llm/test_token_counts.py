@@ -7,6 +7,7 @@ from pathlib import Path
 import pytest
 
 from cinderlake.llm import token_counts as C
+from cinderlake.llm.queries import op1_token_counts
 
 if not Path(C.VOCABULARY).exists():
     pytest.skip("no vocabulary here", allow_module_level=True)
@@ -44,3 +45,12 @@ def test_another_tokenizer_has_counts_of_its_own(make, tmp_path):
     a, b = C.token_counts(docs, path).first(), C.token_counts(docs, path, other).first()
     assert a.digest == b.digest and not b.was_cached
     assert b.n_tokens == len(C.encoder(other).encode_ordinary("Ünïcode 中文"))
+
+
+def test_query_meets_hits_and_misses(spark, make, odd_rows, tmp_path):
+    rows = [*odd_rows, *((100 + k, f"text {k}", "en", "s") for k in range(40))]
+    make(rows).write.parquet(str(tmp_path / "documents.parquet"))
+    got = op1_token_counts(spark, str(tmp_path)).collect()
+    assert Counter((r.doc_id, r.digest, r.n_tokens) for r in got) == brute(rows)
+    assert all(r.was_cached == (None if r.digest is None else int(r.digest[0], 16) % 2 == 0) for r in got)
+    assert {r.was_cached for r in got} == {True, False, None}
