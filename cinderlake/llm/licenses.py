@@ -1,4 +1,6 @@
-"""License templates: the standard notices and texts that source files and pages carry, as public knowledge has them."""
+"""License templates: the standard notices and texts that source files and pages carry, as public knowledge has them, and full texts of the common licenses."""
+
+from pathlib import Path
 
 TEMPLATES: dict[str, str] = {
     "mit-notice": "Released under the MIT License.",
@@ -43,3 +45,5 @@ and by any means.""",
 damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial
 applications, and to alter it and redistribute it freely""",
 }
+
+TEMPLATES |= {f"{path.stem}-text": path.read_text(encoding="utf-8") for path in sorted((Path(__file__).parent / "license_texts").glob("*.txt"))}

@@ -3,14 +3,15 @@
 A line is a sequence of tokens, each tagged secret-begin, secret-inside or outside. Features: the token's shape (length, digits, capitals, hexadecimal,
 letter-digit changes), its word and prefix, the three words before and the one after, the shape before, and the file (length, share of
 digits, share of ``=``). Weights are fitted by maximising the conditional likelihood on lines of a bounded sample of documents
-(``TRAIN_DOCS`` documents, ``TRAIN_LINES`` lines, documented parameters), in half of which generated secrets and look-alikes are planted; secrets that
-the lines already hold are labelled by an assignment rule. Viterbi decodes. All of it is numpy over whole blocks; a line in which no
+(``TRAIN_DOCS`` documents, ``TRAIN_LINES`` lines, of a line the first ``TRAIN_CHARS`` characters and in them ``TRAIN_TOKENS`` tokens around its first
+secret: documented parameters that bound the training sample and its memory; what is scanned is never cut), in half of which generated secrets and look-alikes are planted;
+secrets that the lines already hold are labelled by an assignment rule. Viterbi decodes. All of it is numpy over whole blocks; a line in which no
 token can lift a tagged path above the all-outside path, by a bound on scores and transitions, is all outside and is not decoded.
 
 One pass over the texts, no shuffle; the weights (fixed tables) are broadcast.
 
 Results for edge cases: NULL, empty and blank texts hold no secret. NULL ids, repeated ids and repeated rows are scanned each for itself. Of equally good paths the one
-that stays outside longest wins. An empty table gives an empty result, also for training: the generated lines alone are then used. Further columns are ignored.
+that stays outside longest wins. Lines and texts of any length are tagged whole. An empty table gives an empty result, also for training: the generated lines alone are then used. Further columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,8 +33,11 @@ from ._common import LOWER, Block, Substrings, blocks
 OUTSIDE, BEGIN, INSIDE = 0, 1, 2
 TRAIN_DOCS = 400
 TRAIN_LINES = 2800
-_CROP = 40
+TRAIN_CHARS = 4000
+TRAIN_TOKENS = 40
 _ROUNDS = 50
+#: Cells (line x token) of a padded table that is decoded at once.
+_CELLS = 1 << 17
 _RATE = 0.5
 _DECAY = 1e-4
 #: A feature value in fewer training lines has no weight.
@@ -168,13 +172,13 @@ def fit(texts: list[str], tags: list[list[tuple[int, int]]]) -> Model:
                 own[inside] = INSIDE
                 own[inside[:1]] = BEGIN
             middle = int(np.flatnonzero(own)[0]) if own.any() else 0
-            cut = max(0, min(middle - _CROP // 2, high - low - _CROP))
-            gathered.append([f[low:high][cut : cut + _CROP] for f in tokens.features])
-            labels.append(own[cut : cut + _CROP])
+            cut = max(0, min(middle - TRAIN_TOKENS // 2, high - low - TRAIN_TOKENS))
+            gathered.append([f[low:high][cut : cut + TRAIN_TOKENS] for f in tokens.features])
+            labels.append(own[cut : cut + TRAIN_TOKENS])
     lines = len(labels)
-    mask = np.zeros((lines, _CROP), dtype=bool)
-    gold = np.zeros((lines, _CROP), dtype=np.int64)
-    index = [np.zeros((lines, _CROP), dtype=np.int64) for _ in FEATURES]
+    mask = np.zeros((lines, TRAIN_TOKENS), dtype=bool)
+    gold = np.zeros((lines, TRAIN_TOKENS), dtype=np.int64)
+    index = [np.zeros((lines, TRAIN_TOKENS), dtype=np.int64) for _ in FEATURES]
     for k, own in enumerate(labels):
         mask[k, : len(own)] = True
         gold[k, : len(own)] = own
@@ -218,6 +222,25 @@ def viterbi(emission: np.ndarray, model: Model) -> np.ndarray:
     return tags
 
 
+def viterbi_all(scores: np.ndarray, lengths: np.ndarray, model: Model) -> np.ndarray:
+    """The same for many lines at once: ``scores`` (lines x places x tags) padded behind each line's length; lines come longest first."""
+    places = scores.shape[1]
+    back = np.zeros((places, len(scores), 3), dtype=np.int8)
+    score = model.initial + scores[:, 0]
+    for t in range(1, places):
+        n = int(np.searchsorted(-lengths, -t))  # lines that are longer than t
+        ways = score[:n, :, None] + model.transitions
+        back[t, :n] = ways.argmax(axis=1)
+        score[:n] = ways.max(axis=1) + scores[:n, t]
+    tags = np.zeros((len(scores), places), dtype=np.int8)
+    row = np.arange(len(scores))
+    tags[row, lengths - 1] = score.argmax(axis=1)
+    for t in range(places - 1, 0, -1):
+        n = int(np.searchsorted(-lengths, -t))
+        tags[:n, t - 1] = back[t, row[:n], tags[:n, t]]
+    return tags
+
+
 class Tagger:
     def __init__(self, model: Model) -> None:
         self.model = model
@@ -236,15 +259,28 @@ class Tagger:
         hot = np.flatnonzero(lift > 0)
         if not len(hot):
             return
-        for number in np.unique(tokens.line[hot]).tolist():
-            low, high = np.searchsorted(tokens.line, (number, number + 1))
-            emission = sum(table[index[low:high]] for table, index in zip(self.model.tables, tokens.features))
-            tags = viterbi(emission, self.model)
-            for k in np.flatnonzero(tags == BEGIN).tolist():
+        numbers = np.unique(tokens.line[hot])
+        lows, highs = np.searchsorted(tokens.line, numbers), np.searchsorted(tokens.line, numbers, side="right")
+        order = np.argsort(lows - highs, kind="stable")
+        lows, lengths = lows[order], (highs - lows)[order]
+        found = []
+        first = 0
+        while first < len(lows):  # lines of like length share a padded table
+            longest = int(lengths[first])
+            last = min(int(np.searchsorted(-lengths, -(longest * 3 // 4), side="right")), first + max(1, _CELLS // longest))
+            own, at = lengths[first:last], np.arange(longest)
+            place = np.minimum(lows[first:last, None] + at, len(tokens.line) - 1)
+            scores = sum(table[index[place]] for table, index in zip(self.model.tables, tokens.features))
+            tags = viterbi_all(scores, own, self.model)
+            tags[at >= own[:, None]] = OUTSIDE
+            for line, k in zip(*np.nonzero(tags == BEGIN)):
                 end = k + 1
-                while end < len(tags) and tags[end] == INSIDE:
+                while end < own[line] and tags[line, end] == INSIDE:
                     end += 1
-                yield int(tokens.doc[low]), int(tokens.begins[low + k]), int(tokens.ends[low + end - 1])
+                low = int(lows[first + line])
+                found.append((int(tokens.doc[low]), int(tokens.begins[low + k]), int(tokens.ends[low + end - 1])))
+            first = last
+        yield from sorted(found)
 
 
 _ASSIGNED = re.compile(r"""(?i)\b(?:api_?key|access_?key|auth_?token|access_?token|token|client_?secret|secret(?:_access)?(?:_key)?|passw(?:or)?d|pwd|private_?key)["']?\s*[=:]\s*["']?([^\s"']{8,})""")
@@ -314,7 +350,7 @@ def train(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     chosen = docs.select(F.col(id_column).alias("id")).where("id is not null").orderBy(F.xxhash64("id"), "id").limit(train_docs).distinct()
     texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text")).join(F.broadcast(chosen), "id", "left_semi")
     lines = texts.select(F.explode(F.split("text", "\n")).alias("line")).where("line <> ''")
-    picked = lines.select(F.xxhash64("line").alias("h"), F.substring("line", 1, 4000).alias("line")).orderBy("h", "line").limit(train_lines)
+    picked = lines.select(F.xxhash64("line").alias("h"), F.substring("line", 1, TRAIN_CHARS).alias("line")).orderBy("h", "line").limit(train_lines)
     return fit(*training_lines([row.line for row in picked.collect()]))  # at most train_lines rows
 
 
