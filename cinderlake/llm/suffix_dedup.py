@@ -5,24 +5,30 @@ the ``ANCHOR``-word runs within a passage the one with the smallest hash (the fi
 the same place, so nothing is lost, and about two words in 27 are anchors. Anchors whose run occurs in one document only are dropped by
 one narrow aggregation; those that are left carry the hashes of the passages that chose them.
 
-Each task sorts its suffixes (``ANCHOR`` words as 32-bit codes, most significant first), cuts the run at splitters taken from a sample, and front-codes it: the
-number of words shared with the suffix before, and the words after those. A range's runs meet in one task and are merged by a loser tree that keeps
-for each run the prefix it shares with the last suffix out: if two differ in it the longer one goes first without a comparison, else
-comparison starts behind it. The merge gives each suffix the prefix it shares with its predecessor; suffixes that share all ``ANCHOR`` words form a group,
-in which the passages that occur in two documents at least are found.
+A suffix is the text from its anchor on, as far as a passage that chose the anchor reaches (``PASSAGE`` words at most, each followed by a space, so that order by bytes
+is order by words). Each task sorts its suffixes by their text, cuts the run at splitters taken from a sample, and front-codes it: the bytes shared with the suffix
+before, and those after. A range's runs meet in one task and are merged by a loser tree that keeps for each run the prefix it shares with the last suffix
+out: if two differ in it the longer one goes first without a comparison, else comparison starts behind it. Splitters look at no more of a suffix than an anchor's words
+are sure to have, so suffixes that share a passage meet.
+
+The merge gives each suffix the prefix that it shares with its predecessor, and these delimit the suffixes that share any number of words. A passage that begins ``j`` words
+before its anchor is repeated by those that share ``PASSAGE - j`` words from there on and the ``j`` words before, which travel with the suffix as text; so passages are compared
+by their words throughout, hashes only choose anchors and leave out those of one document.
 
 Results for edge cases: NULL, empty and shorter texts than a passage have none. Rows with a NULL id are left out. Rows that share an id count as one
 document, so a passage repeated in them alone is not reported, nor is one repeated within one document. Words compare case-folded, without
-punctuation. An empty table gives an empty result. Further columns are ignored. Of the documents that hold a passage, the one with the smallest id keeps it.
+punctuation. Texts of any length are worked on whole. An empty table gives an empty result. Further columns are ignored, whatever their names. Of the documents that hold a passage, the one with the smallest id keeps it.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,9 +38,12 @@ from ._common import Block, Substrings, Words, blocks, materialise, mix, words_o
 
 PASSAGE = 50
 ANCHOR = 25
-#: Suffixes that one merging task gets, about.
-RANGE_SUFFIXES = 20_000
+#: Suffixes that one merging task gets, about, and that one sorted run has at least unless the task has fewer.
+RANGE_SUFFIXES = 50_000
+RUN_SUFFIXES = 100_000
 _SAMPLE = 64
+#: Sampled heads for each range that come to the driver, and the bytes of a head.
+_HEADS, _HEAD_BYTES = 32, 48
 
 
 def anchors(block: Block, passage: int = PASSAGE, anchor: int = ANCHOR) -> tuple[Words, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, Substrings | None]:
@@ -69,12 +78,24 @@ def anchors(block: Block, passage: int = PASSAGE, anchor: int = ANCHOR) -> tuple
     return words, doc[first], chosen[first], starts[first], starts[last], grams[chosen[first]], sums
 
 
-def _codes(words: Words) -> np.ndarray:
-    return (words.hashes >> np.uint64(32)).astype(np.uint32)
+def _plain(words: Words) -> tuple[bytes, np.ndarray]:
+    """All words of a block, each followed by a space, and where each begins."""
+    length = words.ends - words.begins
+    at = np.concatenate([[0], np.cumsum(length + 1)])
+    out = np.full(at[-1], 32, dtype=np.uint8)
+    inner = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
+    out[np.repeat(at[:-1], length) + inner] = words.folded[np.repeat(words.begins, length) + inner]
+    return out.tobytes(), at
+
+
+def _head_bytes(anchor: int) -> int:
+    """How much of a suffix splitters see: what ``anchor`` words have at least, so that suffixes which share them fall in one range."""
+    return min(_HEAD_BYTES, 2 * anchor)
 
 
 def anchor_table(docs: DataFrame, passage: int, anchor: int) -> DataFrame:
-    """``run, id, head`` for each anchor: its run's hash, and for a sample of runs the first two word codes."""
+    """``run, id, head`` for each anchor: its run's hash, and for a sample of runs the first bytes of the suffix."""
+    size = _head_bytes(anchor)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -82,22 +103,25 @@ def anchor_table(docs: DataFrame, passage: int, anchor: int) -> DataFrame:
                 words, doc, at, _, _, runs, _ = anchors(block, passage, anchor)
                 if not len(at):
                     continue
-                codes = _codes(words).astype(np.uint64)
-                head = ((codes[at] << np.uint64(32)) | codes[at + 1]) ^ np.uint64(1 << 63)
-                skip = runs % np.uint64(_SAMPLE) != 0
+                heads: list[bytes | None] = [None] * len(at)
+                picked = np.flatnonzero(runs % np.uint64(_SAMPLE) == 0)
+                if len(picked):
+                    raw, begin = _plain(words)
+                    for k in picked.tolist():
+                        heads[k] = raw[begin[at[k]] : begin[at[k]] + size]
                 # a document's equal runs count once
-                yield pa.RecordBatch.from_arrays([pa.array(runs.view(np.int64)), batch.column(0).take(pa.array(block.first + doc)), pa.array(head.view(np.int64), mask=skip)], ["run", "id", "head"])
+                yield pa.RecordBatch.from_arrays([pa.array(runs.view(np.int64)), batch.column(0).take(pa.array(block.first + doc)), pa.array(heads, pa.binary())], ["run", "id", "head"])
 
-    return docs.mapInArrow(apply, T.StructType([T.StructField("run", T.LongType()), docs.schema.fields[0], T.StructField("head", T.LongType())]))
+    return docs.mapInArrow(apply, T.StructType([T.StructField("run", T.LongType()), docs.schema.fields[0], T.StructField("head", T.BinaryType())]))
 
 
 class LoserTree:
     """Merges sorted runs of byte strings, each with the length of the prefix it shares with the one before in its run.
 
-    Yields (run, place in the run, prefix shared with the last string out). Prefixes count whole words of ``unit`` bytes.
+    Yields (run, place in the run, prefix shared with the last string out). Prefixes count whole units of ``unit`` bytes.
     """
 
-    def __init__(self, runs: list[tuple[list[bytes], list[int]]], unit: int = 4) -> None:
+    def __init__(self, runs: list[tuple[list[bytes], list[int]]], unit: int = 1) -> None:
         self.runs, self.unit = runs, unit
         self.compared = 0  # bytes looked at, for tests
 
@@ -165,20 +189,77 @@ class LoserTree:
                 node //= 2
 
 
-def suffix_runs(docs: DataFrame, splitters: list[int], passage: int, anchor: int) -> DataFrame:
+def shared_bytes(a: bytes, b: bytes) -> int:
+    size = min(len(a), len(b))
+    x = int.from_bytes(a[:size], "big") ^ int.from_bytes(b[:size], "big")
+    return size if not x else size - (x.bit_length() + 7) // 8
+
+
+def encode(keys: list[bytes]) -> tuple[np.ndarray, bytes]:
+    """A sorted run, front-coded: the bytes each string shares with the one before, and the rest of it."""
+    shared, tails, last = np.zeros(len(keys), np.int32), [], b""
+    for k, key in enumerate(keys):
+        same = len(key) if key is last else shared_bytes(last, key)
+        shared[k] = same
+        tails.append(key[same:])
+        last = key
+    return shared, b"".join(tails)
+
+
+def decode(shared: np.ndarray, length: np.ndarray, tails: bytes) -> list[bytes]:
+    """A front-coded run's strings; equal neighbours are one object."""
+    out, at, last = [], 0, b""
+    for same, size in zip(shared.tolist(), length.tolist()):
+        if same < size or size < len(last):
+            last = last[:same] + tails[at : at + size - same]
+            at += size - same
+        out.append(last)
+    return out
+
+
+#: What travels of a suffix besides its text: shared bytes, length, the first passage's place, words from there to the anchor, passages, bytes of the words before.
+_FIELDS = 6
+
+
+def suffix_runs(docs: DataFrame, splitters: list[bytes], passage: int, anchor: int) -> DataFrame:
     """Front-coded sorted runs, cut at the splitters. ``docs`` has ``id, text, hot``: the runs of each document that others have too."""
-    cut = np.array(splitters, dtype=np.int64)
     id_field = docs.schema.fields[0]
-    schema = T.StructType([T.StructField("part", T.IntegerType()), *(T.StructField(c, T.BinaryType()) for c in ("shared", "tails", "words", "counts", "passages")), T.StructField("ids", T.ArrayType(id_field.dataType))])
+    size = _head_bytes(anchor)
+    schema = T.StructType([T.StructField("part", T.IntegerType()), *(T.StructField(c, T.BinaryType()) for c in ("fields", "tails", "backs")), T.StructField("ids", T.ArrayType(id_field.dataType))])
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(level=3)
+        keys: list[bytes] = []
+        backs: list[bytes] = []
+        fields: list[np.ndarray] = []
+        ids: list[pa.Array] = []
+
+        def emit() -> pa.RecordBatch:
+            order = sorted(range(len(keys)), key=keys.__getitem__)
+            every, owner = np.concatenate(fields), pa.concat_arrays(ids)
+            part = [bisect_right(splitters, keys[k][:size]) for k in order]
+            edges = [k for k in range(len(order)) if not k or part[k] != part[k - 1]]
+            out: list[list] = [[] for _ in range(5)]
+            for a, b in zip(edges, [*edges[1:], len(order)]):
+                own = order[a:b]
+                strings = [keys[k] for k in own]
+                shared, tails = encode(strings)
+                behind = [backs[k] for k in own]
+                table = np.column_stack([shared, [len(s) for s in strings], every[own], [len(s) for s in behind]]).astype(np.int32)
+                made = (part[a], squeeze.compress(np.ascontiguousarray(table.T).tobytes()), squeeze.compress(tails), squeeze.compress(b"".join(behind)), owner.take(pa.array(own, pa.int64())))
+                for column, value in zip(out, made):
+                    column.append(value)
+            for held in (keys, backs, fields, ids):
+                held.clear()
+            lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, out[4])]), pa.int32()), pa.concat_arrays(out[4]))
+            return pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), *(pa.array(c, pa.binary()) for c in out[1:4]), lists], schema.names)
+
         for batch in batches:
-            keys, rows, places, counts, passages = [], [], [], [], []
             hot = batch.column(2)
             ends = hot.offsets.to_numpy()
             values = hot.values.to_numpy(zero_copy_only=False).view(np.uint64)
             for block in blocks(batch.column(1)):
-                words, doc, at, first, last, runs, sums = anchors(block, passage, anchor)
+                words, doc, at, first, last, runs, _ = anchors(block, passage, anchor)
                 if not len(at):
                     continue
                 low, high = ends[block.first], ends[block.last]
@@ -188,108 +269,75 @@ def suffix_runs(docs: DataFrame, splitters: list[int], passage: int, anchor: int
                 if not len(kept):
                     continue
                 doc, at, first, last = doc[kept], at[kept], first[kept], last[kept]
-                codes = _codes(words)
-                keys.append(codes[at[:, None] + np.arange(anchor)])
-                own = last - first + 1
-                start = np.repeat(first, own) + np.arange(own.sum()) - np.repeat(np.cumsum(own) - own, own)
-                passages.append(sums.of(start, start + passage))
-                rows.append(block.first + doc)
-                places.append(np.stack([first - words.offsets[doc], at - first], axis=1))
-                counts.append(own)
-            if not keys:
-                continue
-            key, row, place, count = np.concatenate(keys), np.concatenate(rows), np.concatenate(places), np.concatenate(counts)
-            flat = np.concatenate(passages)
-            heads = np.cumsum(count) - count
-            text = np.ascontiguousarray(key.astype(">u4")).view(f"S{4 * anchor}").ravel()
-            order = np.argsort(text, kind="stable")
-            key, row, place, count, heads = key[order], row[order], place[order], count[order], heads[order]
-            head = (((key[:, 0].astype(np.uint64) << np.uint64(32)) | key[:, 1]) ^ np.uint64(1 << 63)).view(np.int64)
-            part = np.searchsorted(cut, head, side="right")
-            same = np.zeros(len(key), dtype=np.int64)
-            differ = key[1:] != key[:-1]
-            same[1:] = np.where(differ.any(axis=1), differ.argmax(axis=1), anchor)
-            edges = np.flatnonzero(np.diff(part, prepend=-1))
-            same[edges] = 0
-            out: list[list] = [[] for _ in range(7)]
-            ids = batch.column(0)
-            for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(key)]):
-                inside = np.arange(anchor) >= same[a:b, None]
-                own = count[a:b]
-                flat_at = np.repeat(heads[a:b], own) + np.arange(own.sum()) - np.repeat(np.cumsum(own) - own, own)
-                made = (int(part[a]), same[a:b].astype(np.uint8).tobytes(), key[a:b].astype(">u4")[inside].tobytes(), place[a:b].astype(np.int32).tobytes(), own.astype(np.uint16).tobytes(), flat[flat_at].tobytes(), ids.take(pa.array(row[a:b])))
-                for column, value in zip(out, made):
-                    column.append(value)
-            lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, out[6])]), pa.int32()), pa.concat_arrays(out[6]))
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), *(pa.array(c, pa.binary()) for c in out[1:6]), lists], schema.names)
+                raw, begin = _plain(words)
+                keys += [raw[a:b] for a, b in zip(begin[at].tolist(), begin[last + passage].tolist())]
+                backs += [raw[a:b] for a, b in zip(begin[first].tolist(), begin[at].tolist())]
+                fields.append(np.column_stack([first - words.offsets[doc], at - first, last - first + 1]))
+                ids.append(batch.column(0).take(pa.array(block.first + doc)))
+            if len(keys) >= RUN_SUFFIXES:
+                yield emit()
+        if keys:
+            yield emit()
 
     return docs.mapInArrow(apply, schema)
 
 
-def decode(shared: bytes, tails: bytes) -> tuple[list[bytes], list[int]]:
-    """A front-coded run's strings, and the words each shares with the one before."""
-    lengths = list(shared)
-    out, at, last = [], 0, b""
-    width = _width(lengths, len(tails)) if lengths else 0
-    for same in lengths:
-        size = 4 * (width - same)
-        last = last[: 4 * same] + tails[at : at + size]
-        at += size
-        out.append(last)
-    return out, lengths
-
-
-def _width(lengths: list[int], size: int) -> int:
-    """Words of a string: all have the same number, so it follows from the tails' size."""
-    return (size // 4 + sum(lengths)) // len(lengths)
+def merge_range(runs: list[tuple[list[bytes], list[int]]]) -> tuple[np.ndarray, np.ndarray]:
+    """Merge a range's runs: each suffix's number (runs one after the other), in sorted order, and how many words it shares with the one before."""
+    base = np.cumsum([0, *(len(strings) for strings, _ in runs)]).tolist()
+    order, words = [], []
+    for run, place, prefix in LoserTree(runs):
+        order.append(base[run] + place)
+        words.append(runs[run][0][place].count(b" ", 0, prefix))
+    return np.array(order, np.int64), np.array(words, np.int64)
 
 
-def merge_range(runs: list[dict], anchor: int) -> tuple[np.ndarray, np.ndarray]:
-    """Merge a range's runs: each suffix's number (runs one after the other) and group, in sorted order."""
-    decoded = [decode(run["shared"], run["tails"]) for run in runs]
-    base = np.cumsum([0, *(len(d[0]) for d in decoded)])
-    order, group, number = [], [], -1
-    for run, place, prefix in LoserTree(decoded):
-        if prefix < anchor or number < 0:
-            number += 1
-        order.append(int(base[run]) + place)
-        group.append(number)
-    return np.array(order, np.int64), np.array(group, np.int64)
-
-
-def repeated(runs: list[dict], ids: pa.Array, passage: int, anchor: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def repeated(runs: list[dict], ids: pa.Array, passage: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Passages in two documents or more: (suffix row, first start, last start, row of the keeping document)."""
-    order, group = merge_range(runs, anchor)
-    place = np.concatenate([np.frombuffer(r["words"], np.int32).reshape(-1, 2) for r in runs]).astype(np.int64)
-    count = np.concatenate([np.frombuffer(r["counts"], np.uint16) for r in runs]).astype(np.int64)
-    flat = np.concatenate([np.frombuffer(r["passages"], np.uint64) for r in runs])
-    heads = np.cumsum(count) - count
+    spread = zstandard.ZstdDecompressor()
+    tables = [np.frombuffer(spread.decompress(run["fields"]), np.int32).reshape(_FIELDS, -1) for run in runs]
+    order, shared = merge_range([(decode(t[0], t[1], spread.decompress(run["tails"])), t[0].tolist()) for t, run in zip(tables, runs)])
+    _, _, first, back, count, _ = np.concatenate(tables, axis=1)[:, order].astype(np.int64)
+    # the words before each anchor, numbered, the nearest first
+    behind = [spread.decompress(run["backs"]) for run in runs]
+    numbers: dict[bytes, int] = {}
+    flat = np.array([numbers.setdefault(w, len(numbers)) for text in behind for w in text.split()], dtype=np.int64)
+    all_back = np.concatenate([t[3] for t in tables]).astype(np.int64)
+    ends = np.cumsum(all_back)[order]
     # documents by rank, so that ids of any type compare
-    dense = np.asarray(pc.rank(ids, tiebreaker="dense")).astype(np.int64)
-    sorted_count = count[order]
-    entry = np.repeat(order, sorted_count)
-    step = np.arange(len(entry)) - np.repeat(np.cumsum(sorted_count) - sorted_count, sorted_count)
-    key = flat[heads[entry] + step]
-    behind = place[entry, 1] - step  # words from the passage's start to the anchor
-    own_group = np.repeat(group, sorted_count)
-    by = np.lexsort((dense[entry], key, behind, own_group))
-    g, k, o, d = own_group[by], key[by], behind[by], dense[entry][by]
-    new = np.ones(len(by), dtype=bool)
-    new[1:] = (g[1:] != g[:-1]) | (k[1:] != k[:-1]) | (o[1:] != o[:-1])
-    begins = np.flatnonzero(new)
-    cls = np.cumsum(new) - 1
-    ends = np.append(begins[1:], len(by)) - 1
-    several = d[begins] != d[ends]
-    keep = by[several[cls]]
-    keeper = entry[by[begins]][cls[several[cls]]]
-    row, start = entry[keep], place[entry[keep], 0] + step[keep]
+    dense = np.asarray(pc.rank(ids, tiebreaker="dense")).astype(np.int64)[order]
+    alike = np.zeros(len(order), dtype=np.int64)  # the class of the words before, as far as they are looked at
+    rows, starts, keepers = [], [], []
+    for j in range(int(back.max(initial=0)) + 1):
+        if j:
+            there = np.flatnonzero(back >= j)
+            key = alike[there] * (len(numbers) + 1) + flat[ends[there] - j]
+            alike[there] = np.unique(key, return_inverse=True)[1]
+        own = np.flatnonzero((back >= j) & (back - count < j))
+        if len(own) < 2:
+            continue
+        interval = np.cumsum(shared < passage - j)
+        key = interval[own] * (len(order) + 1) + alike[own]
+        by = np.lexsort((dense[own], key))
+        own, key = own[by], key[by]
+        new = np.ones(len(own), dtype=bool)
+        new[1:] = key[1:] != key[:-1]
+        begins = np.flatnonzero(new)
+        cls = np.cumsum(new) - 1
+        ending = np.append(begins[1:], len(own)) - 1
+        keep = np.flatnonzero((dense[own[begins]] != dense[own[ending]])[cls])
+        rows.append(own[keep])
+        starts.append((first + back - j)[own[keep]])
+        keepers.append(own[begins][cls[keep]])
+    none = np.zeros(0, np.int64)
+    row, start, keeper = (np.concatenate([none, *parts]) for parts in (rows, starts, keepers))
     by = np.lexsort((start, row))
     row, start, keeper = row[by], start[by], keeper[by]
     new = np.ones(len(row), dtype=bool)
     new[1:] = (row[1:] != row[:-1]) | (start[1:] != start[:-1] + 1) | (dense[keeper[1:]] != dense[keeper[:-1]])
-    first = np.flatnonzero(new)
-    last = np.append(first[1:], len(row)) - 1
-    return row[first], start[first], start[last] if len(row) else start, keeper[first]
+    at = np.flatnonzero(new)
+    last = np.append(at[1:], len(row)) - 1
+    return order[row[at]], start[at], start[last] if len(row) else start, order[keeper[at]]
 
 
 def passages(docs: DataFrame, passage: int = PASSAGE, anchor: int | None = None, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -305,9 +353,14 @@ def passages(docs: DataFrame, passage: int = PASSAGE, anchor: int | None = None,
     by_doc = materialise(table.select("run", "id").join(hot, "run", "left_semi").groupBy("id").agg(F.collect_set("run").alias("hot")))
     suffixes = by_doc.agg(F.sum(F.size("hot").cast("bigint"))).first()[0] or 0
     parts = max(1, -(-suffixes // RANGE_SUFFIXES))
-    shares = [k / parts for k in range(1, parts)]
-    splitters = table.agg(F.percentile_approx("head", shares, 20000)).first()[0] if shares else []
-    runs = suffix_runs(texts.join(by_doc, "id").select("id", "text", "hot"), sorted(set(splitters or [])), passage, anchor)
+    splitters: list[bytes] = []
+    if parts > 1:
+        # runs are sampled whole, so that frequent ones weigh as much as they have suffixes; few enough heads for each range come to the driver
+        step = max(1, suffixes // _SAMPLE // (parts * _HEADS))
+        sample = table.where(F.col("head").isNotNull() & (F.pmod(F.xxhash64("run"), F.lit(step)) == 0)).join(hot, "run", "left_semi")
+        heads = sorted(bytes(r.head) for r in sample.select("head").collect())
+        splitters = sorted({heads[k * len(heads) // parts] for k in range(1, parts)}) if heads else []
+    runs = suffix_runs(texts.join(by_doc, "id").select("id", "text", "hot"), splitters, passage, anchor)
     # a task for each range: hashed part numbers would give some tasks several ranges and others none
     ranges = runs.repartitionById(parts, "part")
     id_field = T.StructField("id", texts.schema["id"].dataType)
@@ -324,13 +377,13 @@ def passages(docs: DataFrame, passage: int = PASSAGE, anchor: int | None = None,
                         yield held, pa.concat_arrays(ids)
                         held, ids = [], []
                     part = own
-                    held.append({c: batch.column(c)[k].as_py() for c in ("shared", "tails", "words", "counts", "passages")})
+                    held.append({c: batch.column(c)[k].as_py() for c in ("fields", "tails", "backs")})
                     ids.append(lists[k].values)
             if held:
                 yield held, pa.concat_arrays(ids)
 
         for held, ids in whole():
-            row, first, last, keeper = repeated(held, ids, passage, anchor)
+            row, first, last, keeper = repeated(held, ids, passage)
             if len(row):
                 yield pa.RecordBatch.from_arrays([ids.take(pa.array(row)), pa.array(first), pa.array(last), ids.take(pa.array(keeper))], schema.names)
 

@@ -4,6 +4,7 @@ import random
 import re
 from collections import defaultdict
 
+import numpy as np
 import pytest
 
 from cinderlake.llm import suffix_dedup as S
@@ -39,9 +40,11 @@ def found(frame):
     return {(x.doc_id, x.first_word, x.end_word, x.kept_doc_id, x.is_kept) for x in frame.collect()}
 
 
-@pytest.mark.parametrize("ranges", [20_000, 40])
-def test_equals_brute_force(make, monkeypatch, ranges):
+@pytest.mark.parametrize(("ranges", "sample", "run"), [(50_000, 64, 100_000), (40, 1, 50)])
+def test_equals_brute_force(make, monkeypatch, ranges, sample, run):
     monkeypatch.setattr(S, "RANGE_SUFFIXES", ranges)
+    monkeypatch.setattr(S, "_SAMPLE", sample)
+    monkeypatch.setattr(S, "RUN_SUFFIXES", run)
     r = random.Random(3)
     shared = [prose(500 + k, r.randint(8, 60)) for k in range(8)]
     rows = []
@@ -67,7 +70,7 @@ def test_loser_tree_orders_and_compares_little():
                 while shared[i] < 6 and strings[i][: 4 * shared[i] + 4] == strings[i - 1][: 4 * shared[i] + 4]:
                     shared[i] += 1
             runs.append((strings, shared))
-        tree, out = S.LoserTree(runs), []
+        tree, out = S.LoserTree(runs, 4), []
         for run, place, prefix in tree:
             string = runs[run][0][place]
             if out:
@@ -86,3 +89,25 @@ def test_odd_rows(make, odd_rows):
     assert S.passages(make([(1, prose(1, 49), "en", "s"), (2, prose(1, 49), "en", "s")])).count() == 0
     twice = [(1, prose(1, 80), "en", "s"), (1, prose(1, 80), "en", "s"), (2, (prose(2, 70) + " ") * 2, "en", "s")]
     assert S.passages(make(twice)).count() == 0
+
+
+def test_front_coding_round_trip():
+    r = random.Random(4)
+    keys = sorted(b"".join(r.choice((b"a ", b"bb ", b"abc ")) for _ in range(r.randint(1, 9))) for _ in range(300))
+    shared, tails = S.encode(keys)
+    assert S.decode(shared, np.array([len(k) for k in keys]), tails) == keys and len(tails) < sum(map(len, keys)) / 2
+    order, words = S.merge_range([(keys[::2], [0, *(S.shared_bytes(a, b) for a, b in zip(keys[::2], keys[2::2]))]), (keys[1::2], [0, *(S.shared_bytes(a, b) for a, b in zip(keys[1::2], keys[3::2]))])])
+    both = keys[::2] + keys[1::2]
+    merged = [both[k] for k in order]
+    assert merged == keys
+    for a, b, n in zip(merged, merged[1:], words[1:]):
+        x, y = a.split(), b.split()
+        assert n == next((k for k, (u, v) in enumerate(zip(x, y)) if u != v), min(len(x), len(y)))
+
+
+def test_words_of_one_letter_and_long_words(make):
+    r = random.Random(6)
+    shared = " ".join(r.choice("abcdefgh") for _ in range(60))
+    wide = " ".join(["x" * 70_000, *(r.choice(WORDS) for _ in range(60))])
+    rows = [(k, f"{prose(k, 9)} {shared if k % 2 else wide} {prose(50 + k, 9)}", "en", "s") for k in range(6)]
+    assert found(S.passages(make(rows))) == brute(rows, S.PASSAGE)
