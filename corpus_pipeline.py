@@ -1,7 +1,18 @@
 """The corpus pipeline: from raw documents to a deduplicated, decontaminated corpus mixed to target weights.
 
 Each stage takes ``(spark, docs, sf_dir)`` and works on all that the one before kept; between stages the documents are written
-as Parquet and read again. All stages but the last return the columns of ``docs`` as they came; the last adds ``mix_position``.
+as Parquet and read again. All stages but the last return the columns of ``docs`` as they came; the last adds ``mix_position`` (or ``mix_position_2`` and so on where
+the documents have a column of that name).
+
+Results for edge cases, by stage:
+
+* language: NULL, empty and letterless texts go, as they are in no language; so does every row if none is labelled. NULL ids and sources and repeated rows stay.
+* lines: a text stays NULL or empty if it is; a document of which nothing is left goes. NULL sources count as no site. ``n_chars``, where there is such a column, follows the text.
+* near duplicates: rows with a NULL id or without words stay; rows that share an id but not their text are different documents; of equal rows one stays.
+* benchmark: texts without words stay; items without words match nothing.
+* mixing: every row gets one place; a NULL source is a source of its own.
+
+Texts of any length are worked on whole; further columns are kept whatever their names; an empty table goes through all stages.
 """
 
 from __future__ import annotations
