@@ -1,20 +1,31 @@
-"""Bitemporal version rules: runs, islands, the two order-dependent folds, and the growth windows."""
+"""Bitemporal version rules: runs, islands, the two order-dependent folds, reconciliation of two sources, and the growth windows.
+
+The folds depend on the order of a key's rows, which no window frame expresses. Rows come to them sorted by the window that marks where a fold can start anew (a gap of
+more than four hours), and are folded as a stream: one pass, one value of state for the open window, whatever a key's number of rows.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-WINDOW = "INTERVAL 4 HOURS"
-TOLERANCE = pd.Timedelta(hours=4)
+from ..functions import scalars as S
+from ..functions import spatial
+
+TOLERANCE_MICROS = 4 * 3_600_000_000
+COMPUTED_AREA_COLUMNS = ("poly_Acres_AutoCalc", "poly_GISAcres", "area_acres")
+INCIDENT_SIZE_COLUMNS = ("attr_IncidentSize", "attr_FinalAcres")
 
 
-def effective_time(observed: Column, mapped: Column, snapshot: Column) -> Column:
-    return F.coalesce(observed, mapped, snapshot)
+def effective_time(observed: Column, current: Column, snapshot: Column) -> Column:
+    """The mapping time, else the time the source calls current, else the snapshot's."""
+    return F.coalesce(observed, current, snapshot)
 
 
 def object_rank(object_id: Column) -> Column:
@@ -41,28 +52,38 @@ def islands(rows: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
     return marked.withColumn(name, F.sum("__new").over(window.rowsBetween(W.unboundedPreceding, 0))).drop("__before", "__new")
 
 
+def _micros(time: Column) -> Column:
+    return F.unix_micros(time.cast("timestamp"))
+
+
 def anchored_windows(rows: DataFrame, keys: Sequence[str], time: str, tie: str, name: str = "window_number") -> DataFrame:
     """Number windows that open at a row and hold all rows up to four hours after *it*; the next row opens the next one.
 
-    Each window's start depends on the one before, which no window frame expresses: a fold over each key's sorted times,
-    as an array expression, so nothing leaves the JVM. A NULL time is a window of its own.
+    A NULL time is a window of its own. The window function that finds gaps sorts the rows, and they are numbered in that order as they pass: one shuffle, no join.
     """
-    packed = F.sort_array(F.collect_list(F.struct(F.col(time).alias("t"), F.col(tie).alias("k"))))
-    kind = rows.schema[time].dataType.simpleString()
-    start = F.struct(F.lit(0).alias("n"), F.lit(None).cast(kind).alias("s"), F.array().cast("array<int>").alias("out"))
-
-    def step(acc: Column, x: Column) -> Column:
-        inside = F.coalesce(x["t"] <= acc["s"] + F.expr(WINDOW), F.lit(False))
-        number = F.when(inside, acc["n"]).otherwise(acc["n"] + 1)
-        return F.struct(number.alias("n"), F.when(inside, acc["s"]).otherwise(x["t"]).alias("s"), F.concat(acc["out"], F.array(number)).alias("out"))
-
-    folded = rows.groupBy(*keys).agg(packed.alias("__rows")).withColumn("__numbers", F.reduce("__rows", start, step, lambda acc: acc["out"]))
-    flat = folded.select(*keys, F.explode(F.arrays_zip("__rows", "__numbers")).alias("__x"))
-    numbers = flat.select(*(F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)), F.col("__x")["__rows"]["k"].alias("__tie"), F.col("__x")["__numbers"].alias(name))
-    same = F.col(tie).eqNullSafe(F.col("__tie"))
-    for i, k in enumerate(keys):
-        same = same & F.col(k).eqNullSafe(F.col(f"__k{i}"))
-    return rows.join(numbers, same).drop("__tie", *(f"__k{i}" for i in range(len(keys))))
+    window = W.partitionBy(*keys).orderBy(time, tie)
+    at = _micros(F.col(time))
+    marked = rows.withColumn("__at", at).withColumn("__start", F.row_number().over(window) == 1)
+    gap = F.coalesce(F.col("__at") - F.lag("__at").over(window), F.lit(TOLERANCE_MICROS + 1)) > TOLERANCE_MICROS
+    sorted_rows = marked.withColumn("__gap", gap)
+    kept = list(rows.columns)
+    schema = T.StructType([*rows.schema.fields, T.StructField(name, T.IntegerType())])
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count, opened = 0, 0
+        for batch in batches:
+            out = []
+            times, starts, gaps = (batch.column(c).to_pylist() for c in ("__at", "__start", "__gap"))
+            for t, start, apart in zip(times, starts, gaps):
+                if start:
+                    count = 0
+                if start or apart or t is None or t - opened > TOLERANCE_MICROS:
+                    count += 1
+                    opened = 0 if t is None else t
+                out.append(count)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(out, pa.int32())], schema.names)
+
+    return sorted_rows.mapInArrow(number, schema)
 
 
 def keep_preferred(rows: DataFrame, keys: Sequence[str], window: str, source: str, preferred: Column) -> DataFrame:
@@ -72,44 +93,128 @@ def keep_preferred(rows: DataFrame, keys: Sequence[str], window: str, source: st
     return rows.withColumn("__both", both).where(~F.col("__both") | (F.col(source) == preferred)).drop("__both")
 
 
-def merge_identical(rows: list[dict], preferred: str) -> list[dict]:
-    """Fold sorted observations (``source, shape, time, attributes``): one with an earlier version's shape, at most four hours from it, merges into it.
+def merge_identical(rows: Sequence[tuple[int | None, bool]]) -> tuple[list[int], list[int]]:
+    """Fold observations of one shape, given as (time in microseconds, is of the preferred source) in order.
 
-    All earlier versions are tried in order and the first match counts. The version that stays is the earlier one if it is of the preferred source, else
-    the later; it takes the place of the earlier one, and the other's attributes where it has none of that name.
+    Gives for each the number of the version that it becomes or joins, and its rank in it: of two that merge the earlier version stays if it is of the preferred source,
+    else the later observation takes its place, and the greater rank is the one on top. All earlier versions are tried in order; the first at most four hours away counts.
     """
-    versions: list[dict] = []
-    alike: dict = {}  # places of the versions of each shape: only those can match, and a merge keeps the shape
-    for row in rows:
-        places = alike.setdefault(row["shape"], [])
-        time = row["time"]
-        absent = time is None or time is pd.NaT
-        for number in places:
-            other = versions[number]
-            then = other["time"]
-            missing = then is None or then is pd.NaT
-            if (absent and missing) or (not absent and not missing and abs(time - then) <= TOLERANCE):
-                winner, loser = (other, row) if other["source"] == preferred else (row, other)
-                versions[number] = {**winner, "attributes": {**loser["attributes"], **winner["attributes"]}}
+    versions: list[list] = []  # time and preference of each version's top, and the least and greatest rank in it
+    joined, ranks = [], []
+    for time, preferred in rows:
+        for number, version in enumerate(versions):
+            then = version[0]
+            if (time is None and then is None) or (time is not None and then is not None and abs(time - then) <= TOLERANCE_MICROS):
+                if version[1]:
+                    version[2] -= 1
+                    ranks.append(version[2])
+                else:
+                    version[3] += 1
+                    version[0], version[1] = time, preferred
+                    ranks.append(version[3])
+                joined.append(number)
                 break
         else:
-            places.append(len(versions))
-            versions.append(row)
-    return versions
+            joined.append(len(versions))
+            ranks.append(0)
+            versions.append([time, preferred, 0, 0])
+    return joined, ranks
 
 
 def merge_identical_observations(rows: DataFrame, key: str, preferred: str = "preferred") -> DataFrame:
-    """``merge_identical`` for each key, over ``key, seq, source, shape, time, attributes, preferred``; rows fold in the order of time and ``seq``.
+    """Merge observations of one shape that lie at most four hours apart, over ``key, seq, source, shape, time, attributes, preferred`` (and any others).
 
-    ``attributes`` is a map of strings. One shuffle on the key; a key's rows are folded in one task, as their order demands.
+    Rows fold in the order of time and ``seq``; a version takes all columns of its top row, ``attributes`` (a map of strings) from all its rows, those on top first, and its
+    place in the order, ``place``, from its first row. Only shapes equal, so each shape folds by itself, and a gap of more than four hours between its rows starts anew: rows
+    that are alone between two gaps pass untouched, the others are numbered as a stream and then aggregated by version.
     """
-
-    def fold(group: pd.DataFrame) -> pd.DataFrame:
-        ordered = group.sort_values(["time", "seq"], na_position="first")
-        records = [{**r, "attributes": dict(r["attributes"] or {}), "shape": None if r["shape"] is None else r["shape"]} for r in ordered.to_dict("records")]
-        return pd.DataFrame(merge_identical(records, records[0][preferred]), columns=group.columns)
-
-    return rows.groupBy(key).applyInPandas(fold, rows.schema)
+    window = W.partitionBy(key, "shape").orderBy(F.col("time").asc_nulls_first(), "seq")
+    at = _micros(F.col("time"))
+    apart = lambda other: F.when(F.col("__at").isNull() & other.isNull(), False).otherwise(F.coalesce(F.abs(F.col("__at") - other) > TOLERANCE_MICROS, F.lit(True)))
+    first, last = F.lag(F.lit(1)).over(window).isNull(), F.lead(F.lit(1)).over(window).isNull()
+    marked = rows.withColumn("__at", at).withColumn("__opens", first | apart(F.lag("__at").over(window))).withColumn("__closes", last | apart(F.lead("__at").over(window)))
+    columns = rows.columns
+    alone = marked.where("__opens and __closes").select(*columns, F.col("seq").alias("place"))
+    many = marked.where("not (__opens and __closes)").withColumn("__preferred", F.col("source") == F.col(preferred)).drop("__closes")
+    schema = T.StructType([*rows.schema.fields, T.StructField("place", rows.schema["seq"].dataType), T.StructField("__rank", T.IntegerType())])
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def fold() -> pa.RecordBatch:
+            batch = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            times, kinds, opens = (batch.column(c).to_pylist() for c in ("__at", "__preferred", "__opens"))
+            begins = [k for k, o in enumerate(opens) if o or not k]
+            top, ranks = [], []
+            for a, b in zip(begins, [*begins[1:], len(opens)]):
+                joined, own = merge_identical([(t, bool(p)) for t, p in zip(times[a:b], kinds[a:b])])
+                heads: dict[int, int] = {}
+                top += [heads.setdefault(v, a + k) for k, v in enumerate(joined)]
+                ranks += own
+            return pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), batch.column("seq").take(pa.array(top)), pa.array(ranks, pa.int32())], schema.names)
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            opens = np.flatnonzero(batch.column("__opens").to_numpy(zero_copy_only=False))
+            if held and len(opens):  # rows before the last opening are whole clusters
+                held.append(batch.slice(0, int(opens[-1])))
+                yield fold()
+                held.clear()
+                batch = batch.slice(int(opens[-1]))
+            held.append(batch)
+        if held:
+            yield fold()
+
+    folded = many.mapInArrow(number, schema)
+    rest = [c for c in columns if c not in (key, "shape", "attributes")]
+    packed = F.array_sort(F.collect_list(F.struct("__rank", "attributes")), lambda x, y: x["__rank"] - y["__rank"])
+    over = lambda low, high: F.map_concat(F.map_filter(low, lambda k, _: ~F.map_contains_key(high, k)), high)
+    none = F.create_map().cast(rows.schema["attributes"].dataType)
+    merged = F.reduce(packed, none, lambda acc, x: over(acc, F.coalesce(x["attributes"], none)))
+    versions = folded.groupBy(key, "shape", "place").agg(F.max_by(F.struct(*rest), "__rank").alias("__top"), merged.alias("attributes"))
+    return alone.unionByName(versions.select(key, "shape", "place", "attributes", "__top.*").select(*columns, "place"))
+
+
+def shape_key(shape: Column) -> Column:
+    """What shapes compare by: their bytes, with all empty shapes alike."""
+    return F.when(F.octet_length(shape) <= 9, F.lit(b"")).otherwise(shape)
+
+
+def is_implausibly_small(shape: Column, attributes: Column, computed_fraction: float = 0.2, incident_fraction: float = 0.01) -> Column:
+    """Whether a shape's area falls below a part of the area that its row reports for it, or of the incident's size; shapes that are NULL or empty do not."""
+    area = F.when(F.octet_length(shape) > 9, spatial.st_area_acres(shape))
+    reported = [S.first_positive(*(S.numeric(attributes[c]) for c in names)) for names in (COMPUTED_AREA_COLUMNS, INCIDENT_SIZE_COLUMNS)]
+    return F.coalesce(area < computed_fraction * reported[0], F.lit(False)) | F.coalesce(area < incident_fraction * reported[1], F.lit(False))
+
+
+def drop_implausibly_small(rows: DataFrame, shape: str = "shape", attributes: str = "attributes") -> DataFrame:
+    """Rows whose shape has not collapsed. Areas are measured only where a size is reported."""
+    sizes = F.coalesce(*(F.col(attributes)[c] for c in (*COMPUTED_AREA_COLUMNS, *INCIDENT_SIZE_COLUMNS)))
+    measured = F.when(sizes.isNotNull(), F.col(shape))
+    return rows.where(~is_implausibly_small(measured, F.col(attributes)))
+
+
+def reconcile(rows: DataFrame, key: str = "fire_id") -> DataFrame:
+    """One version list for each key from two perimeter sources.
+
+    ``rows`` have ``key, source`` (FIRIS or WFIGS), ``shape, observation_time, snapshot_time, serial, object_id, row_seq, attributes, preferred`` (and any others). In each source
+    the last of consecutive equal shapes stays; then both sources' versions of one shape merge if at most four hours apart; where both remain in an anchored window of four hours the
+    preferred source's stay; collapsed shapes go. ``time`` is the effective time and ``seq`` the order within the key.
+    """
+    current = S.modified_time(F.col("attributes")["poly_DateCurrent"])
+    timed = rows.withColumn("time", effective_time(F.col("observation_time"), current, F.col("snapshot_time"))).withColumn("__shape", shape_key(F.col("shape")))
+    order = [F.col("time").asc_nulls_first(), F.col("serial"), object_rank(F.col("object_id")), F.col("row_seq")]
+    collapsed = last_of_runs(timed, [key, "source"], order, "__shape")
+    # of rows that tie in all but their place the first source's come first, as the second's are appended to them
+    ranked = collapsed.withColumn("seq", F.row_number().over(W.partitionBy(key).orderBy(*order[:3], "source", "row_seq")))
+    renamed = ranked.withColumnRenamed("shape", "__own").withColumnRenamed("__shape", "shape")
+    merged = merge_identical_observations(renamed, key)
+    placed = merged.drop("shape").withColumnRenamed("__own", "shape")
+    again = W.partitionBy(key).orderBy(*order[:3], "place")
+    numbered = anchored_windows(placed.withColumn("seq", F.row_number().over(again)).drop("place"), [key], "time", "seq", "__window")
+    kept = keep_preferred(numbered, [key], "__window", "source", F.col("preferred")).drop("__window")
+    return drop_implausibly_small(kept)
 
 
 def growth(rows: DataFrame, keys: Sequence[str], order: Sequence[str | Column], value: str, name: str) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -310,14 +310,70 @@ def point_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grouped.agg(F.min("event_type").alias("event_type"), F.min("ts").alias("first_time"), F.min_by("value", order).alias("first_value"), F.max_by("event_id", order).alias("last_event"))
 
 
-@query()
-def merge_contemporaneous(spark: SparkSession, sf_dir: str) -> DataFrame:
+# a fold in SQL: the versions of one shape so far as a list, the first one near enough replaced by its merger with the next row
+_FOLD = """
+    steps AS (
+        SELECT user_id, shape, n, [{'time': time, 'source': source, 'event_id': event_id, 'place': seq, 'attributes': attributes}] AS versions FROM ordered WHERE n = 1
+        UNION ALL
+        SELECT o.user_id, o.shape, o.n, CASE
+            WHEN len(list_filter(s.versions, lambda v: abs(epoch_us(v.time) - epoch_us(o.time)) <= 14400000000)) = 0
+            THEN list_append(s.versions, {'time': o.time, 'source': o.source, 'event_id': o.event_id, 'place': o.seq, 'attributes': o.attributes})
+            ELSE list_transform(s.versions, lambda v, i: CASE
+                WHEN i <> list_position(list_transform(s.versions, lambda w: abs(epoch_us(w.time) - epoch_us(o.time)) <= 14400000000), true) THEN v
+                WHEN v.source = 'FIRIS' THEN {'time': v.time, 'source': v.source, 'event_id': v.event_id, 'place': v.place, 'attributes': map_concat(o.attributes, v.attributes)}
+                ELSE {'time': o.time, 'source': o.source, 'event_id': o.event_id, 'place': v.place, 'attributes': map_concat(v.attributes, o.attributes)} END) END
+        FROM steps s JOIN ordered o ON o.user_id = s.user_id AND o.shape = s.shape AND o.n = s.n + 1),
+    merged AS (
+        SELECT user_id, shape, unnest(versions) AS v FROM (SELECT * FROM steps QUALIFY row_number() OVER (PARTITION BY user_id, shape ORDER BY n DESC) = 1))"""
+_SHOWN = "array_to_string(list_sort(list_transform(map_entries(v.attributes), lambda e: e.key || '=' || e.value)), ',')"
+_OBSERVED = """SELECT user_id, event_id, event_type AS shape, ts AS time, CASE WHEN event_id % 2 = 0 THEN 'FIRIS' ELSE 'WFIGS' END AS source,
+        MAP {'k' || CAST(event_id % 3 AS VARCHAR): CAST(event_id AS VARCHAR)} AS attributes FROM events"""
+
+_OBSERVED_SIZED = _OBSERVED.replace("MAP {", "map_concat(CASE WHEN event_id % 11 = 0 THEN MAP {'area_acres': '1e9'} ELSE MAP {} END, MAP {", 1).replace("} AS attributes", "}) AS attributes")
+
+
+def _observed(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = F.when(F.col("event_id") % 2 == 0, "FIRIS").otherwise("WFIGS")
     attributes = F.create_map(F.concat(F.lit("k"), (F.col("event_id") % 3).cast("string")), F.col("event_id").cast("string"))
-    rows = read(spark, sf_dir, "events").select("user_id", F.col("event_id").alias("seq"), source.alias("source"), F.col("event_type").alias("shape"), F.col("ts").alias("time"), attributes.alias("attributes"), F.lit("FIRIS").alias("preferred"))
-    merged = versions.merge_identical_observations(rows, "user_id")
-    entries = F.array_sort(F.transform(F.map_entries("attributes"), lambda e: F.concat(e["key"], F.lit("="), e["value"])))
-    return merged.select("user_id", "seq", "source", "shape", "time", F.array_join(entries, ",").alias("attributes"))
+    return read(spark, sf_dir, "events").select("user_id", "event_id", source.alias("source"), F.col("event_type").alias("shape"), F.col("ts").alias("time"), attributes.alias("attributes"), F.lit("FIRIS").alias("preferred"))
+
+
+def _entries(attributes: str) -> Column:
+    return F.array_join(F.array_sort(F.transform(F.map_entries(attributes), lambda e: F.concat(e["key"], F.lit("="), e["value"]))), ",")
+
+
+@query(f"""
+    WITH RECURSIVE rows AS ({_OBSERVED}),
+    ordered AS (SELECT *, event_id AS seq, row_number() OVER (PARTITION BY user_id, shape ORDER BY time, event_id) AS n FROM rows),{_FOLD}
+    SELECT user_id, v.event_id AS event_id, v.source AS source, shape, v.time AS time, v.place AS place, {_SHOWN} AS attributes FROM merged""")
+def merge_contemporaneous(spark: SparkSession, sf_dir: str) -> DataFrame:
+    merged = versions.merge_identical_observations(_observed(spark, sf_dir).withColumn("seq", F.col("event_id")), "user_id")
+    return merged.select("user_id", "event_id", "source", "shape", "time", "place", _entries("attributes").alias("attributes"))
+
+
+@query(f"""
+    WITH RECURSIVE rows AS ({_OBSERVED_SIZED}),
+    last AS (SELECT * FROM rows QUALIFY lead(shape) OVER (PARTITION BY user_id, source ORDER BY time, event_id) IS DISTINCT FROM shape),
+    ordered AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY time, event_id) AS seq, row_number() OVER (PARTITION BY user_id, shape ORDER BY time, event_id) AS n FROM last),{_FOLD},
+    o AS (SELECT user_id, shape, v.event_id AS event_id, v.source AS source, v.time AS time, {_SHOWN} AS attributes,
+        row_number() OVER (PARTITION BY user_id ORDER BY v.time, v.event_id, v.place) AS n FROM merged),
+    w AS (
+        SELECT user_id, n, time, time AS opened, 1 AS number FROM o WHERE n = 1
+        UNION ALL SELECT o.user_id, o.n, o.time, CASE WHEN o.time <= w.opened + INTERVAL 4 HOUR THEN w.opened ELSE o.time END, CASE WHEN o.time <= w.opened + INTERVAL 4 HOUR THEN w.number ELSE w.number + 1 END
+        FROM w JOIN o ON o.user_id = w.user_id AND o.n = w.n + 1),
+    k AS (SELECT o.*, bool_or(o.source = 'FIRIS') OVER p AND bool_or(o.source = 'WFIGS') OVER p AS mixed FROM o JOIN w USING (user_id, n) WINDOW p AS (PARTITION BY user_id, number))
+    SELECT user_id, event_id, source, shape AS kind, time, attributes FROM k
+    WHERE (NOT mixed OR source = 'FIRIS') AND attributes NOT LIKE '%area_acres%'""")
+def reconcile_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event type is a box of its own; every eleventh event reports a size that its box falls far below."""
+    kinds = ["click", "error", "purchase", "signup", "view"]
+    side = F.coalesce(F.array_position(F.array(*map(F.lit, kinds)), F.col("shape")), F.lit(0)).cast("double") / 100
+    size = F.when(F.col("event_id") % 11 == 0, F.lit("1e9"))
+    rows = _observed(spark, sf_dir).withColumn("kind", F.col("shape")).withColumn("shape", spatial.st_box(-side - 120, -side + 37, side - 120, side + 37))
+    attributes = F.when(size.isNotNull(), F.map_concat("attributes", F.create_map(F.lit("area_acres"), size))).otherwise(F.col("attributes"))
+    rows = rows.select("user_id", "event_id", "source", "shape", "kind", F.col("time").alias("observation_time"), F.lit(None).cast("timestamp_ntz").alias("snapshot_time"), F.lit(1).alias("serial"), F.col("event_id").alias("object_id"), F.col("event_id").alias("row_seq"), attributes.alias("attributes"), "preferred")
+    made = versions.reconcile(rows, "user_id")
+    return made.select("user_id", "event_id", "source", "kind", "time", _entries("attributes").alias("attributes"))
 
 
 @query("""
