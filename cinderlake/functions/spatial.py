@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,13 +54,46 @@ def st_distance(left: pd.Series, right: pd.Series) -> pd.Series:
     return pd.Series([None if a is None or b is None else G.distance(G.decode(bytes(a)), G.decode(bytes(b))) for a, b in zip(left, right)], dtype="float64")
 
 
+@F.pandas_udf(T.BooleanType())
+def st_dwithin(left: pd.Series, right: pd.Series, most: pd.Series) -> pd.Series:
+    """Whether two shapes are at most so far apart; empty shapes are not."""
+    rows = zip(left, right, most)
+    return pd.Series([None if a is None or b is None else G.dwithin(G.decode(bytes(a)), G.decode(bytes(b)), d) for a, b, d in rows], dtype=object)
+
+
+@F.pandas_udf(T.StructType([T.StructField(c, T.DoubleType()) for c in ("x0", "y0", "x1", "y1")]))
+def st_bounds(shape: pd.Series) -> pd.DataFrame:
+    """Least and greatest x and y; NULL for NULL and empty shapes."""
+    found = [None if w is None else G.bounds(G.decode(bytes(w))) for w in shape]
+    return pd.DataFrame([f or (None,) * 4 for f in found], columns=["x0", "y0", "x1", "y1"], dtype="float64")
+
+
+@F.pandas_udf(T.BooleanType())
+def st_has_z(shape: pd.Series) -> pd.Series:
+    return shape.map(lambda w: None if w is None else G.has_z(bytes(w)))
+
+
+@F.pandas_udf(T.BooleanType())
+def st_is_valid(shape: pd.Series) -> pd.Series:
+    return shape.map(lambda w: None if w is None else G.is_valid(_area(w)))
+
+
 @F.pandas_udf(T.BinaryType())
-def st_transform_3310(shape: pd.Series) -> pd.Series:
-    def moved(wkb: bytes | None) -> bytes | None:
-        area = _area(wkb)
-        return G.encode([[G.to_california_albers(r) for r in p] for p in area]) if area else None
+def st_make_valid(shape: pd.Series) -> pd.Series:
+    """Polygons without crossing edges; anything without polygons stays as it is."""
+    return shape.map(lambda w: w if w is None or not _area(w) else G.encode(G.make_valid(_area(w))))
+
+
+@F.pandas_udf(T.DoubleType())
+def st_length_meters(shape: pd.Series) -> pd.Series:
+    """Metres along lines of degrees; NULL for NULL, 0 for shapes without lines."""
+    return shape.map(lambda w: None if w is None else G.geodesic_length(G.decode(bytes(w)).lines))
 
-    return shape.map(moved)
+
+@F.pandas_udf(T.BinaryType())
+def st_transform_3310(shape: pd.Series) -> pd.Series:
+    """Points, lines and polygons of degrees in metres of California Albers; heights stay."""
+    return shape.map(lambda w: None if w is None else G.map_coordinates(bytes(w), G.to_california_albers))
 
 
 @F.pandas_udf(T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())]))
@@ -68,18 +102,41 @@ def st_representative_point(shape: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(points, columns=["x", "y"], dtype="float64")
 
 
+@F.pandas_udf(T.BinaryType())
+def st_point_within(shape: pd.Series) -> pd.Series:
+    """``st_representative_point`` as a shape; a shape without polygons gives its first point."""
+
+    def point(wkb: bytes | None) -> bytes | None:
+        if wkb is None:
+            return None
+        found = G.decode(bytes(wkb))
+        if found.polygons:
+            return G.encode_point(np.array(G.representative_point(found.polygons)))
+        return G.encode_point(found.points[0]) if found.points else None
+
+    return shape.map(point)
+
+
 @F.pandas_udf(T.BinaryType())
 def st_box(x0: pd.Series, y0: pd.Series, x1: pd.Series, y1: pd.Series) -> pd.Series:
     return pd.Series([G.encode(G.box(*row)) for row in zip(x0, y0, x1, y1)], dtype=object)
 
 
-def union_by(rows: DataFrame, key: str, shape: str) -> DataFrame:
-    """``key, shape``: the union of each key's shapes. Shapes of a map task unite first, so a key's final task gets one shape a task."""
+@F.pandas_udf(T.BinaryType())
+def st_union_agg(shape: pd.Series) -> bytes:
+    """The union of a group's polygons, an aggregate for SQL; ``union_by`` unites in map tasks first and is the way for large groups."""
+    area = G.union_all([a for a in map(_area, shape) if a])
+    return G.encode(area) if area else None
+
+
+def union_by(rows: DataFrame, key: str, shape: str, every_kind: bool = False) -> DataFrame:
+    """``key, shape``: the union of each key's polygons, or with ``every_kind`` of its points and lines too (NULL where there are none). Shapes of a map task unite first, so a key's final task gets one shape a task."""
     kind = rows.schema[key].dataType.simpleString()
 
     def unite(frame: pd.DataFrame) -> pd.DataFrame:
-        area = G.union_all([a for a in map(_area, frame["shape"]) if a])
-        return pd.DataFrame({"key": frame["key"].iloc[:1], "shape": [G.encode(area) if area else None]})
+        shapes = [G.decode(bytes(w)) for w in frame["shape"] if w is not None]
+        whole = G.union_of_kinds(shapes if every_kind else [G.Geometry([], [], x.polygons) for x in shapes])
+        return pd.DataFrame({"key": frame["key"].iloc[:1], "shape": [None if whole.is_empty else G.encode_all(whole)]})
 
     def local(frames):
         for frame in frames:
@@ -92,28 +149,32 @@ def union_by(rows: DataFrame, key: str, shape: str) -> DataFrame:
 
 
 def differential(rows: DataFrame, key: str, seq: str, shape: str) -> DataFrame:
-    """``key, seq, shape, acres, ring_acres`` of the rows whose shape, cut by all later ones, outgrows the one before.
+    """``key, seq, last_seq, shape, ring, acres, ring_acres`` of the rows whose shape, cut by all later ones, outgrows the one before.
 
-    The cut is a scan from the last shape backwards, so a key's rows are folded in one task.
+    ``shape`` is the cut one, ``ring`` what it adds; ``last_seq`` is the last row before the next that grows, whose attributes go with it. The cut is a scan from the last
+    shape backwards, so a key's rows are folded in one task.
     """
     kinds = [rows.schema[c].dataType.simpleString() for c in (key, seq)]
+    columns = ["key", "seq", "last_seq", "shape", "ring", "acres", "ring_acres"]
 
     def fold(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("seq", kind="stable")
         corrected = G.suffix_intersections([_area(w) for w in frame["shape"]])
-        out = []
-        for i in G.growth_indices(corrected):
+        grown, out = G.growth_indices(corrected), []
+        for i, following in zip(grown, [*grown[1:], len(frame)]):
             before = corrected[i - 1] if i else None
             ring = G.overlay(corrected[i], before, "difference") if before else corrected[i]
-            out.append((frame["key"].iloc[0], frame["seq"].iloc[i], G.encode(corrected[i]), G.geodesic_area(corrected[i]) / SQUARE_METERS_PER_ACRE, G.geodesic_area(ring) / SQUARE_METERS_PER_ACRE))
-        return pd.DataFrame(out, columns=["key", "seq", "shape", "acres", "ring_acres"])
+            acres = [G.geodesic_area(a) / SQUARE_METERS_PER_ACRE for a in (corrected[i], ring)]
+            out.append((frame["key"].iloc[0], frame["seq"].iloc[i], frame["seq"].iloc[following - 1], G.encode(corrected[i]), G.encode(ring), *acres))
+        return pd.DataFrame(out, columns=columns)
 
     flat = rows.select(F.col(key).alias("key"), F.col(seq).alias("seq"), F.col(shape).alias("shape"))
-    made = flat.groupBy("key").applyInPandas(fold, f"key {kinds[0]}, seq {kinds[1]}, shape binary, acres double, ring_acres double")
-    return made.withColumnRenamed("key", key).withColumnRenamed("seq", seq).withColumnRenamed("shape", shape)
+    schema = f"key {kinds[0]}, seq {kinds[1]}, last_seq {kinds[1]}, shape binary, ring binary, acres double, ring_acres double"
+    made = flat.groupBy("key").applyInPandas(fold, schema)
+    return made.toDF(key, seq, f"last_{seq}", shape, "ring", "acres", "ring_acres")
 
 
 def register(spark: SparkSession) -> None:
     """Make the functions known to SQL under their names."""
-    for name in ("st_area", "st_area_acres", "st_clean", "st_intersection", "st_union", "st_difference", "st_symdifference", "st_distance", "st_transform_3310", "st_representative_point", "st_box"):
+    for name in ("st_area", "st_area_acres", "st_bounds", "st_clean", "st_dwithin", "st_has_z", "st_is_valid", "st_length_meters", "st_make_valid", "st_point_within", "st_union_agg", "st_intersection", "st_union", "st_difference", "st_symdifference", "st_distance", "st_transform_3310", "st_representative_point", "st_box"):
         spark.udf.register(name, globals()[name])

@@ -6,11 +6,12 @@ Shapes are in California Albers. The state box and the border are fixed and smal
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
-from ..functions.scalars import SQUARE_METERS_PER_ACRE
+from ..functions import spatial
+from ..functions.scalars import SQUARE_METERS_PER_ACRE, is_out_of_state, is_unique_fire_identifier
 
 
 def geometry_signal(shape: Column, box: bytes, border: bytes, outside_fraction: float = 0.01, outside_acres: float = 500.0, inside_fraction: float = 0.5, near: float = 10_000.0) -> Column:
@@ -89,3 +90,46 @@ def classify(geometry: Column, extent: Column, identifier: Column) -> Column:
         name.alias("classification"), geometry["distance"].alias("distance"), geometry["outside_fraction"].alias("outside_fraction"), geometry["inside_fraction"].alias("inside_fraction"),
         extent["ratio"].alias("ratio"), F.array_compact(F.array(*fired)).alias("signals"),
     )
+
+
+def unit_codes(identifiers: Column, mission: Column) -> Column:
+    """The units that unique fire identifiers name in their middle part, and the mission: likewise if it is one, else by a first part of two letters."""
+    unit = lambda v: F.split(v, "-")[1]
+    named = F.transform(F.filter(identifiers, is_unique_fire_identifier), unit)
+    first = F.split(mission, "-")[0]
+    own = F.when(is_unique_fire_identifier(F.lower(mission)), unit(mission)).when(F.length(first) == 2, first)
+    return F.array_compact(F.concat(F.coalesce(named, F.array().cast("array<string>")), F.array(own)))
+
+
+def identifier_signal(identifiers: Column, mission: Column, origin_state: Column, origin_fips: Column) -> Column:
+    """Whether a row's unit codes, or the state or county where it began, are not California's."""
+    signals = [F.exists(unit_codes(identifiers, mission), is_out_of_state), F.lower(origin_state) != "us-ca", ~origin_fips.startswith("06")]
+    found = F.lit(False)
+    for signal in signals:
+        found = found | F.coalesce(signal, F.lit(False))
+    return found
+
+
+def freshest(rows: DataFrame, key: str = "fire_id") -> DataFrame:
+    """``key, source, shape, observed_at`` of each source's newest row: by time (missing ones oldest), then serial; of equals the first."""
+    order = F.struct(F.coalesce("observed_at", F.lit("0001-01-01 00:00:00").cast("timestamp")), "serial", -F.col("row_seq"))
+    newest = rows.groupBy(key, "source").agg(F.max_by(F.struct("shape", "observed_at"), order).alias("__top"))
+    return newest.select(key, "source", "__top.shape", "__top.observed_at")
+
+
+def classify_fires(rows: DataFrame, box: bytes, border: bytes) -> DataFrame:
+    """``fire_id`` and its class with measures and signals, from all rows of the fire.
+
+    ``rows`` have ``fire_id, row_seq, source, serial, shape`` (degrees), ``observed_at, identifiers, mission, origin_state, origin_fips``; ``box`` and ``border`` are in California
+    Albers. Shapes of a fire are united in map tasks first; the two newest perimeters meet on the fire.
+    """
+    moved = rows.withColumn("shape", spatial.st_transform_3310("shape"))
+    united = spatial.union_by(moved.select("fire_id", "shape"), "fire_id", "shape", every_kind=True)
+    measured = united.select("fire_id", geometry_signal(F.col("shape"), box, border).alias("geometry"))
+    newest = freshest(moved.where(F.col("source").isin("FIRIS", "WFIGS"))).groupBy("fire_id").agg(
+        *(F.first(F.when(F.col("source") == s, F.struct("shape", "observed_at")), ignorenulls=True).alias(s) for s in ("FIRIS", "WFIGS"))
+    )
+    extents = newest.select("fire_id", extent_signal(F.col("FIRIS.shape"), F.col("WFIGS.shape"), contemporaneous(F.col("FIRIS.observed_at"), F.col("WFIGS.observed_at"))).alias("extent"))
+    named = rows.groupBy("fire_id").agg(F.max(identifier_signal(F.col("identifiers"), F.col("mission"), F.col("origin_state"), F.col("origin_fips"))).alias("identifier"))
+    joined = named.join(measured, "fire_id", "left").join(extents, "fire_id", "left")
+    return joined.select("fire_id", classify(F.col("geometry"), F.col("extent"), F.col("identifier")).alias("c")).select("fire_id", "c.*")

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import is_mixed_case
+from ..config import NEAR_DEGREES, OUTLIER_DEGREES
+from ..functions import spatial
+from ..functions.scalars import canonical_identifier, is_mixed_case
 from .components import connected_components
 
 
@@ -37,6 +39,94 @@ def proximity_pairs(points: DataFrame, distance: float, row_id: str = "row_seq",
     return left.join(right, near & (gap <= distance**2)).select(F.col("l.id").alias("a"), F.col("r.id").alias("b"))
 
 
+def shape_pairs(shapes: DataFrame, distance: float, row_id: str = "row_seq", shape: str = "shape", group: str | None = None, cell: float = 0.5) -> DataFrame:
+    """``a, b`` (a < b) of shapes at most ``distance`` apart, and in the same group if one is named; NULL and empty shapes are near nothing.
+
+    Boxes, widened by half the distance, fall into the square cells that they touch; a pair of boxes is looked at in the first cell that both touch, so each pair
+    comes once. Shapes themselves join only the pairs whose boxes are near.
+    """
+    named = [F.col(group).alias("g")] if group else [F.lit(0).alias("g")]
+    boxed = shapes.select(F.col(row_id).alias("id"), *named, spatial.st_bounds(F.col(shape)).alias("b")).where("b.x0 is not null and g is not null")
+    at = lambda value: F.floor(value / cell).cast("bigint")
+    half = distance / 2
+    spans = boxed.select("id", "g", "b", *(at(F.col(f"b.{c}") + (half if c[1] == "1" else -half)).alias(f"c{c}") for c in ("x0", "y0", "x1", "y1")))
+    spread = spans.withColumn("cx", F.explode(F.sequence("cx0", "cx1"))).withColumn("cy", F.explode(F.sequence("cy0", "cy1")))
+    left, right = spread.alias("l"), spread.alias("r")
+    met = (F.col("l.g") == F.col("r.g")) & (F.col("l.cx") == F.col("r.cx")) & (F.col("l.cy") == F.col("r.cy")) & (F.col("l.id") < F.col("r.id"))
+    first = (F.col("l.cx") == F.greatest("l.cx0", "r.cx0")) & (F.col("l.cy") == F.greatest("l.cy0", "r.cy0"))
+    close = F.lit(True)
+    for axis in ("x", "y"):
+        close = close & (F.col(f"l.b.{axis}0") - F.col(f"r.b.{axis}1") <= distance) & (F.col(f"r.b.{axis}0") - F.col(f"l.b.{axis}1") <= distance)
+    pairs = left.join(right, met & first & close).select(F.col("l.id").alias("a"), F.col("r.id").alias("b"))
+    own = shapes.select(F.col(row_id).alias("__id"), F.col(shape).alias("__shape"))
+    for end in ("a", "b"):
+        pairs = pairs.join(own.withColumnRenamed("__shape", f"__{end}"), F.col(end) == F.col("__id")).drop("__id")
+    return pairs.where(spatial.st_dwithin("__a", "__b", F.lit(float(distance)))).select("a", "b")
+
+
+def _distinct_shapes(rows: DataFrame, group: str, row_id: str, shape: str) -> tuple[DataFrame, DataFrame]:
+    """The first row of each shape of a group, and each row's first (``a, b``): rows of equal shapes are compared once."""
+    digest = F.sha2(F.col(shape), 256)
+    keyed = rows.where(F.col(shape).isNotNull() & (F.octet_length(shape) > 9)).select(F.col(group).alias("g"), F.col(row_id).alias("a"), digest.alias("d"), F.col(shape).alias("shape"))
+    first = keyed.groupBy("g", "d").agg(F.min("a").alias("b"), F.min_by("shape", "a").alias("shape"), F.count("*").alias("n"))
+    return first.select("g", F.col("b").alias("row_seq"), "shape", "n"), keyed.select("g", "a", "d").join(first.select("g", "d", "b"), ["g", "d"]).select("g", "a", "b")
+
+
+def name_edges(records: DataFrame, distance: float = NEAR_DEGREES, row_id: str = "row_seq", shape: str = "shape") -> DataFrame:
+    """Edges between rows that share a normalised name and lie near each other; equal shapes of a name form a star."""
+    named = records.select(F.col(row_id).alias("row_seq"), F.col(shape).alias("shape"), F.explode("names").alias("name"))
+    shapes, copies = _distinct_shapes(named, "name", "row_seq", "shape")
+    near = shape_pairs(shapes, distance, group="g")
+    return near.unionAll(copies.where("a <> b").select("a", "b")).distinct()
+
+
+def resolve(records: DataFrame, materialise: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``records`` with ``fire_id``: rows are one fire that share an identifier, or a name and a place, directly or through others."""
+    edges = identifier_edges(records).unionAll(name_edges(records))
+    return fire_groups(records, edges, materialise)
+
+
+def fire_entities(rows: DataFrame) -> DataFrame:
+    """``fire_id, name, status, identifier, aliases``: the preferred name, ACTIVE if any row is, the canonical one of all identifiers."""
+    names = preferred_names(rows.select("fire_id", "name", "row_seq"), "fire_id", "name", "row_seq")
+    found = rows.groupBy("fire_id").agg(F.max(F.when(F.col("status") == "ACTIVE", 1).otherwise(0)).alias("__active"))
+    listed = rows.select("fire_id", F.explode("identifiers").alias("identifier")).distinct().groupBy("fire_id").agg(F.array_sort(F.collect_list("identifier")).alias("aliases"))
+    joined = found.join(names, "fire_id").join(listed, "fire_id", "left").withColumn("aliases", F.coalesce("aliases", F.array().cast("array<string>")))
+    status = F.when(F.col("__active") == 1, "ACTIVE").otherwise("INACTIVE")
+    return joined.select("fire_id", "name", status.alias("status"), canonical_identifier(F.col("aliases")).alias("identifier"), "aliases")
+
+
+def distant_fires(rows: DataFrame, distance: float = OUTLIER_DEGREES) -> DataFrame:
+    """``fire_id`` of fires of which some row lies further than ``distance`` from all others, or has no shape while another has one."""
+    shapes, copies = _distinct_shapes(rows, "fire_id", "row_seq", "shape")
+    pairs = shape_pairs(shapes, distance, group="g")
+    near = pairs.select("a").unionAll(pairs.select("b")).unionAll(shapes.where("n > 1").select("row_seq")).toDF("b").distinct()
+    matched = copies.join(near, "b", "left_semi").select(F.col("a").alias("row_seq"), F.lit(True).alias("near"))
+    marked = rows.select("fire_id", "row_seq", F.col("shape").isNotNull().alias("has")).join(matched, "row_seq", "left")
+    counted = marked.groupBy("fire_id").agg(F.sum(F.col("has").cast("int")).alias("shapes"), F.sum((F.col("has") & F.col("near").isNull()).cast("int")).alias("alone"), F.sum((~F.col("has")).cast("int")).alias("bare"))
+    return counted.where("(shapes >= 2 and alone > 0) or (shapes >= 1 and bare > 0)").select("fire_id")
+
+
+def complexes(memberships: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Fires with their complexes (``fire_id, complex_id, complex_name``), and the memberships that name no known fire.
+
+    A complex has the name of its first membership with a known fire, a fire the complex that comes last.
+    """
+    known = rows.select("fire_id", F.explode("identifiers").alias("identifier")).groupBy("identifier").agg(F.min("fire_id").alias("fire_id"))
+    linked = memberships.join(known, "identifier")
+    order = F.struct("path", "row")
+    named = linked.groupBy("complex_id").agg(F.min_by("complex_name", order).alias("complex_name"), F.min(order).alias("__first"))
+    each = linked.select("fire_id", "complex_id").distinct().join(named, "complex_id")
+    last = each.groupBy("fire_id").agg(F.max_by(F.struct("complex_id", "complex_name"), "__first").alias("c"))
+    return last.select("fire_id", "c.complex_id", "c.complex_name"), memberships.join(known, "identifier", "left_anti")
+
+
+def parents(rows: DataFrame, linked: DataFrame) -> DataFrame:
+    """``fire_id`` of fires that are complexes themselves: one of their identifiers names a complex of others."""
+    owned = rows.select("fire_id", F.explode("identifiers").alias("complex_id"))
+    return owned.join(linked.select("complex_id").distinct(), "complex_id", "left_semi").select("fire_id").distinct()
+
+
 def fire_groups(rows: DataFrame, edges: DataFrame, materialise: Callable[[DataFrame], DataFrame], row_id: str = "row_seq") -> DataFrame:
     """``rows`` with ``fire_id``, the first row of its component; a row without edges is a fire of its own."""
     found = connected_components(edges, materialise).withColumnRenamed("node", "__node")

@@ -2,24 +2,42 @@
 
 from __future__ import annotations
 
+import json
 import sqlite3
 import struct
+import tempfile
 from collections.abc import Iterator
-from pathlib import Path
+from contextlib import contextmanager
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
-from pyspark.sql.types import BinaryType, DoubleType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, DoubleType, LongType, StringType, StructField, StructType
+
+from ..config import EngineError, Feed
+from .files import list_files, local_copy, write_bytes
 
 _KINDS = {"INT": LongType(), "TINY": LongType(), "MEDI": LongType(), "SMAL": LongType(), "REAL": DoubleType(), "DOUB": DoubleType(), "FLOA": DoubleType(), "BLOB": BinaryType()}
 
 
-class UnknownLayer(ValueError):
+class UnknownLayer(EngineError, ValueError):
     """A file holds a layer of which no feed is configured."""
 
 
+@contextmanager
+def _opened(path: str) -> Iterator[sqlite3.Connection]:
+    """A package on any file system, opened for reading through a copy on this machine."""
+    with local_copy(path) as here:
+        base = sqlite3.connect(f"file:{quote(here)}?mode=ro", uri=True)
+        try:
+            yield base
+        finally:
+            base.close()
+
+
 def layers(path: str) -> list[str]:
-    with sqlite3.connect(f"file:{path}?mode=ro", uri=True) as base:
+    with _opened(path) as base:
         return [name for (name,) in base.execute("SELECT table_name FROM gpkg_contents WHERE data_type = 'features' ORDER BY rowid")]
 
 
@@ -51,14 +69,17 @@ class _File(InputPartition):
 class _Reader(DataSourceReader):
     def __init__(self, options: dict, schema: StructType) -> None:
         self.layer, self.schema = options["layer"], schema
-        self.paths = sorted(str(p) for p in Path(options["path"]).rglob("*.gpkg")) if Path(options["path"]).is_dir() else [options["path"]]
+        self.paths = json.loads(options["paths"])
 
     def partitions(self) -> list[_File]:
-        return [_File(p) for p in self.paths if self.layer in layers(p)]
+        return [_File(p) for p in self.paths]
 
     def read(self, partition: _File) -> Iterator[tuple]:
-        with sqlite3.connect(f"file:{partition.path}?mode=ro", uri=True) as base:
-            (shape, srid) = base.execute("SELECT column_name, srs_id FROM gpkg_geometry_columns WHERE table_name = ?", (self.layer,)).fetchone()
+        with _opened(partition.path) as base:
+            found = base.execute("SELECT column_name, srs_id FROM gpkg_geometry_columns WHERE table_name = ?", (self.layer,)).fetchone()
+            if found is None:  # the file has other layers only
+                return
+            shape, srid = found
             own = {row[1] for row in base.execute(f'PRAGMA table_info("{self.layer}")')}
             picked = [f.name for f in self.schema.fields[:-4]]
             columns = ", ".join(f'"{c}"' if c in own else "NULL" for c in picked)
@@ -68,9 +89,9 @@ class _Reader(DataSourceReader):
 
 
 class GeoPackageSource(DataSource):
-    """``format("geopackage")`` with ``path`` (a file, or a folder searched for ``*.gpkg``) and ``layer``.
+    """``format("geopackage")`` with ``paths`` (a JSON list of files) and ``layer``: a task for each file.
 
-    Attributes of all files, then ``geom`` (WKB), ``srid``, ``path`` and ``row``.
+    Attributes of all files (NULL where a file lacks one), then ``geom`` (WKB), ``srid``, ``path`` and ``row``.
     """
 
     @classmethod
@@ -78,29 +99,55 @@ class GeoPackageSource(DataSource):
         return "geopackage"
 
     def schema(self) -> StructType:
-        root = Path(self.options["path"])
         fields: dict[str, StructField] = {}
-        for path in sorted(map(str, root.rglob("*.gpkg"))) if root.is_dir() else [str(root)]:
-            with sqlite3.connect(f"file:{path}?mode=ro", uri=True) as base:
-                if self.options["layer"] in layers(path):
-                    (shape,) = base.execute("SELECT column_name FROM gpkg_geometry_columns WHERE table_name = ?", (self.options["layer"],)).fetchone()
-                    for _, name, kind, *_ in base.execute(f'PRAGMA table_info("{self.options["layer"]}")'):
-                        if name != shape:
-                            fields.setdefault(name, StructField(name, _KINDS.get(kind.upper()[:4].rstrip("E"), StringType())))
+        for path in json.loads(self.options["paths"]):
+            with _opened(path) as base:
+                found = base.execute("SELECT column_name FROM gpkg_geometry_columns WHERE table_name = ?", (self.options["layer"],)).fetchone()
+                for _, name, kind, *_ in base.execute(f'PRAGMA table_info("{self.options["layer"]}")') if found else ():
+                    if name != found[0]:
+                        fields.setdefault(name, StructField(name, _KINDS.get(kind.upper()[:4].rstrip("E"), StringType())))
         return StructType([*fields.values(), StructField("geom", BinaryType()), StructField("srid", LongType()), StructField("path", StringType()), StructField("row", LongType())])
 
     def reader(self, schema: StructType) -> _Reader:
         return _Reader(self.options, schema)
 
 
+def files_of(spark: SparkSession, path: str) -> list[str]:
+    """The file, or all packages below a folder, in the order of their paths."""
+    return [path] if path.endswith(".gpkg") else list_files(spark, path)
+
+
 def read(spark: SparkSession, path: str, layer: str) -> DataFrame:
+    """The layer's rows of a package, or of all packages below a folder, on any file system that Spark reads."""
     spark.dataSource.register(GeoPackageSource)
-    return spark.read.format("geopackage").option("layer", layer).load(path)
+    return spark.read.format("geopackage").option("layer", layer).option("paths", json.dumps(files_of(spark, path))).load()
+
+
+def feed_layers(spark: SparkSession, folder: str, feeds: tuple[Feed, ...]) -> dict[Feed, DataFrame]:
+    """Each feed's rows in the packages below a folder; a package with a layer of no feed is an error. Packages are looked into on executors."""
+    paths = files_of(spark, folder)
+    known = {f.name: f for f in feeds}
+    if not paths:
+        return {}
+    names = F.udf(layers, ArrayType(StringType()))
+    held = spark.createDataFrame([(p,) for p in paths], "path string").repartition(min(len(paths), 1000)).select("path", names("path").alias("layers")).collect()
+    for row in held:  # one row for each file
+        for name in row.layers:
+            if name not in known:
+                raise UnknownLayer(f"{row.path} holds the layer {name}")
+    return {feed: read(spark, folder, name) for name, feed in known.items() if any(name in row.layers for row in held)}
 
 
 def write(path: str, tables: dict[str, DataFrame], srid: int = 4326, geometry: str = "geom") -> None:
-    """Replace the file by one with these layers. A map document's size: rows stream through the driver one partition at a time."""
-    Path(path).unlink(missing_ok=True)
+    """Replace the file, on any file system, by one with these layers. A map document's size: rows stream through the driver one partition at a time."""
+    spark = next(iter(tables.values())).sparkSession
+    with tempfile.TemporaryDirectory() as folder:
+        _write_local(f"{folder}/made.gpkg", tables, srid, geometry)
+        with open(f"{folder}/made.gpkg", "rb") as made:
+            write_bytes(spark, path, made.read())
+
+
+def _write_local(path: str, tables: dict[str, DataFrame], srid: int, geometry: str) -> None:
     with sqlite3.connect(path) as base:
         base.executescript("""
             PRAGMA application_id = 1196444487;

@@ -20,15 +20,23 @@ class RateLimited(Exception):
 
 
 def hinted_wait(payload: object) -> float:
-    """The seconds that a rate-limit payload names, else a minute."""
-    error = payload.get("error", payload) if isinstance(payload, dict) else {}
-    texts = [error.get("message"), *(error.get("details") or ())] if isinstance(error, dict) else []
-    for text in texts:
-        if found := re.search(r"(\d+)\s*(?:s|sec|seconds?)\b", str(text)):
+    """The seconds that the details of a rate-limit payload name, else a minute."""
+    error = payload.get("error") if isinstance(payload, dict) else None
+    details = error.get("details") if isinstance(error, dict) and error.get("code") == 429 else None
+    for text in details if isinstance(details, list) else ():
+        if found := re.search(r"Retry after (\d+) sec", str(text)):
             return float(found[1])
     return LIMITED_WAIT
 
 
+def checked(payload: object) -> object:
+    """A service's answer; one that says the rate is limited raises."""
+    error = payload.get("error") if isinstance(payload, dict) else None
+    if isinstance(error, dict) and error.get("code") == 429:
+        raise RateLimited(payload)
+    return payload
+
+
 def with_retries(call: Callable[[], Result], retries: int = RETRIES, sleep: Callable[[float], None] = time.sleep) -> Result:
     """The call's result; its last error if it fails ``retries`` times more after the first, or at once for other errors."""
     for attempt in range(retries + 1):

@@ -1,11 +1,8 @@
 from __future__ import annotations
 
 import datetime
-import zipfile
-from xml.etree import ElementTree
 
 import numpy as np
-import pandas as pd
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -14,7 +11,6 @@ from cinderlake.functions import geometry as G
 from cinderlake.functions import scalars as S
 from cinderlake.functions import spatial
 from cinderlake.operators import changes, components, entities, versions
-from cinderlake.sources import geopackage, kmz
 from cinderlake.sources.scratch import materialise
 from cinderlake.streaming import ingest as streams
 
@@ -96,17 +92,41 @@ def test_entities(spark):
     assert {(r.a, r.b) for r in entities.proximity_pairs(points, 0.05).collect()} == {(1, 2), (1, 4), (2, 3)}
 
 
-def observation(seq, hour, source, shape, **attributes):
-    return {"seq": seq, "time": None if hour is None else pd.Timestamp("2024-01-01") + pd.Timedelta(hours=hour), "source": source, "shape": shape, "attributes": attributes}
+def hours(*values):
+    return [None if h is None else h * 3_600_000_000 for h in values]
 
 
 def test_merging_is_an_ordered_fold():
-    merged = versions.merge_identical([observation(1, 0, "WFIGS", "s", a="w"), observation(2, 1, "FIRIS", "t"), observation(3, 4, "FIRIS", "s", a="f", b="f"), observation(4, 8, "WFIGS", "s", c="z"), observation(5, 13, "WFIGS", "s")], "FIRIS")
-    assert [(m["seq"], m["source"]) for m in merged] == [(3, "FIRIS"), (2, "FIRIS"), (5, "WFIGS")]
-    assert merged[0]["attributes"] == {"a": "f", "b": "f", "c": "z"}
-    # neither is preferred: the later one wins
-    assert versions.merge_identical([observation(1, 0, "X", "s"), observation(2, 0, "Y", "s")], "FIRIS")[0]["seq"] == 2
-    assert len(versions.merge_identical([observation(1, None, "X", None), observation(2, None, "X", None), observation(3, 0, "X", None)], "X")) == 2
+    # the second stays below the preferred first, the third is too far from it and starts a version, the fourth replaces that one as it is not preferred
+    assert versions.merge_identical(list(zip(hours(0, 4, 8, 9), (True, False, False, True)))) == ([0, 0, 1, 1], [0, -1, 0, 1])
+    # a merged version's time is that of its top, which may bring the next within reach
+    assert versions.merge_identical(list(zip(hours(0, 4, 8), (False, True, False)))) == ([0, 0, 0], [0, 1, -1])
+    assert versions.merge_identical(list(zip(hours(None, None, 0), (False, False, True)))) == ([0, 0, 1], [0, 1, 0])
+
+
+def test_merging_keeps_attributes_and_places(spark):
+    rows = [("f", 1, "WFIGS", "s", 0, {"a": "w"}), ("f", 2, "FIRIS", "t", 1, {}), ("f", 3, "FIRIS", "s", 4, {"a": "f", "b": "f"}), ("f", 4, "WFIGS", "s", 8, {"c": "z", "a": "z"}), ("f", 5, "WFIGS", "s", 13, None), ("g", 6, "X", None, None, {}), ("g", 7, "X", None, None, {"n": "1"}), ("g", 8, "X", None, 0, {})]
+    frame = spark.createDataFrame(rows, "key string, seq int, source string, shape string, hour int, attributes map<string,string>")
+    timed = frame.selectExpr("key", "seq", "source", "shape", "timestamp_seconds(hour * 3600) AS time", "attributes", "'FIRIS' AS preferred")
+    got = {(r.key, r.place): (r.seq, r.source, r.shape, r.attributes) for r in versions.merge_identical_observations(timed, "key").collect()}
+    assert got == {
+        ("f", 1): (3, "FIRIS", "s", {"a": "f", "b": "f", "c": "z"}), ("f", 2): (2, "FIRIS", "t", {}), ("f", 5): (5, "WFIGS", "s", None),
+        ("g", 6): (7, "X", None, {"n": "1"}), ("g", 8): (8, "X", None, {}),
+    }
+
+
+def test_reconciling_two_sources(spark):
+    small, large = (G.encode(G.box(-120 - h, 37 - h, -120 + h, 37 + h)) for h in (0.01, 0.05))
+    rows = [
+        (1, "FIRIS", small, 0, 1, {}), (2, "FIRIS", small, 1, 2, {}), (3, "WFIGS", small, 3, 1, {"b": "2"}), (4, "WFIGS", large, 4, 1, {}), (5, "FIRIS", large, 30, 1, {"area_acres": "1e9"}),
+        (6, "WFIGS", None, 60, 1, {"attr_IncidentSize": "5"}), (7, "WFIGS", small, 90, 0, {"poly_GISAcres": "10", "attr_FinalAcres": "-1"}),
+    ]
+    frame = spark.createDataFrame(rows, "row_seq int, source string, shape binary, hour int, object_id int, attributes map<string,string>")
+    base = frame.selectExpr("1 AS fire_id", "source", "shape", "CASE WHEN hour < 90 THEN timestamp_seconds(hour * 3600) END AS observation_time", "timestamp_seconds(hour * 3600) AS snapshot_time", "1 AS serial", "object_id", "row_seq", "attributes")
+    seen = lambda preferred: [(r.row_seq, r.source) for r in versions.reconcile(base.withColumn("preferred", F.lit(preferred))).orderBy("time", "seq").collect()]
+    # 1 and 2 are one run, 3 merges into it or over it, 4 loses or wins the window, 5 collapsed, 6 has no shape to collapse
+    assert seen("FIRIS") == [(2, "FIRIS"), (6, "WFIGS"), (7, "WFIGS")]
+    assert seen("WFIGS") == [(3, "WFIGS"), (4, "WFIGS"), (6, "WFIGS"), (7, "WFIGS")]
 
 
 def test_windows_are_anchored(spark):
@@ -179,24 +199,6 @@ def test_spatial_functions(spark):
     assert spark.sql("SELECT st_area(st_intersection(st_box(0D, 0D, 2D, 2D), st_box(1D, 1D, 3D, 3D))) AS a").first().a == 1.0
 
 
-def test_files(spark, tmp_path):
-    frame = spark.createDataFrame([("Bug", 5, 1.5, bytearray(G.encode(G.box(0, 0, 1, 1)))), ("É & co", None, None, None)], "name string, n bigint, x double, geom binary")
-    geopackage.write(str(tmp_path / "a.gpkg"), {"perimeters": frame, "points": frame.drop("x")})
-    assert geopackage.layers(str(tmp_path / "a.gpkg")) == ["perimeters", "points"]
-    back = geopackage.read(spark, str(tmp_path), "perimeters").orderBy("row").collect()
-    assert [(r.name, r.n, r.x, r.srid) for r in back] == [("Bug", 5, 1.5, 4326), ("É & co", None, None, 4326)]
-    assert bytes(back[0].geom) == G.encode(G.box(0, 0, 1, 1)) and back[1].geom is None
-    with pytest.raises(geopackage.UnknownLayer):
-        geopackage.check_layers(str(tmp_path / "a.gpkg"), {"points"})
-    outlines = F.array(*(F.struct(F.lit(f"{k}").alias("label"), F.lit("#s").alias("style"), F.col("geom").alias("shape")) for k in range(5)))
-    fires = frame.select("name", F.lit("Active Fires").alias("folder"), kmz.fire_folder("name", outlines).alias("xml"))
-    kmz.write(str(tmp_path / "m.kmz"), fires)
-    with zipfile.ZipFile(tmp_path / "m.kmz") as archive:
-        tree = ElementTree.fromstring(archive.read("doc.kml"))
-    names = [e.text for e in tree.iter("{http://www.opengis.net/kml/2.2}name")]
-    assert names == ["Active Fires", "Latest Perimeters", "Bug", "4", "3", "2", "É & co", "Inactive Fires", "Latest Perimeters"]
-
-
 def test_stream_keeps_edits_back(spark, tmp_path):
     schema = "k int, t int, v string"
     place = [str(tmp_path / d) for d in ("in", "table", "checkpoint")]

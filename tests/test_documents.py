@@ -38,15 +38,16 @@ def test_index_round_trip(spark, tmp_path):
     fires = spark.createDataFrame([(2, "Zed", "ACTIVE", None, ["b", "a"]), (1, "Bug", "INACTIVE", "id-1", None)], "fire_id int, name string, status string, identifier string, aliases array<string>")
     paths = spark.createDataFrame([(1, "y"), (1, "x"), (1, "x"), (1, None)], "fire_id int, path string")
     documents.write_index(str(tmp_path / "i.json"), documents.fire_entries(fires, paths))
-    got = documents.read_index(str(tmp_path / "i.json"))
-    assert got == [{"name": "Bug", "status": "INACTIVE", "identifier": "id-1", "aliases": [], "paths": ["x", "y"]}, {"name": "Zed", "status": "ACTIVE", "identifier": None, "aliases": ["a", "b"], "paths": []}]
+    none = dict.fromkeys(("complex_name", "complex_identifier", "classification"))
+    got = documents.read_index(spark, str(tmp_path / "i.json"))
+    assert got == [{"name": "Bug", "status": "INACTIVE", "identifier": "id-1", "aliases": [], "paths": ["x", "y"], **none}, {"name": "Zed", "status": "ACTIVE", "identifier": None, "aliases": ["a", "b"], "paths": [], **none}]
     (tmp_path / "j.json").write_text('{"version": "0", "fires": []}')
     with pytest.raises(ValueError):
-        documents.read_index(str(tmp_path / "j.json"))
+        documents.read_index(spark, str(tmp_path / "j.json"))
 
 
 def test_retries():
-    waits, errors = [], [retry.RateLimited({"error": {"message": "wait 7 seconds"}}), retry.RateLimited("?"), ConnectionError(), TimeoutError()]
+    waits, errors = [], [retry.RateLimited({"error": {"code": 429, "message": "wait 9 seconds", "details": ["Retry after 7 sec."]}}), retry.RateLimited("?"), ConnectionError(), TimeoutError()]
 
     def call():
         if errors:
@@ -58,3 +59,7 @@ def test_retries():
         retry.with_retries(lambda: (_ for _ in ()).throw(ConnectionError()), retries=1, sleep=waits.append)
     with pytest.raises(KeyError):
         retry.with_retries(lambda: {}["x"], sleep=waits.append)
+    assert retry.hinted_wait({"error": {"code": 500, "details": ["Retry after 7 sec"]}}) == retry.hinted_wait({"error": {"code": 429, "message": "Retry after 7 sec"}}) == 60
+    with pytest.raises(retry.RateLimited):
+        retry.checked({"error": {"code": 429}})
+    assert retry.checked({"a": 1}) == {"a": 1}
