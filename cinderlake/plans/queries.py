@@ -16,8 +16,10 @@ from pyspark.sql import Window as W
 from ..functions import geometry as G
 from ..functions import scalars as S
 from ..functions import spatial
-from ..operators import changes, classification, entities, versions
+from ..config import Feed
+from ..operators import changes, classification, entities, history, progression, records, versions
 from ..operators.components import connected_components
+from ..sources import documents, kml_template, kmz
 from ..sources.scratch import materialise, shared_folder
 from ..streaming import ingest as streams
 
@@ -160,9 +162,53 @@ def style_colors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "part").select("p_partkey", S.kml_color(F.lit("#123456"), F.col("p_size")).alias("color"))
 
 
-@query("""SELECT event_id, json_extract_string(props, '$.k') AS k, props IS NOT NULL AS present FROM events""")
-def json_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "events").select("event_id", F.get_json_object("props", "$.k").alias("k"), F.col("props").isNotNull().alias("present"))
+@query("""
+    SELECT p_partkey, '{"brand":' || CASE WHEN p_partkey % 4 = 0 THEN 'null' ELSE '"' || p_brand || '"' END || ',"name":"' || p_name || '","size":"' || CAST(p_size AS VARCHAR) || '"}' AS compact,
+        '{"brand": ' || CASE WHEN p_partkey % 4 = 0 THEN 'null' ELSE '"' || p_brand || '"' END || ', "name": "' || p_name || '", "size": ' || CAST(p_size AS VARCHAR) || '}' AS spaced
+    FROM part""")
+def attributes_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A bag of text in the JVM, and one of typed values."""
+    brand = F.when(F.col("p_partkey") % 4 != 0, F.col("p_brand"))
+    bag = F.create_map(F.lit("size"), F.col("p_size").cast("string"), F.lit("name"), F.col("p_name"), F.lit("brand"), brand)
+    typed = F.struct(F.col("p_size").alias("size"), F.col("p_name").alias("name"), brand.alias("brand"))
+    return read(spark, sf_dir, "part").select("p_partkey", documents.map_json(bag).alias("compact"), documents.attributes_json(typed).alias("spaced"))
+
+
+# ---- records of a layer
+
+_LAYER = Feed("https://example.org/arcgis/rest/services/WFIGS_Interagency_Perimeters/FeatureServer/0", "name", "status", ("irwin", "ufi"), "mission", "seen", "state", None, "cpx", "cpx_name", "child")
+
+
+def _layer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as the rows of a layer: some without a status, some named by their mission only, some children of a complex."""
+    key = F.col("o_orderkey")
+    text = key.cast("string")
+    return read(spark, sf_dir, "orders").select(
+        key.alias("OBJECTID"), F.when(key % 5 != 0, F.concat(F.lit(" Fire_"), text)).otherwise(F.lit("  ")).alias("name"), F.when(key % 7 == 0, F.lit("")).when(key % 2 == 0, "Active").otherwise("0").alias("status"),
+        F.concat(F.lit("{G"), text, F.lit("}")).alias("irwin"), F.when(key % 3 == 0, F.concat(F.lit("2024-CABDF-"), text)).alias("ufi"),
+        F.when(key % 4 == 0, F.concat(F.lit("NV-CCD-Rock "), text, F.lit("-Update-n12b"))).alias("mission"), F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("seen"),
+        F.when(key % 11 == 0, "US-NV").alias("state"), F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("cpx"), F.when(key % 13 != 0, "Complex").alias("cpx_name"),
+        F.when(key % 6 == 0, "yes").when(key % 6 == 1, "0").alias("child"), F.lit(None).cast("binary").alias("geom"), F.lit(4326).cast("bigint").alias("srid"), F.lit("p").alias("path"), key.alias("row"),
+    )
+
+
+@query("""
+    WITH r AS (SELECT o_orderkey AS k, CAST(o_orderkey AS VARCHAR) AS t, o_orderdate FROM orders)
+    SELECT k AS object_id, CASE WHEN k % 5 <> 0 THEN 'Fire_' || t ELSE 'Rock ' || t || '-Update' END AS name,
+        CASE WHEN k % 5 <> 0 AND k % 4 = 0 THEN 'fire ' || t || ',rock ' || t || ',rock ' || t || ' update' WHEN k % 5 <> 0 THEN 'fire ' || t ELSE 'rock ' || t || ',rock ' || t || ' update' END AS names,
+        CASE WHEN k % 2 = 0 THEN 'ACTIVE' ELSE 'INACTIVE' END AS status, CASE WHEN k % 3 = 0 THEN '2024-cabdf-' || t || ',' ELSE '' END || 'g' || t AS identifiers,
+        o_orderdate AS observed_at, CASE WHEN k % 11 = 0 THEN 'US-NV' END AS origin_state, 'WFIGS' AS source
+    FROM r WHERE k % 7 <> 0 AND (k % 5 <> 0 OR k % 4 = 0)""")
+def fire_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = records.fire_records(_layer(spark, sf_dir), _LAYER)
+    return made.select("object_id", "name", F.array_join("names", ",").alias("names"), "status", F.array_join("identifiers", ",").alias("identifiers"), F.col("observed_at").cast("timestamp_ntz").alias("observed_at"), "origin_state", "source")
+
+
+@query("""
+    SELECT o_orderkey AS row, 'g' || CAST(o_orderkey AS VARCHAR) AS identifier, 'c' || CAST(o_custkey AS VARCHAR) AS complex_id, 'Complex' AS complex_name
+    FROM orders WHERE o_orderkey % 6 = 0 AND o_orderkey % 13 <> 0""")
+def complex_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return records.complex_memberships(_layer(spark, sf_dir), _LAYER).drop("path")
 
 
 # ---- entity resolution
@@ -202,6 +248,71 @@ def proximity_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entities.proximity_pairs(points, 50.0, "c_custkey", "c_acctbal", "y", "c_mktsegment")
 
 
+@query("""
+    WITH RECURSIVE ids AS (
+        SELECT c_custkey AS a, 'p' || CAST(c_custkey // 3 AS VARCHAR) AS id FROM customer WHERE c_custkey % 4 <> 3
+        UNION ALL SELECT c_custkey, 'n' || CAST(c_custkey % 97 AS VARCHAR) FROM customer WHERE c_custkey % 10 = 0),
+    edges AS (SELECT l.a, r.a AS b FROM ids l JOIN ids r ON l.id = r.id AND l.a <> r.a),
+    labels(node, component) USING KEY (node) AS (
+        SELECT c_custkey, c_custkey FROM customer
+        UNION SELECT e.b, min(l.component) FROM labels l JOIN edges e ON e.a = l.node JOIN recurring.labels r ON r.node = e.b WHERE l.component < r.component GROUP BY e.b)
+    SELECT node AS row_seq, component AS fire_id FROM labels""")
+def identifier_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("c_custkey")
+    ids = F.array(F.when(key % 4 != 3, F.concat(F.lit("p"), F.floor(key / 3).cast("string"))), F.when(key % 10 == 0, F.concat(F.lit("n"), (key % 97).cast("string"))))
+    rows = read(spark, sf_dir, "customer").select(key.alias("row_seq"), F.array_compact(ids).alias("identifiers"))
+    return entities.fire_groups(rows, entities.identifier_edges(rows), materialise).select("row_seq", "fire_id")
+
+
+# a box for each customer, some of them equal, and the gap between two boxes
+_SITES = "SELECT c_custkey AS id, c_mktsegment AS g, c_nationkey AS n, c_custkey % 613 / 4.0 AS x, c_custkey % 59 / 4.0 AS y, (1 + c_custkey % 3) / 4.0 AS w FROM customer"
+_GAP = "sqrt(power(greatest(0, l.x - r.x - r.w, r.x - l.x - l.w), 2) + power(greatest(0, l.y - r.y - r.w, r.y - l.y - l.w), 2))"
+
+
+def _sites(spark: SparkSession, sf_dir: str) -> DataFrame:
+    x, y, w = F.col("c_custkey") % 613 / 4.0, F.col("c_custkey") % 59 / 4.0, (1 + F.col("c_custkey") % 3) / 4.0
+    return read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("row_seq"), "c_mktsegment", F.col("c_nationkey").alias("fire_id"), spatial.st_box(x, y, x + w, y + w).alias("shape"))
+
+
+@query(f"WITH s AS ({_SITES}) SELECT l.id AS a, r.id AS b FROM s l JOIN s r ON l.g = r.g AND l.id < r.id AND {_GAP} <= 0.8")
+def shape_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return entities.shape_pairs(_sites(spark, sf_dir), 0.8, group="c_mktsegment")
+
+
+@query(f"""
+    WITH s AS ({_SITES}), alone AS (SELECT l.n, l.id FROM s l WHERE NOT EXISTS (SELECT 1 FROM s r WHERE r.n = l.n AND r.id <> l.id AND {_GAP} <= 1.0))
+    SELECT DISTINCT n AS fire_id FROM alone WHERE (SELECT count(*) FROM s WHERE s.n = alone.n) > 1""")
+def distant_fires(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return entities.distant_fires(_sites(spark, sf_dir))
+
+
+@query("""
+    WITH r AS (SELECT o_custkey AS fire_id, o_orderkey AS seq, CASE o_orderkey % 3 WHEN 0 THEN 'FIRE' WHEN 1 THEN 'Fire ' || o_orderstatus ELSE 'fire' END AS name, o_orderstatus = 'F' AS active,
+        'i' || CAST(o_orderkey % 7 AS VARCHAR) AS id FROM orders),
+    c AS (SELECT fire_id, name, lower(name) <> name AND upper(name) <> name AS mixed, count(*) AS n, min(seq) AS first FROM r GROUP BY fire_id, name),
+    n AS (SELECT fire_id, name FROM c QUALIFY row_number() OVER (PARTITION BY fire_id ORDER BY mixed DESC, n DESC, first) = 1)
+    SELECT fire_id, n.name, CASE WHEN bool_or(active) THEN 'ACTIVE' ELSE 'INACTIVE' END AS status, min(id) AS identifier, string_agg(DISTINCT id, ',' ORDER BY id) AS aliases
+    FROM r JOIN n USING (fire_id) GROUP BY fire_id, n.name""")
+def fire_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("o_orderkey")
+    name = F.when(key % 3 == 0, "FIRE").when(key % 3 == 1, F.concat(F.lit("Fire "), F.col("o_orderstatus"))).otherwise("fire")
+    rows = read(spark, sf_dir, "orders").select(F.col("o_custkey").alias("fire_id"), key.alias("row_seq"), name.alias("name"), F.when(F.col("o_orderstatus") == "F", "ACTIVE").otherwise("INACTIVE").alias("status"), F.array(F.concat(F.lit("i"), (key % 7).cast("string"))).alias("identifiers"))
+    return entities.fire_entities(rows).withColumn("aliases", F.array_join("aliases", ","))
+
+
+@query("""
+    WITH m AS (SELECT o_orderkey AS row, 'c' || CAST(o_custkey % 50 AS VARCHAR) AS identifier, 'x' || CAST(o_orderkey % 20 AS VARCHAR) AS complex_id, 'name ' || CAST(o_orderkey AS VARCHAR) AS complex_name FROM orders),
+    f AS (SELECT 'c' || CAST(c_custkey % 40 AS VARCHAR) AS identifier, min(c_custkey) AS fire_id FROM customer GROUP BY 1),
+    l AS (SELECT m.*, fire_id FROM m JOIN f USING (identifier)),
+    n AS (SELECT complex_id, arg_min(complex_name, row) AS complex_name, min(row) AS first FROM l GROUP BY complex_id)
+    SELECT fire_id, complex_id, complex_name FROM (SELECT DISTINCT fire_id, complex_id FROM l) JOIN n USING (complex_id) QUALIFY row_number() OVER (PARTITION BY fire_id ORDER BY first DESC) = 1""")
+def fire_complexes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = lambda prefix, value: F.concat(F.lit(prefix), value.cast("string"))
+    memberships = read(spark, sf_dir, "orders").select(F.lit("p").alias("path"), F.col("o_orderkey").alias("row"), text("c", F.col("o_custkey") % 50).alias("identifier"), text("x", F.col("o_orderkey") % 20).alias("complex_id"), text("name ", F.col("o_orderkey")).alias("complex_name"))
+    rows = read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("fire_id"), F.array(text("c", F.col("c_custkey") % 40)).alias("identifiers"))
+    return entities.complexes(memberships, rows)[0]
+
+
 @query("""
     SELECT user_id, min(ts) AS first_seen, max(ts) AS last_seen FROM events GROUP BY user_id
     HAVING count(ts) >= 2 AND max(ts) - min(ts) > INTERVAL 28 DAY""")
@@ -235,8 +346,8 @@ def complex_parents_excluded(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""
     SELECT user_id, event_type, max(ts) AS ts, arg_max(value, ts) AS value FROM events GROUP BY user_id, event_type""")
 def freshest_per_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    order = F.struct("ts", "event_id")
-    return read(spark, sf_dir, "events").groupBy("user_id", "event_type").agg(F.max("ts").alias("ts"), F.max_by("value", order).alias("value"))
+    rows = read(spark, sf_dir, "events").select("user_id", F.col("event_type").alias("source"), F.col("value").alias("shape"), F.col("ts").cast("timestamp").alias("observed_at"), F.lit(0).alias("serial"), F.col("event_id").alias("row_seq"))
+    return classification.freshest(rows, "user_id").select("user_id", F.col("source").alias("event_type"), F.col("observed_at").cast("timestamp_ntz").alias("ts"), F.col("shape").alias("value"))
 
 
 @query("""
@@ -255,34 +366,37 @@ def extent_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compared.select("user_id", F.round("extent.ratio", 6).alias("ratio"), "extent.disagrees")
 
 
-_CLASSES = """CASE WHEN inside > 0 AND (size - inside > 0.01 * size OR size - inside > 500) THEN 'CROSSES_CALIFORNIA_BORDER'
-    WHEN inside >= 0.5 * size THEN CASE WHEN gap <= 10 THEN 'INSIDE_CALIFORNIA_NEAR_BORDER' ELSE 'INSIDE_CALIFORNIA' END
-    WHEN gap <= 10 THEN 'OUTSIDE_CALIFORNIA_NEAR_BORDER' ELSE 'OUTSIDE_CALIFORNIA' END"""
-
-
-@query(f"""
-    WITH b AS (SELECT p_partkey, p_retailprice / 10 AS x, CAST(p_size AS DOUBLE) AS side FROM part),
-    m AS (SELECT p_partkey, side * side AS size, greatest(0, least(x + side, 150) - x) * side AS inside,
-        CASE WHEN x <= 150 AND x + side >= 150 THEN 0 ELSE least(abs(150 - x), abs(150 - x - side)) END AS gap FROM b),
-    c AS (SELECT p_partkey, {_CLASSES} AS classification FROM m)
-    SELECT p_partkey, classification, CASE WHEN classification IN ('CROSSES_CALIFORNIA_BORDER', 'OUTSIDE_CALIFORNIA_NEAR_BORDER', 'OUTSIDE_CALIFORNIA') THEN 'WFIGS' ELSE 'FIRIS' END AS preferred FROM c""")
+@query("""
+    WITH b AS (SELECT p_partkey, p_retailprice / 10 AS x, CAST(p_size AS DOUBLE) AS side, p_partkey % 3 AS kind FROM part),
+    m AS (SELECT *, greatest(0, least(x + side, 150) - x) / side AS part, CASE WHEN 150 BETWEEN x AND x + side THEN 0 ELSE least(abs(150 - x), abs(150 - x - side)) END AS gap FROM b),
+    g AS (SELECT *, part > 0 AND part < 1 AND (1 - part > 0.01 OR (1 - part) * side * side > 500) AS crosses, part >= 0.5 AS home, kind = 0 AS disagrees FROM m),
+    c AS (SELECT *, NOT crosses AND gap <= 10 AS near FROM g)
+    SELECT p_partkey, CASE WHEN crosses THEN 'CROSSES_CALIFORNIA_BORDER' WHEN (near OR disagrees) AND home THEN 'INSIDE_CALIFORNIA_NEAR_BORDER' WHEN near OR disagrees THEN 'OUTSIDE_CALIFORNIA_NEAR_BORDER'
+            WHEN home THEN 'INSIDE_CALIFORNIA' ELSE 'OUTSIDE_CALIFORNIA' END AS classification,
+        CASE WHEN NOT crosses AND home THEN 'FIRIS' WHEN crosses OR NOT home THEN 'WFIGS' END AS preferred, CAST(CASE kind WHEN 0 THEN 1.21 WHEN 1 THEN 1 END AS DOUBLE) AS ratio,
+        concat_ws(',', CASE WHEN crosses THEN 'GEOMETRY_OUTSIDE' END, CASE WHEN near THEN 'GEOMETRY_NEAR' END, CASE WHEN disagrees THEN 'EXTENT_DISAGREEMENT' END, CASE WHEN p_partkey % 5 = 0 THEN 'IDENTIFIER_UNIT' END) AS signals
+    FROM c""")
 def border_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Boxes ``side x side`` from ``x`` on, against the half plane west of 150."""
-    x, side = F.col("p_retailprice") / 10, F.col("p_size").cast("double")
+    """Boxes ``side x side`` from ``x`` on, against the half plane west of 150; the other source's box is a tenth wider, the same, or not there."""
+    x, side, kind = F.col("p_retailprice") / 10, F.col("p_size").cast("double"), F.col("p_partkey") % 3
     west, line = G.encode(G.box(-1e4, -1e4, 150, 1e4)), G.encode_line(np.array([(150.0, -1e4), (150.0, 1e4)]))
-    shape = spatial.st_box(x, F.lit(0.0), x + side, side)
-    signal = classification.geometry_signal(shape, west, line, outside_acres=500 / S.SQUARE_METERS_PER_ACRE, near=10.0)
-    nothing = F.struct(F.lit(None).cast("double").alias("ratio"), F.lit(False).alias("disagrees"))
-    measured = read(spark, sf_dir, "part").select("p_partkey", signal.alias("geometry"))
-    classified = measured.select("p_partkey", classification.classify(F.col("geometry"), nothing, F.lit(False))["classification"].alias("classification"))
-    return classified.select("p_partkey", "classification", S.preferred_source(F.col("classification")).alias("preferred"))
+    parts = read(spark, sf_dir, "part").select("p_partkey", spatial.st_box(x, F.lit(0.0), x + side, side).alias("firis"), spatial.st_box(x, F.lit(0.0), x + side * 1.1, side * 1.1).alias("wide"), kind.alias("kind"))
+    signal = classification.geometry_signal(F.col("firis"), west, line, outside_acres=500 / S.SQUARE_METERS_PER_ACRE, near=10.0)
+    extent = classification.extent_signal(F.col("firis"), F.when(F.col("kind") == 0, F.col("wide")).when(F.col("kind") == 1, F.col("firis")), F.lit(True))
+    none = F.lit(None).cast("string")
+    named = classification.identifier_signal(F.array().cast("array<string>"), F.when(F.col("p_partkey") % 5 == 0, "2024-NVCCD-000001").otherwise("CA-BDF-Rock"), none, none)
+    measured = parts.select("p_partkey", signal.alias("geometry"), extent.alias("extent"), named.alias("named"))
+    classified = measured.select("p_partkey", classification.classify(F.col("geometry"), F.col("extent"), F.col("named")).alias("c"))
+    return classified.select("p_partkey", "c.classification", S.preferred_source(F.col("c.classification")).alias("preferred"), F.round("c.ratio", 4).alias("ratio"), F.array_join("c.signals", ",").alias("signals"))
 
 
 @query("""
-    SELECT c_nationkey, bool_or(c_custkey % 37 = 0) AS out_of_state FROM customer GROUP BY c_nationkey""")
+    SELECT c_nationkey, bool_or(c_custkey % 37 = 0 OR c_custkey % 41 = 0 OR c_custkey % 43 = 0 OR c_custkey % 47 = 0) AS out_of_state FROM customer GROUP BY c_nationkey""")
 def identifier_signal(spark: SparkSession, sf_dir: str) -> DataFrame:
-    units = F.array(F.lit("cabdf"), F.when(F.col("c_custkey") % 37 == 0, F.lit("NVHTF")).otherwise(F.lit("CALMU")), F.lit("xx1"))
-    signal = F.exists(units, S.is_out_of_state)
+    key = F.col("c_custkey")
+    units = F.array(F.lit("2024-cabdf-000001"), F.when(key % 37 == 0, "2024-nvhtf-000001").otherwise("nv-htf-1"))
+    mission = F.when(key % 41 == 0, "OR-ABC-Rock").otherwise("Nevada-Rock")
+    signal = classification.identifier_signal(units, mission, F.when(key % 43 == 0, "US-OR").otherwise("US-CA"), F.when(key % 47 == 0, "32001"))
     return read(spark, sf_dir, "customer").groupBy("c_nationkey").agg(F.bool_or(signal).alias("out_of_state"))
 
 
@@ -392,12 +506,18 @@ def anchored_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_shipdate FROM lineitem JOIN part ON l_partkey = p_partkey
-    WHERE NOT (l_extendedprice < 0.2 * l_quantity * p_retailprice) AND NOT (l_extendedprice < 0.01 * p_retailprice * 50)""")
+    WITH b AS (SELECT p_partkey, 0.01 * (1 + p_size) AS side, [1, 4, 6, 50, 90, 110][1 + p_partkey % 6] AS times, p_partkey % 6 AS kind FROM part)
+    SELECT p_partkey, kind FROM b WHERE NOT (kind = 2 OR kind = 5)""")
 def implausible_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = read(spark, sf_dir, "lineitem").join(read(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
-    small = (F.col("l_extendedprice") < 0.2 * F.col("l_quantity") * F.col("p_retailprice")) | (F.col("l_extendedprice") < 0.01 * F.col("p_retailprice") * 50)
-    return lines.where(~small).select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate")
+    """Boxes with a reported size of 1, 4 or 6 times their own as the polygon's, or 50, 90 or 110 times as the incident's: six and a hundred and ten are collapsed."""
+    half, kind = 0.005 * (1 + F.col("p_size")), F.col("p_partkey") % 6
+    shape = spatial.st_box(-half - 120, 37 - half, half - 120, half + 37)
+    # the acres of a small box at 37 degrees, within one per cent
+    acres = 4 * half * half * 111_132 * 88_990 / S.SQUARE_METERS_PER_ACRE
+    times = F.get(F.array(*map(F.lit, (1, 4, 6, 50, 90, 110))), kind)
+    attributes = F.create_map(F.when(kind < 3, "poly_GISAcres").otherwise("attr_IncidentSize"), (acres * times).cast("string"))
+    rows = read(spark, sf_dir, "part").select("p_partkey", kind.alias("kind"), shape.alias("shape"), attributes.alias("attributes"))
+    return versions.drop_implausibly_small(rows).select("p_partkey", "kind")
 
 
 _LINE_ORDER = ["l_shipdate", "l_linenumber", "l_partkey", "l_suppkey"]
@@ -443,15 +563,39 @@ def growth_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    WITH a AS (SELECT o_custkey, o_totalprice, datediff('day', CAST(o_orderdate AS DATE), max(CAST(o_orderdate AS DATE)) OVER (PARTITION BY o_custkey)) AS age FROM orders)
-    SELECT o_custkey, CASE WHEN age = 0 THEN 0 WHEN age <= 2 THEN 1 WHEN age <= 6 THEN 2 WHEN age <= 14 THEN 3 WHEN age <= 30 THEN 4 WHEN age <= 62 THEN 5 WHEN age <= 126 THEN 6 ELSE 7 END AS band,
-        count(*) AS n, round(sum(o_totalprice), 2) AS total
-    FROM a GROUP BY ALL""")
+    WITH r AS (SELECT o_custkey, CAST(timezone('America/Los_Angeles', timezone('UTC', o_orderdate)) AS DATE) AS day, 1 + o_orderkey % 9 AS side FROM orders),
+    a AS (SELECT *, max(day) OVER (PARTITION BY o_custkey) AS latest, datediff('day', day, max(day) OVER (PARTITION BY o_custkey)) AS age FROM r),
+    b AS (SELECT *, CASE WHEN age = 0 THEN 0 WHEN age <= 2 THEN 1 WHEN age <= 6 THEN 2 WHEN age <= 14 THEN 3 WHEN age <= 30 THEN 4 WHEN age <= 62 THEN 5 WHEN age <= 126 THEN 6 ELSE 7 END AS band FROM a)
+    SELECT o_custkey, band, round(CAST(max(side) * max(side) AS DOUBLE), 6) AS area,
+        CASE WHEN band = 7 THEN '≤ ' || strftime(any_value(latest) - INTERVAL 127 DAY, '%m/%d') WHEN min(day) = max(day) THEN strftime(min(day), '%m/%d') ELSE strftime(min(day), '%m/%d') || ' - ' || strftime(max(day), '%m/%d') END AS label,
+        ['Latest Day', '2 Days Before That', '4 Days Before That', '8 Days Before That', '16 Days Before That', '32 Days Before That', '64 Days Before That', '128+ Days Before That'][band + 1] AS name,
+        CAST(count(*) OVER (PARTITION BY o_custkey) - row_number() OVER (PARTITION BY o_custkey ORDER BY band) AS INTEGER) AS draw_order
+    FROM b GROUP BY o_custkey, band""")
 def progression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
-    day = F.to_date("o_orderdate")
-    age = F.datediff(F.max(day).over(W.partitionBy("o_custkey")), day)
-    aged = read(spark, sf_dir, "orders").select("o_custkey", "o_totalprice", S.band_of_age(age).alias("band"))
-    return aged.groupBy("o_custkey", "band").agg(F.count("*").alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+    """Centred squares, so the union of a band's is its largest."""
+    half = (1 + F.col("o_orderkey") % 9) / 2.0
+    rings = read(spark, sf_dir, "orders").select("o_custkey", F.col("o_orderdate").cast("timestamp").alias("observation_time"), spatial.st_box(-half, -half, half, half).alias("geometry"))
+    made = progression.bands(rings, "o_custkey")
+    return made.select("o_custkey", "band", F.round(spatial.st_area("geometry"), 6).alias("area"), "label", "name", "draw_order")
+
+
+@query("""
+    WITH e AS (SELECT c_custkey AS fire_id, c_name AS name, CASE WHEN c_custkey % 3 > 0 THEN ['i' || CAST(c_custkey AS VARCHAR), 'h' || CAST(c_custkey % 50 AS VARCHAR)] ELSE [] END AS ids FROM customer),
+    x AS (SELECT fire_id, unnest(list_sort(ids)) AS id, generate_subscripts(ids, 1) - 1 AS id_rank FROM e),
+    o AS (SELECT o_orderkey AS seq, CASE o_orderkey % 3 WHEN 0 THEN NULL WHEN 1 THEN 'i' || CAST(o_custkey AS VARCHAR) ELSE 'h' || CAST(o_custkey % 60 AS VARCHAR) END AS fire_identifier, c_name AS fire_name FROM orders JOIN customer ON o_custkey = c_custkey)
+    SELECT fire_id, seq, CAST(id_rank AS INTEGER) AS id_rank FROM o JOIN x ON fire_identifier = id
+    UNION ALL SELECT fire_id, seq, 0 FROM o JOIN e ON fire_name = name AND len(ids) = 0 WHERE fire_identifier IS NULL""")
+def index_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the history of each entry of the index: by its identifiers in order, or by name if it has none."""
+    text = lambda prefix, value: F.concat(F.lit(prefix), value.cast("string"))
+    key, known = F.col("c_custkey"), F.col("c_custkey") % 3 > 0
+    customers = read(spark, sf_dir, "customer")
+    entries = customers.select(key.alias("fire_id"), F.col("c_name").alias("name"), F.when(known, text("i", key)).alias("identifier"), F.when(known, F.array(text("i", key), text("h", key % 50))).alias("aliases"))
+    orders = read(spark, sf_dir, "orders").join(customers, F.col("o_custkey") == key)
+    kind = F.col("o_orderkey") % 3
+    identifier = F.when(kind == 1, text("i", F.col("o_custkey"))).when(kind == 2, text("h", F.col("o_custkey") % 60))
+    rows = orders.select(F.col("o_orderkey").alias("seq"), identifier.alias("fire_identifier"), F.col("c_name").alias("fire_name"))
+    return progression.by_identity(entries, rows).select("fire_id", "seq", "id_rank")
 
 
 # ---- reports and documents
@@ -465,12 +609,12 @@ def top_growth_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    SELECT o_custkey, o_orderkey, o_orderdate, 4 - rank AS draw_order FROM (
-        SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rank FROM orders) WHERE rank <= 3""")
+    SELECT o_custkey, o_orderkey, o_orderdate, least(3, n) + 1 - rank AS draw_order FROM (
+        SELECT *, count(*) OVER (PARTITION BY o_custkey) AS n, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rank FROM orders) WHERE rank <= 3""")
 def latest_three(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rank = F.row_number().over(W.partitionBy("o_custkey").orderBy(F.desc("o_orderdate"), F.desc("o_orderkey"))).cast("bigint")
-    ranked = read(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderdate", rank.alias("rank"))
-    return ranked.where("rank <= 3").select("o_custkey", "o_orderkey", "o_orderdate", (4 - F.col("rank")).alias("draw_order"))
+    orders = read(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderdate", F.struct("o_orderdate", "o_orderkey").alias("seq"))
+    newest = progression.latest_perimeters(orders, "o_custkey", "seq")
+    return newest.select("o_custkey", "o_orderkey", "o_orderdate", F.col("draw_order").cast("bigint").alias("draw_order"))
 
 
 @query("""
@@ -482,14 +626,36 @@ def threshold_crossing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    SELECT c_custkey, c_name, string_agg(CAST(o_orderkey AS VARCHAR) || ':' || o_orderstatus, ', ' ORDER BY o_orderdate, o_orderkey) AS orders, count(o_orderkey) AS n
+    SELECT c_custkey AS fire_id, '{"name":"' || c_name || '","status":"ACTIVE","identifier":' || CASE WHEN c_custkey % 2 = 0 THEN '"i' || CAST(c_custkey AS VARCHAR) || '"' ELSE 'null' END
+        || ',"aliases":' || CASE WHEN c_custkey % 2 = 0 THEN '["a","i' || CAST(c_custkey AS VARCHAR) || '"]' ELSE '[]' END || ',"complex_name":null,"complex_identifier":null,"classification":null,"paths":['
+        || coalesce(string_agg(DISTINCT '"' || o_orderstatus || '/' || CAST(o_orderkey % 4 AS VARCHAR) || '"', ',' ORDER BY '"' || o_orderstatus || '/' || CAST(o_orderkey % 4 AS VARCHAR) || '"'), '') || ']}' AS entry
     FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY c_custkey, c_name""")
-def fire_document(spark: SparkSession, sf_dir: str) -> DataFrame:
-    item = F.struct("o_orderdate", "o_orderkey", "o_orderstatus")
-    lists = read(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.sort_array(F.collect_list(item)).alias("items"))
-    joined = read(spark, sf_dir, "customer").join(lists, F.col("c_custkey") == F.col("o_custkey"), "left")
-    shown = F.array_join(F.transform("items", lambda x: F.concat_ws(":", x["o_orderkey"].cast("string"), x["o_orderstatus"])), ", ")
-    return joined.select("c_custkey", "c_name", shown.alias("orders"), F.coalesce(F.size("items"), F.lit(0)).cast("bigint").alias("n"))
+def index_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    even = F.col("c_custkey") % 2 == 0
+    own = F.concat(F.lit("i"), F.col("c_custkey").cast("string"))
+    fires = read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("fire_id"), F.col("c_name").alias("name"), F.lit("ACTIVE").alias("status"), F.when(even, own).alias("identifier"), F.when(even, F.array(own, F.lit("a"))).alias("aliases"))
+    paths = read(spark, sf_dir, "orders").select(F.col("o_custkey").alias("fire_id"), F.concat_ws("/", F.col("o_orderstatus"), (F.col("o_orderkey") % 4).cast("string")).alias("path"))
+    return documents.fire_entries(fires, paths).select("fire_id", F.to_json("entry", {"ignoreNullFields": "false"}).alias("entry"))
+
+
+_KML_BOX = "'<Polygon><gx:drawOrder>' || CAST({order} AS VARCHAR) || '</gx:drawOrder><outerBoundaryIs><LinearRing><coordinates>' || printf('0.0,0.0,0.0 %.1f,0.0,0.0 %.1f,%.1f,0.0 0.0,%.1f,0.0 0.0,0.0,0.0', side, side, side, side) || '</coordinates></LinearRing></outerBoundaryIs></Polygon>'"
+_KML_MARK = "'<Placemark><name>' || {name} || '</name><styleUrl>#' || {style} || '</styleUrl>' || {shape} || '</Placemark>'"
+
+
+@query(f"""
+    WITH r AS (SELECT o_custkey, CAST(1 + o_orderkey % 9 AS DOUBLE) AS side, strftime(timezone('America/Los_Angeles', timezone('UTC', o_orderdate)), '%m/%d %H:%M') AS label,
+        row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rank, least(3, count(*) OVER (PARTITION BY o_custkey)) AS n FROM orders QUALIFY rank <= 3),
+    m AS (SELECT o_custkey, string_agg(CASE WHEN rank = 1 THEN {_KML_MARK.format(name="label || ' Interior'", style="'perimeter-fill'", shape=_KML_BOX.format(order="0"))} ELSE '' END
+        || {_KML_MARK.format(name="label || ' Perimeter'", style="'perimeter-outline-' || CAST(rank AS VARCHAR)", shape=_KML_BOX.format(order="n + 1 - rank"))}, '' ORDER BY rank) AS marks FROM r GROUP BY o_custkey)
+    SELECT c_custkey, '<Folder><name>' || c_name || '</name>' || coalesce(marks, '') || '</Folder>' AS folder FROM customer LEFT JOIN m ON c_custkey = o_custkey""")
+def map_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each customer's folder with the squares of its newest orders."""
+    side = (1 + F.col("o_orderkey") % 9).cast("double")
+    orders = read(spark, sf_dir, "orders").select("o_custkey", F.col("o_orderdate").cast("timestamp").alias("time"), F.struct("o_orderdate", "o_orderkey").alias("seq"), spatial.st_box(F.lit(0.0), F.lit(0.0), side, side).alias("shape"))
+    newest = progression.latest_perimeters(orders, "o_custkey", "seq").groupBy("o_custkey").agg(F.array_sort(F.collect_list(F.struct("rank", S.time_label(F.col("time")).alias("label"), "shape"))).alias("newest"))
+    urls = kml_template.parse_template(kml_template.template_text()).urls
+    joined = read(spark, sf_dir, "customer").join(newest, F.col("c_custkey") == F.col("o_custkey"), "left")
+    return joined.select("c_custkey", kmz.latest_xml(urls, F.col("c_name"), F.lit(None).cast("binary"), F.col("newest")).alias("folder"))
 
 
 # ---- geometry and streams
@@ -525,7 +691,18 @@ def geodesic_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shapes.select("p_partkey", F.round(spatial.st_area_acres("shape"), 3).alias("acres"), F.round(albers, 0).alias("albers_area"), spatial.st_representative_point("shape").alias("point"), F.octet_length(spatial.st_clean("shape")).alias("clean_bytes"))
 
 
-@query()
+@query(f"""
+    WITH b AS ({_BOXES.replace('p_retailprice % 3', 'CAST(floor(p_retailprice) AS BIGINT) % 3')})
+    SELECT p_partkey, shift - side <= 0.5 AS close, CAST(x AS DOUBLE) AS x0, CAST(y AS DOUBLE) AS y0, CAST(x + side AS DOUBLE) AS x1, CAST(y + side AS DOUBLE) AS y1, false AS has_z, true AS is_valid FROM b""")
+def spatial_predicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = _boxes(spark, sf_dir).select("p_partkey", spatial.st_dwithin("a", "b", F.lit(0.5)).alias("close"), spatial.st_bounds("a").alias("b"), spatial.st_has_z("a").alias("has_z"), spatial.st_is_valid("a").alias("is_valid"))
+    return made.select("p_partkey", "close", "b.*", "has_z", "is_valid")
+
+
+@query(f"""
+    WITH b AS ({_BOXES.replace('p_size % 7', 'p_brand, p_size % 7').replace('p_retailprice % 3', '0')}),
+    xs AS (SELECT p_brand, y, side, unnest(range(x, x + side)) AS cx FROM b), cells AS (SELECT DISTINCT p_brand, cx, unnest(range(y, y + side)) AS cy FROM xs)
+    SELECT p_brand, CAST(count(*) AS DOUBLE) AS area FROM cells GROUP BY p_brand""")
 def union_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
     united = spatial.union_by(_boxes(spark, sf_dir), "p_brand", "a")
     return united.select("p_brand", F.round(spatial.st_area("a"), 6).alias("area"))
@@ -544,6 +721,41 @@ def differential_perimeters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grown.select("l_orderkey", "place", F.round(spatial.st_area("shape"), 6).alias("area"))
 
 
+@query(_NESTED + """
+    g AS (SELECT *, max(place) OVER (PARTITION BY l_orderkey) AS last, coalesce(lag(kept) OVER (PARTITION BY l_orderkey ORDER BY place), 0) AS before FROM s),
+    v AS (SELECT l_orderkey, place, kept, before, coalesce(lead(place) OVER (PARTITION BY l_orderkey ORDER BY place) - 1, last) AS representative FROM g WHERE kept > before),
+    r AS (SELECT v.*, nullif(s.l_tax, 0) AS tax FROM v JOIN s ON s.l_orderkey = v.l_orderkey AND s.place = v.representative)
+    SELECT l_orderkey AS fire_id, place AS seq, round((kept - before) / 10000, 8) AS ring, tax AS area_acres, round(tax - coalesce(last_value(tax IGNORE NULLS) OVER (PARTITION BY l_orderkey ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0), 6) AS area_acres_differential FROM r""")
+def differential_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Squares of a hundredth of the quantity in degrees as the perimeters of each order."""
+    half = F.col("l_quantity") / 200
+    place = F.row_number().over(W.partitionBy("l_orderkey").orderBy(*_LINE_ORDER)).cast("bigint")
+    identity = [F.lit("x").alias(c) for c in history.IDENTITY]
+    rows = read(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("fire_id"), place.alias("seq"), *identity, F.nullif(F.col("l_tax"), F.lit(0.0)).alias("area_acres"), spatial.st_box(-half, -half, half, half).alias("geometry"))
+    made = history.differential_history(rows)
+    return made.select("fire_id", "seq", F.round(spatial.st_area("geometry"), 8).alias("ring"), "area_acres", F.round("area_acres_differential", 6).alias("area_acres_differential"))
+
+
+@query("""
+    WITH m AS (SELECT *, CASE WHEN lag(event_type) OVER w IS NOT DISTINCT FROM event_type THEN 0 ELSE 1 END AS fresh FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id)),
+    i AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS island FROM m),
+    g AS (SELECT user_id, island, any_value(event_type) AS kind, max(event_id) AS last, arg_max(ts, event_id) AS time FROM i GROUP BY user_id, island)
+    SELECT user_id AS fire_id, CAST(island AS BIGINT) AS seq, 'wfigs_location' AS source, kind AS source_globalid, CASE WHEN kind = 'error' THEN NULL ELSE CAST(length(kind) AS DOUBLE) END AS incident_size,
+        CAST('2024-01-01' AS TIMESTAMP) AS discovery_time, last AS source_objectid, time AS observation_time, '{"FireDiscoveryDateTime":"1704067200000","GlobalID":" ' || kind || ' ","IncidentSize":"' || CASE WHEN kind = 'error' THEN 'none' ELSE CAST(length(kind) AS VARCHAR) END || '"}' AS source_attributes
+    FROM g""")
+def point_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as the places of incidents: of a run of equal attributes the first row's attributes and the last row's origin."""
+    kind = F.col("event_type")
+    size = F.when(kind == "error", "none").otherwise(F.length(kind).cast("string"))
+    attributes = F.create_map(F.lit("GlobalID"), F.concat(F.lit(" "), kind, F.lit(" ")), F.lit("IncidentSize"), size, F.lit("FireDiscoveryDateTime"), F.lit("1704067200000"))
+    key = F.col("event_id")
+    rows = read(spark, sf_dir, "events").select(F.col("user_id").alias("fire_id"), F.lit("POINT").alias("source"), key.alias("row_seq"), key.alias("object_id"), F.lit(0).alias("serial"), F.lit("p").alias("path"), F.col("ts").cast("timestamp").alias("snapshot_time"), attributes.alias("attributes"), F.lit(None).cast("binary").alias("shape"))
+    identity = rows.select("fire_id", *(F.lit(None).cast("string").alias(c) for c in history.IDENTITY)).distinct()
+    made = history.point_history(rows, identity)
+    times = [F.col(c).cast("timestamp_ntz").alias(c) for c in ("discovery_time", "observation_time")]
+    return made.select("fire_id", "seq", "source", "source_globalid", "incident_size", *times, "source_objectid", "source_attributes")
+
+
 @query("""
     SELECT user_id, ts, event_id, event_type FROM events
     QUALIFY lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) IS DISTINCT FROM event_type""")
