@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -133,44 +137,103 @@ def union_by(rows: DataFrame, key: str, shape: str, every_kind: bool = False) ->
     """``key, shape``: the union of each key's polygons, or with ``every_kind`` of its points and lines too (NULL where there are none). Shapes of a map task unite first, so a key's final task gets one shape a task."""
     kind = rows.schema[key].dataType.simpleString()
 
-    def unite(frame: pd.DataFrame) -> pd.DataFrame:
-        shapes = [G.decode(bytes(w)) for w in frame["shape"] if w is not None]
-        whole = G.union_of_kinds(shapes if every_kind else [G.Geometry([], [], x.polygons) for x in shapes])
-        return pd.DataFrame({"key": frame["key"].iloc[:1], "shape": [None if whole.is_empty else G.encode_all(whole)]})
-
-    def local(frames):
-        for frame in frames:
-            for _, part in frame.groupby("key", dropna=False):
-                yield unite(part)
+    def unite(shapes: list[bytes | None]) -> bytes | None:
+        found = [G.decode(w) for w in shapes if w is not None]
+        whole = G.union_of_kinds(found if every_kind else [G.Geometry([], [], x.polygons) for x in found])
+        return None if whole.is_empty else G.encode_all(whole)
+
+    def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = batch.column(0)
+            numbers = pc.rank(keys, tiebreaker="dense", null_placement="at_start").to_numpy() if batch.num_rows else np.zeros(0, np.int64)
+            held: dict[int, list[int]] = {}
+            for place, number in enumerate(numbers.tolist()):
+                held.setdefault(number, []).append(place)
+            shapes = batch.column(1).to_pylist()
+            united = [shapes[p[0]] if every_kind and len(p) == 1 else unite([shapes[k] for k in p]) for p in held.values()]
+            firsts = pa.array([p[0] for p in held.values()], pa.int64())
+            yield pa.RecordBatch.from_arrays([keys.take(firsts), pa.array(united, pa.binary())], ["key", "shape"])
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in grouped(batches):
+            shapes = group.column("shape").to_pylist()
+            made = shapes[0] if len(shapes) == 1 else unite(shapes)
+            yield pa.RecordBatch.from_arrays([group.column("key").slice(0, 1), pa.array([made], pa.binary())], ["key", "shape"])
 
     flat = rows.select(F.col(key).alias("key"), F.col(shape).alias("shape"))
-    parts = flat.mapInPandas(local, f"key {kind}, shape binary")
-    return parts.groupBy("key").applyInPandas(unite, f"key {kind}, shape binary").withColumnRenamed("key", key).withColumnRenamed("shape", shape)
+    parts = flat.mapInArrow(local, f"key {kind}, shape binary").repartition("key").sortWithinPartitions("key")
+    return parts.mapInArrow(lambda batches: gathered(whole(batches)), f"key {kind}, shape binary").toDF(key, shape)
+
+
+def grouped(batches: Iterator[pa.RecordBatch], key: str = "key") -> Iterator[pa.RecordBatch]:
+    """The rows of each key, whole, from batches in which a key's rows come one after the other."""
+    held: list[pa.RecordBatch] = []
+
+    def rest() -> pa.RecordBatch:
+        return held[0] if len(held) == 1 else pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = batch.column(key)
+        changes = np.zeros(batch.num_rows, dtype=bool)
+        if batch.num_rows > 1:
+            same = pc.equal(keys[1:], keys[:-1])
+            both = pc.and_(pc.is_null(keys[1:]), pc.is_null(keys[:-1]))
+            changes[1:] = ~pc.or_(pc.fill_null(same, False), both).to_numpy(zero_copy_only=False)
+        changes[0] = not held or held[-1].column(key)[-1] != keys[0]
+        begins = np.flatnonzero(changes).tolist()
+        if held and begins:
+            if begins[0]:
+                held.append(batch.slice(0, begins[0]))
+            yield rest()
+            held.clear()
+        elif held:
+            held.append(batch)
+            continue
+        for a, b in zip(begins[:-1], begins[1:]):
+            yield batch.slice(a, b - a)
+        held.append(batch.slice(begins[-1]))
+    if held:
+        yield rest()
+
+
+def gathered(batches: Iterator[pa.RecordBatch], rows: int = 2000) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of that many at least."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held[-1:]) >= rows or len(held) >= rows:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held = []
+    if held and sum(b.num_rows for b in held):
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
 
 def differential(rows: DataFrame, key: str, seq: str, shape: str) -> DataFrame:
     """``key, seq, last_seq, shape, ring, acres, ring_acres`` of the rows whose shape, cut by all later ones, outgrows the one before.
 
     ``shape`` is the cut one, ``ring`` what it adds; ``last_seq`` is the last row before the next that grows, whose attributes go with it. The cut is a scan from the last
-    shape backwards, so a key's rows are folded in one task.
+    shape backwards, so a key's rows are folded in one task; keys pass through it as a sorted stream.
     """
     kinds = [rows.schema[c].dataType.simpleString() for c in (key, seq)]
     columns = ["key", "seq", "last_seq", "shape", "ring", "acres", "ring_acres"]
 
-    def fold(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("seq", kind="stable")
-        corrected = G.suffix_intersections([_area(w) for w in frame["shape"]])
-        grown, out = G.growth_indices(corrected), []
-        for i, following in zip(grown, [*grown[1:], len(frame)]):
-            before = corrected[i - 1] if i else None
-            ring = G.overlay(corrected[i], before, "difference") if before else corrected[i]
-            acres = [G.geodesic_area(a) / SQUARE_METERS_PER_ACRE for a in (corrected[i], ring)]
-            out.append((frame["key"].iloc[0], frame["seq"].iloc[i], frame["seq"].iloc[following - 1], G.encode(corrected[i]), G.encode(ring), *acres))
-        return pd.DataFrame(out, columns=columns)
-
-    flat = rows.select(F.col(key).alias("key"), F.col(seq).alias("seq"), F.col(shape).alias("shape"))
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in grouped(batches):
+            corrected = G.suffix_intersections([_area(w) for w in group.column("shape").to_pylist()])
+            grown, places = G.growth_rings(corrected), []
+            for (i, _), (following, _) in zip(grown, [*grown[1:], (group.num_rows, None)]):
+                places.append((i, following - 1))
+            first, last = (pa.array([p[k] for p in places], pa.int64()) for k in (0, 1))
+            cut, rings = [corrected[i] for i, _ in grown], [ring for _, ring in grown]
+            acres = [pa.array([G.geodesic_area(a) / SQUARE_METERS_PER_ACRE for a in areas], pa.float64()) for areas in (cut, rings)]
+            shapes = [pa.array([G.encode(a) for a in areas], pa.binary()) for areas in (cut, rings)]
+            yield pa.RecordBatch.from_arrays([group.column("key").take(first), group.column("seq").take(first), group.column("seq").take(last), *shapes, *acres], columns)
+
+    flat = rows.select(F.col(key).alias("key"), F.col(seq).alias("seq"), F.col(shape).alias("shape")).repartition("key").sortWithinPartitions("key", "seq")
     schema = f"key {kinds[0]}, seq {kinds[1]}, last_seq {kinds[1]}, shape binary, ring binary, acres double, ring_acres double"
-    made = flat.groupBy("key").applyInPandas(fold, schema)
+    made = flat.mapInArrow(lambda batches: gathered(fold(batches)), schema)
     return made.toDF(key, seq, f"last_{seq}", shape, "ring", "acres", "ring_acres")
 
 
