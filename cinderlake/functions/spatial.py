@@ -237,7 +237,26 @@ def differential(rows: DataFrame, key: str, seq: str, shape: str) -> DataFrame:
     return made.toDF(key, seq, f"last_{seq}", shape, "ring", "acres", "ring_acres")
 
 
+class DifferentialFire:
+    """``differential_fire(TABLE(...) PARTITION BY fire ORDER BY seq)`` over rows of (fire, seq, shape): as ``differential``, for SQL."""
+
+    def __init__(self) -> None:
+        self._rows: list[tuple] = []
+
+    def eval(self, row) -> None:
+        self._rows.append((row[0], row[1], row[2]))
+
+    def terminate(self):
+        corrected = G.suffix_intersections([_area(w) for _, _, w in self._rows])
+        grown = G.growth_rings(corrected)
+        for (i, ring), following in zip(grown, [*(k for k, _ in grown[1:]), len(self._rows)]):
+            acres = [G.geodesic_area(a) / SQUARE_METERS_PER_ACRE for a in (corrected[i], ring)]
+            yield str(self._rows[i][0]), int(self._rows[i][1]), int(self._rows[following - 1][1]), G.encode(corrected[i]), G.encode(ring), *acres
+
+
 def register(spark: SparkSession) -> None:
     """Make the functions known to SQL under their names."""
+    made = F.udtf(DifferentialFire, returnType="fire string, seq bigint, last_seq bigint, shape binary, ring binary, acres double, ring_acres double")
+    spark.udtf.register("differential_fire", made)
     for name in ("st_area", "st_area_acres", "st_bounds", "st_clean", "st_dwithin", "st_has_z", "st_is_valid", "st_length_meters", "st_make_valid", "st_point_within", "st_union_agg", "st_intersection", "st_union", "st_difference", "st_symdifference", "st_distance", "st_transform_3310", "st_representative_point", "st_box"):
         spark.udf.register(name, globals()[name])

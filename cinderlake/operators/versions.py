@@ -10,7 +10,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
@@ -246,3 +246,49 @@ def suffix_minimum(rows: DataFrame, keys: Sequence[str], order: Sequence[str | C
     return rows.withColumn(name, F.when(~absent, F.min(value).over(ahead)))
 
 
+
+
+class ReconcileFire:
+    """``reconcile_fire(TABLE(...) PARTITION BY fire ORDER BY (time, seq))`` over rows of (fire, seq, source, shape, time, preferred), for SQL.
+
+    Gives ``fire, seq, top_seq``: the versions that are left after identical ones merge and the preferred source wins its windows, by the row each began with and the one on top.
+    """
+
+    def __init__(self) -> None:
+        self._rows: list[tuple] = []
+
+    def eval(self, row) -> None:
+        self._rows.append(tuple(row[k] for k in range(6)))
+
+    def terminate(self):
+        micros = lambda t: None if t is None else int(t.timestamp() * 1_000_000)
+        shapes: dict = {}
+        for row in self._rows:
+            shapes.setdefault(row[3], []).append(row)
+        versions: list[list] = []
+        for rows in shapes.values():
+            joined, ranks = merge_identical([(micros(r[4]), r[2] == r[5]) for r in rows])
+            for number in range(max(joined) + 1):
+                own = [(rank, k) for k, (v, rank) in enumerate(zip(joined, ranks)) if v == number]
+                top = rows[max(own)[1]]
+                versions.append([micros(top[4]), rows[min(k for _, k in own)][1], top])
+        versions.sort(key=lambda v: (v[0] is not None, v[0] or 0, v[2][1]))
+        window: list[list] = []
+
+        def left(window: list[list]) -> Iterator[tuple]:
+            both = {"FIRIS", "WFIGS"} <= {v[2][2] for v in window}
+            for _, first, top in window:
+                if not both or top[2] == top[5]:
+                    yield str(top[0]), int(first), int(top[1])
+
+        for version in versions:
+            opened = window[0][0] if window else None
+            if window and (opened is None or version[0] is None or version[0] - opened > TOLERANCE_MICROS):
+                yield from left(window)
+                window = []
+            window.append(version)
+        yield from left(window)
+
+
+def register(spark: SparkSession) -> None:
+    spark.udtf.register("reconcile_fire", F.udtf(ReconcileFire, returnType="fire string, seq bigint, top_seq bigint"))

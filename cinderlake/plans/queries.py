@@ -17,7 +17,7 @@ from ..functions import geometry as G
 from ..functions import scalars as S
 from ..functions import spatial
 from ..config import Feed
-from ..operators import changes, classification, entities, history, progression, records, versions
+from ..operators import changes, classification, entities, history, progression, records, reports, versions
 from ..operators.components import connected_components
 from ..sources import documents, kml_template, kmz
 from ..sources.scratch import materialise, shared_folder
@@ -605,7 +605,16 @@ def index_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT o_custkey, round(sum(o_totalprice), 2) AS total, count(*) AS n FROM orders GROUP BY o_custkey ORDER BY total DESC, o_custkey LIMIT 10""")
 def top_growth_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     totals = read(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.round(F.sum("o_totalprice"), 2).alias("total"), F.count("*").alias("n"))
-    return totals.orderBy(F.desc("total"), "o_custkey").limit(10)
+    return reports.largest(totals, "total", "o_custkey")
+
+
+@query("""
+    WITH l AS (SELECT o_custkey, o_totalprice AS now, lag(o_totalprice) OVER w AS before, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS k FROM orders
+        WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey))
+    SELECT o_custkey, round(now - before, 4) AS growth, round((now - before) / before, 6) AS rate FROM l WHERE k = 1 AND now > before""")
+def fastest_growing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    grown = reports.last_growth(read(spark, sf_dir, "orders"), "o_custkey", ["o_orderdate", "o_orderkey"], "o_totalprice")
+    return grown.select("o_custkey", F.round("growth", 4).alias("growth"), F.round("rate", 6).alias("rate"))
 
 
 @query("""
@@ -622,7 +631,8 @@ def latest_three(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT o_custkey, min(o_orderdate) AS crossed FROM c WHERE total >= 500000 GROUP BY o_custkey""")
 def threshold_crossing(spark: SparkSession, sf_dir: str) -> DataFrame:
     running = F.sum("o_totalprice").over(W.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey").rowsBetween(W.unboundedPreceding, 0))
-    return read(spark, sf_dir, "orders").withColumn("total", running).where("total >= 500000").groupBy("o_custkey").agg(F.min("o_orderdate").alias("crossed"))
+    totals = read(spark, sf_dir, "orders").withColumn("total", running)
+    return reports.first_crossing(totals, "o_custkey", "o_orderdate", "total", 500_000).select("o_custkey", F.col("o_orderdate").alias("crossed"))
 
 
 @query("""
@@ -760,6 +770,11 @@ def point_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT user_id, ts, event_id, event_type FROM events
     QUALIFY lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) IS DISTINCT FROM event_type""")
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events come as four files, one after the other, each a batch of its own that is compared with what the others left."""
     events, work = read(spark, sf_dir, "events"), shared_folder(spark)
-    table = streams.ingest(spark, sf_dir, events.schema, f"{work}/table", f"{work}/checkpoint", "user_id", ["ts", "event_id"], ["event_type"], "events.parquet")
+    day = F.dayofmonth("ts")
+    for part in range(4):
+        of_part = (day > 8 * part) & (day <= 8 * part + 8) if part < 3 else (day > 24)
+        events.where(of_part).coalesce(1).write.mode("append").parquet(f"{work}/in")
+    table = streams.ingest(spark, f"{work}/in", events.schema, f"{work}/table", f"{work}/checkpoint", "user_id", ["ts", "event_id"], ["event_type"], files=1)
     return table.drop("serial")

@@ -44,9 +44,9 @@ def append_changes(batch: DataFrame, serial: int, table: str, key: str, order: S
     changed.write.mode("overwrite").parquet(f"{table}/serial={serial}")
 
 
-def ingest(spark: SparkSession, source: str, schema: T.StructType, table: str, checkpoint: str, key: str, order: Sequence[str], content: Sequence[str], pattern: str = "*.parquet") -> DataFrame:
-    """Take in all files that have come since the last call, and give the whole table."""
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", pattern).parquet(source)
+def ingest(spark: SparkSession, source: str, schema: T.StructType, table: str, checkpoint: str, key: str, order: Sequence[str], content: Sequence[str], pattern: str = "*.parquet", files: int = 1000) -> DataFrame:
+    """Take in all files that have come since the last call, at most ``files`` in a batch and the oldest first, and give the whole table."""
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", pattern).option("maxFilesPerTrigger", files).parquet(source)
     writer = stream.writeStream.foreachBatch(lambda batch, number: append_changes(batch, number, table, key, order, content))
     writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
     kinds = T.StructType([f for f in schema.fields if f.name in (key, *order, *content)] + [T.StructField("serial", T.LongType())])
