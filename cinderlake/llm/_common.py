@@ -1,4 +1,4 @@
-"""Shared helpers: the cluster's shared folder, byte blocks of Arrow texts, and vectorised substring hashes.
+"""Shared helpers: byte blocks of Arrow texts, and vectorised substring hashes.
 
 Texts are worked on as UTF-8 bytes in numpy. A *block* is a run of consecutive documents of a record batch holding
 about ``BLOCK_BYTES`` bytes (a longer document is a block of its own, it is never cut), which bounds a worker's memory.
@@ -6,18 +6,17 @@ about ``BLOCK_BYTES`` bytes (a longer document is a block of its own, it is neve
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+
+from ..sources.scratch import cleaned, discard, materialise, shared_folder
+
+__all__ = ["Block", "Substrings", "Words", "blocks", "cleaned", "discard", "fold_case", "free_name", "materialise", "mix", "normalise", "powers", "runs", "shared_folder", "text_buffers", "words_of"]
 
 BLOCK_BYTES = 1 << 19
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
@@ -33,51 +32,6 @@ for _low, _high in ((48, 58), (65, 91), (97, 123), (128, 256)):
     IS_WORD[_low:_high] = True
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder's path below ``spark.checkpoint.dir``.
-
-    Where the setting is missing, a local master gets a temporary folder; a cluster has no safe default, so it raises.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith(("local[", "local")) or spark.sparkContext.master.startswith("local-"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = getattr(spark, "_cinderlake_scratch", None)
-        if base is None:
-            base = spark._cinderlake_scratch = tempfile.mkdtemp(prefix="cinderlake-")
-    return f"{base.rstrip('/')}/cinderlake-{uuid.uuid4().hex}"
-
-
-@contextmanager
-def cleaned(spark: SparkSession) -> Iterator[None]:
-    """Jobs in here drop their shuffle files when they end, as what they write is read back instead."""
-    before = spark.conf.get(_CLEANUP, None)
-    spark.conf.set(_CLEANUP, "true")
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(_CLEANUP)
-        else:
-            spark.conf.set(_CLEANUP, before)
-
-
-def materialise(frame: DataFrame) -> DataFrame:
-    """Write a frame to the shared folder and read it back: it survives the loss of executors and cuts lineage."""
-    path = shared_folder(frame.sparkSession)
-    with cleaned(frame.sparkSession):
-        frame.write.parquet(path)
-    return frame.sparkSession.read.schema(frame.schema).parquet(path)
-
-
-def discard(frame: DataFrame) -> None:
-    """Delete the files of a materialised frame that nothing will read again."""
-    spark = frame.sparkSession
-    for folder in {name.rsplit("/", 1)[0] for name in frame.inputFiles()}:
-        place = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
-
-
 def free_name(name: str, taken: list[str]) -> str:
     """The name, or with the first number that no column of ``taken`` has (capitals are no difference)."""
     lower, number = {c.lower() for c in taken}, 1
