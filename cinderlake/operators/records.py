@@ -58,7 +58,8 @@ def raw_mission(value: Column) -> Column:
     noise = "|".join(S.NOISE_WORDS)
     kept = F.regexp_replace(name, rf"(?i)(-(?:{noise}))+$", "")
     base = F.when(kept.rlike(rf"(?i)^(?:{noise})$"), name).otherwise(kept)
-    return F.when(F.size(body) > 0, F.struct(name.alias("name"), base.alias("base_name")))
+    # most rows have no mission, so they are let through before anything is split
+    return F.when(value.isNotNull(), F.when(F.size(body) > 0, F.struct(name.alias("name"), base.alias("base_name"))))
 
 
 def fire_records(layer: DataFrame, feed: Feed) -> DataFrame:
@@ -68,12 +69,14 @@ def fire_records(layer: DataFrame, feed: Feed) -> DataFrame:
     columns and ``geom, srid, path, row``. Unknown status text is an error of the row's evaluation.
     """
     mission = S.text(_cell(layer, feed.mission_column))
-    parts = layer.select(
+    # each cell's rules are costly, and a filter on their results would evaluate them twice: a row of one struct is generated, so they are evaluated once
+    cells = F.struct(
         "path", "row", "srid", F.col("geom").alias("shape"), object_id(layer).alias("object_id"), attributes(layer).alias("attributes"), S.status(_cell(layer, feed.status_column)).alias("status"),
         S.text(_cell(layer, feed.name_column)).alias("recorded"), mission.alias("mission"), raw_mission(mission).alias("m"), _time(layer, feed.time_column).alias("observed_at"),
         S.text(_cell(layer, feed.state_column)).alias("origin_state"), S.text(_cell(layer, feed.fips_column)).alias("origin_fips"),
         F.array_sort(F.array_distinct(F.array_compact(F.array(*(S.identifier(_cell(layer, c)) for c in feed.identifier_columns)).cast("array<string>")))).alias("identifiers"),
     )
+    parts = layer.select(F.explode(F.array(cells)).alias("c")).select("c.*")
     names = F.array(*(S.fire_name(F.col(c)) for c in ("recorded", "m.name", "m.base_name")))
     named = parts.withColumn("name", F.coalesce("recorded", "m.name")).withColumn("names", F.array_sort(F.array_distinct(F.array_compact(names))))
     kept = named.where("status is not null and name is not null").withColumns({"feed": F.lit(feed.name), "source": F.lit(feed.source_kind)})
