@@ -19,8 +19,8 @@ _PACIFIC = "America/Los_Angeles"
 
 
 def numeric(value: Column) -> Column:
-    """A number from text; NULL where it is none."""
-    return value.try_cast("double")
+    """A number from text or numbers; NULL where it is none, as a boolean is."""
+    return F.when(F.typeof(value) != "boolean", value.try_cast("double"))
 
 
 def text(value: Column) -> Column:
