@@ -7,10 +7,15 @@ distance to the parent; a query follows only the edges within ``radius`` of its
 One tree over a corpus would be searched nearly whole, so trees are sharded: each of 64 keys is a sample of 16 of a signature's bits (every bit is in four
 keys, and two keys share one bit at most), and documents that agree in a key share its shard. Pairs within 15 bits share one for certain, as sixteen of the
 keys have no bit in common; a pair at ``RADIUS`` shares one with probability 0.95. Every signature is a query in each of its 64 shards, and a pair that shares several
-counts in the first. Where the trees fit ``BROADCAST_BYTES`` they are built once and broadcast; beyond that each task receives its shards by a
+counts in the first. Pairs that share none are found by a second, exact search (``rest_links``), so that no pair within the radius is left out. Where the trees fit ``BROADCAST_BYTES`` they are built once and broadcast; beyond that each task receives its shards by a
 shuffle, builds their trees and answers the shard's own queries. Both ways find the same links. A shard of more than ``HOT_ROWS`` signatures is cut into parts, and
 each pair of parts is a task of its own, so nothing is capped and no task holds more than two parts.
 
+The second search takes a signature as eight words of 32 bits. Two signatures within 44 bits differ by at most 5 bits in one of the first five words, or by at most 4 in one of the other
+three: else they would be 5 * 6 + 3 * 5 = 45 bits apart. A word's bits are the points of an affine space over the field of two elements, of dimension 5 or 4, and as many points as that lie in a
+hyperplane. So the two agree in all 16 bits beside some hyperplane, and those that agree there are compared: 400 half-spaces, of which each brings a pair of unlike signatures together with
+probability 1/65,536. Signatures are cut into blocks of about ``BLOCK_ROWS``; a task compares a block with itself or with another, in some of the half-spaces.
+
 Documents with the same signature count once in the trees. Links are counted where they are found; within a task only the edges of a spanning forest
 leave it, and classes are the connected components over all shards.
 
@@ -37,6 +42,7 @@ SIGNATURE_BITS = 256
 RADIUS = 44
 BROADCAST_BYTES = 32 << 20
 HOT_ROWS = 1 << 17
+BLOCK_ROWS = 1 << 19
 #: Bytes of the list of hot shards that go to every task; more than fit make ``HOT_ROWS`` larger.
 _HOT_BYTES = 64 << 20
 _KEY_BITS = 16
@@ -272,6 +278,86 @@ def cell_links(cell: np.ndarray, side: np.ndarray, signature: np.ndarray, radius
     return *spanning.edges(), links
 
 
+def half_spaces(radius: int) -> list[tuple[int, int, int]]:
+    """(word, bits, mask): two signatures within ``radius`` differ by at most ``bits`` in some word of 32 bits, and there in no bit of one of its masks.
+
+    Above 47 bits the masks would have fewer bits than can tell signatures apart: one empty mask compares all with all.
+    """
+    if radius > 47:
+        return [(0, 32, 0)]
+    out = []
+    for word in range(8):
+        bits = (radius + 1) // 8 - 1 + (word < (radius + 1) % 8)
+        if bits < 0:
+            continue
+        points = [1 << bits | i % (1 << bits) for i in range(32)]
+        # the mask of all points is needed only where no bit may differ
+        normals = [v for v in range(1, 2 << bits) if v != 1 << bits or not bits]
+        out += [(word, bits, sum(1 << i for i, point in enumerate(points) if (point & v).bit_count() & 1)) for v in normals]
+    return out
+
+
+def _run_ends(values: np.ndarray) -> np.ndarray:
+    """For each place in the sorted values, where its run of equal ones ends."""
+    ends = np.append(np.flatnonzero(values[1:] != values[:-1]) + 1, len(values))
+    return np.repeat(ends, np.diff(ends, prepend=0))
+
+
+def rest_links(signature: np.ndarray, side: np.ndarray, radius: int, part: int = 0, parts: int = 1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the pairs within ``radius`` that share no shard: the edges of a spanning forest, and each item's number of links.
+
+    Pairs are those of different sides, or all where there is one side. Of the half-spaces each ``parts``-th is searched, from number ``part``. A pair counts in the first
+    word with few enough bits, and there in the first half-space.
+    """
+    size = len(signature)
+    spanning, links = Spanning(size), np.zeros(size, dtype=np.int64)
+    crossed = bool(side.any())
+    spaces = half_spaces(radius)
+    least = {word: bits for word, bits, _ in spaces}
+    words = np.ascontiguousarray(np.ascontiguousarray(signature).view(np.uint32).T)
+    for number in range(part, len(spaces), parts) if size > 1 else ():
+        word, bits, mask = spaces[number]
+        earlier = [np.uint32(before) for other, _, before in spaces[:number] if other == word]
+        own = words[word]
+        # items with the same lower half of the word share a shard: they are kept apart from each other, as those of one side are
+        kind = side if crossed else own & np.uint32(0xFFFF)
+        run = (own & np.uint32(mask)).astype(np.uint64) << np.uint64(16) | kind.astype(np.uint64)
+        order = np.argsort(run)
+        run, own = run[order], own[order]
+        begin = _run_ends(run)
+        count = _run_ends(run >> np.uint64(16)) - begin
+        some = np.flatnonzero(count)
+        begin, count = begin[some], count[some]
+        ends = np.cumsum(count)
+        cut = 0
+        while cut < len(some):
+            stop = max(cut + 1, int(np.searchsorted(ends, (ends[cut - 1] if cut else 0) + _FRONTIER, side="right")))
+            c = count[cut:stop]
+            a = np.repeat(some[cut:stop], c)
+            b = np.arange(len(a)) + np.repeat(begin[cut:stop] - (np.cumsum(c) - c), c)
+            cut = stop
+            few = np.bitwise_count(own[a] ^ own[b]) <= bits
+            a, b = order[a[few]], order[b[few]]
+            apart = signature[a] ^ signature[b]
+            near = (np.bitwise_count(apart).sum(axis=1, dtype=np.int64) <= radius) & (apart.view(np.uint16) != 0).all(axis=1)
+            a, b, apart = a[near], b[near], apart[near]
+            there = np.bitwise_count(apart.view(np.uint32))
+            first = np.ones(len(a), dtype=bool)
+            for other in range(word):
+                first &= there[:, other] > least.get(other, -1)
+            a, b, apart = a[first], b[first], apart[first]
+            for before in earlier if len(a) else ():
+                first = (apart.view(np.uint32)[:, word] & before) != 0
+                a, b, apart = a[first], b[first], apart[first]
+            if not len(a):
+                continue
+            rest = (_keys(apart) != 0).all(axis=1)
+            a, b = a[rest], b[rest]
+            links += np.bincount(a, minlength=size) + np.bincount(b, minlength=size)
+            spanning.add(a, b)
+    return *spanning.edges(), links
+
+
 def _parts_of(batch: pa.RecordBatch) -> np.ndarray:
     return np.stack([batch.column(f"s{i}").to_numpy(zero_copy_only=False).view(np.uint64) for i in range(_PARTS)], axis=1)
 
@@ -341,6 +427,25 @@ def _hot_shards(nodes: DataFrame, count: int, hot_rows: int) -> tuple[np.ndarray
     return shard, -(-4 * n // (3 * hot_rows))
 
 
+def _whole_cells(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.Table]:
+    """Tables of at least so many rows, but the last, that end where a cell ends."""
+    held: list[pa.RecordBatch] = []
+    rows = 0
+    for batch in batches:
+        cell = batch.column("place").to_numpy() >> 1
+        if not len(cell):
+            continue
+        if held and rows >= least:
+            cut = int(np.searchsorted(cell, held[-1].column("place")[-1].as_py() >> 1, side="right"))
+            if cut < len(cell):
+                yield pa.Table.from_batches([*held, batch.slice(0, cut)])
+                held, rows, batch = [], 0, batch.slice(cut)
+        held.append(batch)
+        rows += batch.num_rows
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def _by_shuffle(nodes: DataFrame, count: int, radius: int, hot_rows: int) -> DataFrame:
     hot, parts = _hot_shards(nodes, count, hot_rows)
 
@@ -373,25 +478,7 @@ def _by_shuffle(nodes: DataFrame, count: int, radius: int, hot_rows: int) -> Dat
     cells = rows.repartition(F.shiftright("place", 1)).sortWithinPartitions("place")
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def whole() -> Iterator[pa.Table]:
-            """Tables that end where a cell ends."""
-            held: list[pa.RecordBatch] = []
-            rows = 0
-            for batch in batches:
-                cell = batch.column("place").to_numpy() >> 1
-                if not len(cell):
-                    continue
-                if held and rows >= 1 << 17:
-                    cut = int(np.searchsorted(cell, held[-1].column("place")[-1].as_py() >> 1, side="right"))
-                    if cut < len(cell):
-                        yield pa.Table.from_batches([*held, batch.slice(0, cut)])
-                        held, rows, batch = [], 0, batch.slice(cut)
-                held.append(batch)
-                rows += batch.num_rows
-            if held:
-                yield pa.Table.from_batches(held)
-
-        for table in whole():
+        for table in _whole_cells(batches, 1 << 17):
             batch = table.combine_chunks().to_batches()[0]
             place = batch.column("place").to_numpy()
             a, b, links = cell_links(place >> 1, place & 1, _parts_of(batch), radius)
@@ -401,6 +488,46 @@ def _by_shuffle(nodes: DataFrame, count: int, radius: int, hot_rows: int) -> Dat
     return cells.mapInArrow(apply, _LINKS)
 
 
+def _by_half_spaces(nodes: DataFrame, count: int, radius: int, block_rows: int) -> DataFrame:
+    """The links of pairs that share no shard. A cell is a pair of blocks, and a part of the half-spaces where there are few blocks."""
+    many = max(1, -(-count // block_rows))
+    parts = max(1, min(16 // many, count >> 12))
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for low in range(0, whole.num_rows, _SPREAD):
+                batch = whole.slice(low, _SPREAD)
+                code = _parts_of(batch)
+                own = (mix(code[:, 0] ^ code[:, 1] ^ code[:, 2] ^ code[:, 3]) % np.uint64(many)).astype(np.int64)[:, None, None]
+                other, part = np.arange(many)[None, :, None], np.arange(parts)[None, None, :]
+                high = np.maximum(own, other)
+                cell = (high * (high + 1) // 2 + np.minimum(own, other)) * parts + part
+                place = ((cell << 1) | (own > other)).ravel()
+                order = np.argsort(place, kind="stable")
+                picked = batch.take(pa.array(order // (many * parts)))
+                yield pa.RecordBatch.from_arrays([pa.array(place[order]), *picked.columns], ["place", *batch.schema.names])
+
+    rows = nodes.select("k", "s0", "s1", "s2", "s3").mapInArrow(spread, "place bigint, k bigint, s0 bigint, s1 bigint, s2 bigint, s3 bigint")
+    # each cell is a task
+    cells = rows.repartitionById(parts * many * (many + 1) // 2, F.shiftright("place", 1).cast("int")).sortWithinPartitions("place")
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _whole_cells(batches, 1):
+            place = table.column("place").to_numpy()
+            for begin, end in _runs(place >> 1):
+                batch = table.slice(begin, end - begin).combine_chunks().to_batches()[0]
+                a, b, links = rest_links(_parts_of(batch), place[begin:end] & 1, radius, int(place[begin] >> 1) % parts, parts)
+                some = np.flatnonzero(links)
+                yield _rows(batch.column("k"), a, b, some, links[some])
+
+    return cells.mapInArrow(apply, _LINKS)
+
+
+def _runs(values: np.ndarray) -> Iterator[tuple[int, int]]:
+    ends = np.unique(_run_ends(values))
+    return zip(np.append(0, ends[:-1]).tolist(), ends.tolist())
+
+
 def _classified(docs: DataFrame, radius: int, id_column: str, text_column: str, broadcast_bytes: int, hot_rows: int) -> tuple[DataFrame, DataFrame]:
     """``node, class, links, n`` of each row with words (``n`` rows have its signature), and whether rows share id and text: (node, times)."""
     table = materialise(signature_table(docs, id_column, text_column))
@@ -408,7 +535,10 @@ def _classified(docs: DataFrame, radius: int, id_column: str, text_column: str,
     nodes = materialise(table.groupBy(*parts).agg(F.min("node").alias("node"), F.count("*").alias("n")).withColumn("k", F.monotonically_increasing_id()))
     count = nodes.count()
     small = count * (KEYS * (20 + 2) + 8 * _PARTS + 32) <= broadcast_bytes
-    found = materialise(_by_broadcast(nodes, radius) if small else _by_shuffle(nodes, count, radius, hot_rows))
+    found = _by_broadcast(nodes, radius) if small else _by_shuffle(nodes, count, radius, hot_rows)
+    if radius >= SIGNATURE_BITS // _KEY_BITS:  # below, all pairs share a shard
+        found = found.unionByName(_by_half_spaces(nodes, count, radius, BLOCK_ROWS))
+    found = materialise(found)
     linked = connected_components(found.where("b is not null"), materialise).select(F.col("node").alias("k"), "component")
     links = found.where("b is null").groupBy(F.col("a").alias("k")).agg(F.sum("links").alias("links"))
     near = materialise(nodes.join(linked, "k").join(links, "k").select("k", "node", "component", "links"))

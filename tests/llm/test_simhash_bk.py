@@ -85,6 +85,47 @@ def test_a_hot_shard_is_cut_into_parts(make):
         assert got == {i: (keeper, links) for (i, _), (keeper, links, _) in want.items()}
 
 
+def test_pairs_that_share_no_shard_are_linked(make, monkeypatch):
+    r = random.Random(3)
+    rows = [(i, prose(i, 120), "en", "s") for i in range(60)]
+    rows += [(100 + i, near_copy(rows[i % 60][1], 0.1, r), "en", "s") for i in range(240)]
+    want, pairs = brute_classes(rows)
+    keys = S._keys(signatures_of([t for _, t, *_ in rows])[0])
+    assert sum(not (keys[a] == keys[b]).any() for a, b in pairs) >= 3
+    grouped = {i: (keeper, links) for (i, _), (keeper, links, size) in want.items() if size > 1}
+    for settings, block_rows in (({"broadcast_bytes": 1 << 30}, 1 << 19), ({"broadcast_bytes": 0}, 1 << 19), ({"broadcast_bytes": 0, "hot_rows": 3}, 120)):
+        monkeypatch.setattr(S, "BLOCK_ROWS", block_rows)
+        assert {x.doc_id: (x.class_doc_id, x.n_links) for x in S.classes(make(rows), **settings).collect()} == grouped
+
+
+@pytest.mark.parametrize("radius", [16, 30, 44, 47, 50])
+def test_rest_links_are_those_of_pairs_that_share_no_shard(radius):
+    r = np.random.default_rng(radius)
+    code = r.integers(0, 2**63, (150, 4)).astype(np.uint64)
+    flips = np.zeros((150, S.SIGNATURE_BITS), np.uint8)
+    near = [code]
+    for distance in (3, radius - 2, radius, radius, radius, radius + 1):
+        flips[:] = 0
+        np.put_along_axis(flips, r.random(flips.shape).argsort(axis=1)[:, :distance], 1, axis=1)
+        near.append(code ^ np.ascontiguousarray(np.packbits(flips, axis=1)).view(np.uint64))
+    code = np.concatenate(near)
+    keys, side = S._keys(code), np.arange(len(code)) % 2
+    want, crossed = np.zeros(len(code), np.int64), np.zeros(len(code), np.int64)
+    for a in range(len(code)):
+        linked = (S.hamming(code[a : a + 1], code) <= radius) & ~(keys == keys[a]).any(axis=1)
+        want[a], crossed[a] = linked.sum(), (linked & (side != side[a])).sum()
+    assert (want.sum() > 20) == (radius > 30)
+    assert (sum(S.rest_links(code, 0 * side, radius, part, 3)[2] for part in range(3)) == want).all()
+    order = np.argsort(side, kind="stable")
+    assert (S.rest_links(code[order], side[order], radius)[2] == crossed[order]).all()
+
+
+def test_half_spaces_of_the_radius_have_sixteen_bits():
+    spaces = S.half_spaces(S.RADIUS)
+    assert len(spaces) == 400 and {mask.bit_count() for _, _, mask in spaces} == {16}
+    assert sum(bits + 1 for bits in {word: bits for word, bits, _ in spaces}.values()) == S.RADIUS + 1
+
+
 @pytest.mark.parametrize(("distance", "least"), [(15, 1.0), (24, 0.99), (32, 0.98), (40, 0.94), (44, 0.9)])
 def test_pairs_within_the_radius_share_a_shard(distance, least):
     r = np.random.default_rng(distance)
