@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import batches as B
 from . import geometry as G
 from .scalars import SQUARE_METERS_PER_ACRE
 
@@ -20,66 +21,69 @@ def _area(wkb: bytes | None) -> G.Area | None:
     return None if wkb is None else G.decode(bytes(wkb)).polygons
 
 
-@F.pandas_udf(T.DoubleType())
-def st_area(shape: pd.Series) -> pd.Series:
+def _floats(column: pa.Array) -> np.ndarray:
+    """NULL is NaN."""
+    return pc.fill_null(column.cast(pa.float64()), float("nan")).to_numpy(zero_copy_only=False)
+
+
+def _struct(values: np.ndarray, names: tuple[str, ...]) -> pa.Array:
+    return pa.StructArray.from_arrays([B.nullable(values[:, k]) for k in range(len(names))], list(names))
+
+
+@F.arrow_udf(T.DoubleType())
+def st_area(shape: pa.Array) -> pa.Array:
     """Planar area; NULL for NULL."""
-    return shape.map(lambda w: None if w is None else G.area_of(_area(w)))
+    return B.nullable(B.areas(shape))
 
 
-@F.pandas_udf(T.DoubleType())
-def st_area_acres(shape: pd.Series) -> pd.Series:
-    return shape.map(lambda w: None if w is None else G.geodesic_area(_area(w)) / SQUARE_METERS_PER_ACRE)
+@F.arrow_udf(T.DoubleType())
+def st_area_acres(shape: pa.Array) -> pa.Array:
+    return B.nullable(B.geodesic_areas(shape) / SQUARE_METERS_PER_ACRE)
 
 
-@F.pandas_udf(T.BinaryType())
-def st_clean(shape: pd.Series) -> pd.Series:
+@F.arrow_udf(T.BinaryType())
+def st_clean(shape: pa.Array) -> pa.Array:
     """A cleaned perimeter; anything without polygons stays as it is."""
-    return shape.map(lambda w: w if w is None or not _area(w) else G.encode(G.clean(_area(w))))
+    return B.cleaned(shape)
 
 
 def _overlay(name: str):
-    def apply(left: pd.Series, right: pd.Series) -> pd.Series:
-        out = []
-        for a, b in zip(left, right):
-            area = None if a is None or b is None else G.overlay(_area(a), _area(b), name)
-            out.append(G.encode(area) if area else None)
-        return pd.Series(out, dtype=object)
+    def apply(left: pa.Array, right: pa.Array) -> pa.Array:
+        return B.overlays(left, right, name)
 
-    apply.__annotations__ = {"left": pd.Series, "right": pd.Series, "return": pd.Series}
-    return F.pandas_udf(apply, T.BinaryType())
+    apply.__annotations__ = {"left": pa.Array, "right": pa.Array, "return": pa.Array}
+    return F.arrow_udf(apply, T.BinaryType())
 
 
 #: NULL where nothing of polygonal area is left.
 st_intersection, st_union, st_difference, st_symdifference = map(_overlay, ("intersection", "union", "difference", "symmetric_difference"))
 
 
-@F.pandas_udf(T.DoubleType())
-def st_distance(left: pd.Series, right: pd.Series) -> pd.Series:
-    return pd.Series([None if a is None or b is None else G.distance(G.decode(bytes(a)), G.decode(bytes(b))) for a, b in zip(left, right)], dtype="float64")
+@F.arrow_udf(T.DoubleType())
+def st_distance(left: pa.Array, right: pa.Array) -> pa.Array:
+    return B.nullable(B.distances(left, right))
 
 
-@F.pandas_udf(T.BooleanType())
-def st_dwithin(left: pd.Series, right: pd.Series, most: pd.Series) -> pd.Series:
+@F.arrow_udf(T.BooleanType())
+def st_dwithin(left: pa.Array, right: pa.Array, most: pa.Array) -> pa.Array:
     """Whether two shapes are at most so far apart; empty shapes are not."""
-    rows = zip(left, right, most)
-    return pd.Series([None if a is None or b is None else G.dwithin(G.decode(bytes(a)), G.decode(bytes(b)), d) for a, b, d in rows], dtype=object)
+    return B.within(left, right, _floats(most))
 
 
-@F.pandas_udf(T.StructType([T.StructField(c, T.DoubleType()) for c in ("x0", "y0", "x1", "y1")]))
-def st_bounds(shape: pd.Series) -> pd.DataFrame:
+@F.arrow_udf(T.StructType([T.StructField(c, T.DoubleType()) for c in ("x0", "y0", "x1", "y1")]))
+def st_bounds(shape: pa.Array) -> pa.Array:
     """Least and greatest x and y; NULL for NULL and empty shapes."""
-    found = [None if w is None else G.bounds(G.decode(bytes(w))) for w in shape]
-    return pd.DataFrame([f or (None,) * 4 for f in found], columns=["x0", "y0", "x1", "y1"], dtype="float64")
+    return _struct(B.bounds(shape), ("x0", "y0", "x1", "y1"))
 
 
-@F.pandas_udf(T.BooleanType())
-def st_has_z(shape: pd.Series) -> pd.Series:
-    return shape.map(lambda w: None if w is None else G.has_z(bytes(w)))
+@F.arrow_udf(T.BooleanType())
+def st_has_z(shape: pa.Array) -> pa.Array:
+    return pa.array([None if w is None else G.has_z(w) for w in pc.binary_slice(shape, 0, 5).to_pylist()], pa.bool_())
 
 
-@F.pandas_udf(T.BooleanType())
-def st_is_valid(shape: pd.Series) -> pd.Series:
-    return shape.map(lambda w: None if w is None else G.is_valid(_area(w)))
+@F.arrow_udf(T.BooleanType())
+def st_is_valid(shape: pa.Array) -> pa.Array:
+    return B.valid(shape)
 
 
 @F.pandas_udf(T.BinaryType())
@@ -94,16 +98,15 @@ def st_length_meters(shape: pd.Series) -> pd.Series:
     return shape.map(lambda w: None if w is None else G.geodesic_length(G.decode(bytes(w)).lines))
 
 
-@F.pandas_udf(T.BinaryType())
-def st_transform_3310(shape: pd.Series) -> pd.Series:
+@F.arrow_udf(T.BinaryType())
+def st_transform_3310(shape: pa.Array) -> pa.Array:
     """Points, lines and polygons of degrees in metres of California Albers; heights stay."""
-    return shape.map(lambda w: None if w is None else G.map_coordinates(bytes(w), G.to_california_albers))
+    return B.map_coordinates(shape, G.to_california_albers)
 
 
-@F.pandas_udf(T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())]))
-def st_representative_point(shape: pd.Series) -> pd.DataFrame:
-    points = [G.representative_point(a) if (a := _area(w)) else (None, None) for w in shape]
-    return pd.DataFrame(points, columns=["x", "y"], dtype="float64")
+@F.arrow_udf(T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())]))
+def st_representative_point(shape: pa.Array) -> pa.Array:
+    return _struct(B.representative_points(shape), ("x", "y"))
 
 
 @F.pandas_udf(T.BinaryType())
@@ -121,9 +124,9 @@ def st_point_within(shape: pd.Series) -> pd.Series:
     return shape.map(point)
 
 
-@F.pandas_udf(T.BinaryType())
-def st_box(x0: pd.Series, y0: pd.Series, x1: pd.Series, y1: pd.Series) -> pd.Series:
-    return pd.Series([G.encode(G.box(*row)) for row in zip(x0, y0, x1, y1)], dtype=object)
+@F.arrow_udf(T.BinaryType())
+def st_box(x0: pa.Array, y0: pa.Array, x1: pa.Array, y1: pa.Array) -> pa.Array:
+    return B.boxes(np.stack([_floats(c) for c in (x0, y0, x1, y1)], axis=1))
 
 
 @F.pandas_udf(T.BinaryType())
