@@ -6,6 +6,7 @@ import struct
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from cinderlake.functions import batches as B
 from cinderlake.functions import geometry as G
@@ -26,6 +27,38 @@ def shapes() -> list[bytes | None]:
     return [out[k] for k in r.permutation(len(out))]
 
 
+def each(column, one):
+    return [None if w is None else one(w) for w in column.to_pylist()]
+
+
+def same(got, want):
+    assert len(got) == len(want)
+    for g, w in zip(got, want):
+        assert (w is None and (g is None or np.isnan(g).all())) or np.allclose(g, w, rtol=1e-12, atol=1e-12)
+
+
+# a slice too, whose buffers begin elsewhere
+@pytest.fixture(params=[0, 7])
+def column(request):
+    return pa.array(shapes(), pa.binary())[request.param :]
+
+
+def test_measures(column):
+    polygons = lambda w: G.decode(w).polygons
+    same(B.areas(column), each(column, lambda w: G.area_of(polygons(w))))
+    same(B.geodesic_areas(column), each(column, lambda w: G.geodesic_area(polygons(w))))
+    same(B.bounds(column), each(column, lambda w: G.bounds(G.decode(w))))
+    same(B.representative_points(column), each(column, lambda w: G.representative_point(polygons(w)) if polygons(w) else None))
+    assert B.valid(column).to_pylist() == each(column, lambda w: G.is_valid(polygons(w)))
+    assert B.cleaned(column).to_pylist() == each(column, lambda w: G.encode(G.clean(polygons(w))) if polygons(w) else w)
+    assert B.map_coordinates(column, lambda p: p * 2 + 1).to_pylist() == each(column, lambda w: G.map_coordinates(w, lambda p: p * 2 + 1))
+    border = G.decode(G.encode_line(np.array([(0.5, -1.0), (0.5, 0.4), (1.7, 0.4)])))
+    far = [np.inf if w is None else G.distance(G.decode(w), border) for w in column.to_pylist()]
+    same(B.distances_to(column, border), far)
+    area = G.decode(G.encode(G.box(0.9, 0.9, 1.1, 1.1)))
+    same(B.distances_to(column, area), [np.inf if w is None else G.distance(G.decode(w), area) for w in column.to_pylist()])
+
+
 def test_overlays():
     # all ways in which two intervals lie to each other, on both axes
     sides = [(a, b) for a in range(4) for b in range(a + 1, 4)]
