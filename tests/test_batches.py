@@ -59,6 +59,13 @@ def test_measures(column):
     same(B.distances_to(column, area), [np.inf if w is None else G.distance(G.decode(w), area) for w in column.to_pylist()])
 
 
+def test_pairs(column):
+    other = column.take(pa.array(np.random.default_rng(2).permutation(len(column))))
+    pairs = [None if a is None or b is None else (G.decode(a), G.decode(b)) for a, b in zip(column.to_pylist(), other.to_pylist())]
+    same(B.distances(column, other), [p and G.distance(*p) for p in pairs])
+    assert B.within(column, other, np.full(len(column), 0.5)).to_pylist() == [p and G.dwithin(*p, 0.5) for p in pairs]
+
+
 def test_overlays():
     # all ways in which two intervals lie to each other, on both axes
     sides = [(a, b) for a in range(4) for b in range(a + 1, 4)]
