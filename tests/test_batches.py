@@ -92,3 +92,14 @@ def test_a_column_of_rectangles_takes_few_overlays(monkeypatch):
     r = np.random.default_rng(3)
     a, b = (B.boxes(np.concatenate([low := r.uniform(0, 1, (5000, 2)), low + r.uniform(0.1, 1, (5000, 2))], axis=1)) for _ in range(2))
     assert B.overlays(a, b, "union").null_count == 0 and len(calls) <= 169
+
+
+def test_a_border_is_compared_with_whole_columns(monkeypatch):
+    r = np.random.default_rng(4)
+    low = r.uniform(-5, 5, (5000, 2))
+    column = B.boxes(np.concatenate([low, low + r.uniform(0.1, 1, (5000, 2))], axis=1))
+    border = G.decode(G.encode_line(r.uniform(-5, 5, (4, 2))))
+    want = [G.distance(G.decode(w), border) for w in column.slice(0, 200).to_pylist()]
+    monkeypatch.setattr(G, "distance", None)
+    got = B.distances_to(column, border)
+    assert np.allclose(got[:200], want, rtol=1e-12, atol=1e-12) and len(got) == 5000 and (got == 0).any()
