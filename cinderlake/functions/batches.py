@@ -459,3 +459,41 @@ def representative_points(column: pa.Array) -> np.ndarray:
         if value is not None:
             out[place] = value
     return out
+
+
+# ---- growth
+
+
+def nested_growth(sides: np.ndarray, begins: np.ndarray, quick: np.ndarray) -> tuple[np.ndarray, np.ndarray, pa.Array, pa.Array, np.ndarray]:
+    """For the groups marked ``quick``, rows of rectangles one after the other: the rows whose rectangle, cut by all later ones of its group, outgrows the one before; the
+    last row before the next of those; the cut rectangles and what they add. Last come the groups that are not clear, which are left out.
+    """
+    ends, sizes = begins[1:], np.diff(begins)
+    cut, alive, odd = sides.copy(), np.zeros(len(sides), dtype=bool), np.zeros(len(sizes), dtype=bool)
+    open_ = np.flatnonzero(quick)
+    alive[ends[open_] - 1] = True
+    step = 1
+    while len(open_ := open_[(sizes[open_] > step) & ~odd[open_]]):
+        at = ends[open_] - 1 - step
+        later = cut[at + 1]
+        odd[open_[alive[at + 1] & ~clear(sides[at], later)]] = True
+        cut[at] = np.concatenate([np.maximum(sides[at, :2], later[:, :2]), np.minimum(sides[at, 2:], later[:, 2:])], axis=1)
+        alive[at] = alive[at + 1] & (cut[at, :2] < cut[at, 2:]).all(axis=1)
+        step += 1
+    group = np.repeat(np.arange(len(sizes)), sizes)
+    alive &= ~odd[group]
+    before = np.zeros(len(sides), dtype=bool)
+    before[1:] = alive[:-1] & (group[1:] == group[:-1])
+    same = np.zeros(len(sides), dtype=bool)
+    same[1:] = (cut[1:] == cut[:-1]).all(axis=1)
+    grown = alive & ~(before & same)
+    first = np.flatnonzero(grown)
+    last = ends[group[first]] - 1
+    if len(first) > 1:
+        follows = group[first[1:]] == group[first[:-1]]
+        last[:-1][follows] = first[1:][follows] - 1
+    alone = ~before[first]
+    blocks = [(np.flatnonzero(alone), box_rows(cut[first[alone]]))]
+    places, later = np.flatnonzero(~alone), first[~alone]
+    blocks += [(places[p], rows) for p, rows in rectangle_overlays(cut[later], cut[later - 1], "difference")]
+    return first, last, boxes(cut[first]), column_of(len(first), blocks, {}), odd
