@@ -10,6 +10,7 @@ import pytest
 
 from cinderlake.functions import batches as B
 from cinderlake.functions import geometry as G
+from cinderlake.functions import spatial
 
 
 def shapes() -> list[bytes | None]:
@@ -103,3 +104,12 @@ def test_a_border_is_compared_with_whole_columns(monkeypatch):
     monkeypatch.setattr(G, "distance", None)
     got = B.distances_to(column, border)
     assert np.allclose(got[:200], want, rtol=1e-12, atol=1e-12) and len(got) == 5000 and (got == 0).any()
+
+
+def test_equal_shapes_of_a_key_unite_once(spark):
+    rows = [(k % 3, bytearray(G.encode(G.box(k % 5, 0, k % 5 + 1, 1 + k % 3)))) for k in range(30_000)] + [(9, None)]
+    frame = spark.createDataFrame(rows, "k int, shape binary").coalesce(1)
+    got = {r.k: r.shape and G.area_of(G.decode(bytes(r.shape)).polygons) for r in spatial.union_by(frame, "k", "shape").collect()}
+    assert got == {0: 5, 1: 10, 2: 15, 9: None}
+    table = pa.table({"key": [k for k, _ in rows], "shape": pa.array([s and bytes(s) for _, s in rows], pa.binary())})
+    assert spatial.distinct(table).num_rows == 16
