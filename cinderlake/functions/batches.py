@@ -221,6 +221,21 @@ def bounds(column: pa.Array) -> np.ndarray:
     return _numbers(column, many, lambda w: G.bounds(G.decode(w)), 4)
 
 
+def first_vertices(column: pa.Array) -> np.ndarray:
+    """A vertex of each shape: a polygon's, else a line's or a point; NaN for NULL and empty shapes."""
+
+    def many(layout: Layout) -> np.ndarray:
+        runs = [p[0] for p in layout.polygons] + layout.lines
+        return layout.coordinates(runs[0])[:, 0] if runs else np.full((len(layout.places), 2), np.nan)
+
+    def one(wkb: bytes) -> np.ndarray | None:
+        found = G.decode(wkb)
+        chains = [p[0] for p in found.polygons] + found.lines + [p[None] for p in found.points]
+        return chains[0][0] if chains else None
+
+    return _numbers(column, many, one, 2)
+
+
 def map_coordinates(column: pa.Array, change: Callable[[np.ndarray], np.ndarray]) -> pa.Array:
     found, others = layouts(column)
     blocks, rest = [], dict(_once(column, others, lambda w: G.map_coordinates(w, change)))

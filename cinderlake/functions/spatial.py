@@ -76,6 +76,19 @@ def st_bounds(shape: pa.Array) -> pa.Array:
     return _struct(B.bounds(shape), ("x0", "y0", "x1", "y1"))
 
 
+@F.arrow_udf(T.StructType([*(T.StructField(c, T.DoubleType()) for c in ("x0", "y0", "x1", "y1")), T.StructField("plain", T.BooleanType())]))
+def st_sides(shape: pa.Array) -> pa.Array:
+    """As ``st_bounds``, and whether the shape is that rectangle itself."""
+    found = B.bounds(shape)
+    return pa.StructArray.from_arrays([*(B.nullable(found[:, k]) for k in range(4)), pa.array(B.rectangles(shape)[0])], ["x0", "y0", "x1", "y1", "plain"])
+
+
+@F.arrow_udf(T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())]))
+def st_first_vertex(shape: pa.Array) -> pa.Array:
+    """A point of the shape's border, or the point or line's first; NULL for NULL and empty shapes."""
+    return _struct(B.first_vertices(shape), ("x", "y"))
+
+
 @F.arrow_udf(T.BooleanType())
 def st_has_z(shape: pa.Array) -> pa.Array:
     return pa.array([None if w is None else G.has_z(w) for w in pc.binary_slice(shape, 0, 5).to_pylist()], pa.bool_())

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import NEAR_DEGREES, OUTLIER_DEGREES
@@ -39,29 +39,70 @@ def proximity_pairs(points: DataFrame, distance: float, row_id: str = "row_seq",
     return left.join(right, near & (gap <= distance**2)).select(F.col("l.id").alias("a"), F.col("r.id").alias("b"))
 
 
-def shape_pairs(shapes: DataFrame, distance: float, row_id: str = "row_seq", shape: str = "shape", group: str | None = None, cell: float = 0.5) -> DataFrame:
-    """``a, b`` (a < b) of shapes at most ``distance`` apart, and in the same group if one is named; NULL and empty shapes are near nothing.
-
-    Boxes, widened by half the distance, fall into the square cells that they touch; a pair of boxes is looked at in the first cell that both touch, so each pair
-    comes once. Shapes themselves join only the pairs whose boxes are near.
-    """
-    named = [F.col(group).alias("g")] if group else [F.lit(0).alias("g")]
-    boxed = shapes.select(F.col(row_id).alias("id"), *named, spatial.st_bounds(F.col(shape)).alias("b")).where("b.x0 is not null and g is not null")
+def _boxed(shapes: DataFrame, distance: float, row_id: str, shape: str, group: str | None, cell: float) -> DataFrame:
+    """``id, g, x0, y0, x1, y1, plain`` of shapes that are not empty, and the cells that their boxes, widened by half the distance, touch; ``plain`` shapes are their boxes."""
+    named = F.col(group).alias("g") if group else F.lit(0).alias("g")
+    measured = shapes.select(F.col(row_id).alias("id"), named, spatial.st_sides(F.col(shape)).alias("b")).select("id", "g", "b.*").where("x0 is not null and g is not null")
     at = lambda value: F.floor(value / cell).cast("bigint")
     half = distance / 2
-    spans = boxed.select("id", "g", "b", *(at(F.col(f"b.{c}") + (half if c[1] == "1" else -half)).alias(f"c{c}") for c in ("x0", "y0", "x1", "y1")))
-    spread = spans.withColumn("cx", F.explode(F.sequence("cx0", "cx1"))).withColumn("cy", F.explode(F.sequence("cy0", "cy1")))
-    left, right = spread.alias("l"), spread.alias("r")
-    met = (F.col("l.g") == F.col("r.g")) & (F.col("l.cx") == F.col("r.cx")) & (F.col("l.cy") == F.col("r.cy")) & (F.col("l.id") < F.col("r.id"))
+    return measured.select("*", *(at(F.col(c) + (half if c[1] == "1" else -half)).alias(f"c{c}") for c in ("x0", "y0", "x1", "y1")))
+
+
+def _in_cells(boxed: DataFrame) -> DataFrame:
+    return boxed.withColumn("cx", F.explode(F.sequence("cx0", "cx1"))).withColumn("cy", F.explode(F.sequence("cy0", "cy1")))
+
+
+def _met(left: DataFrame, right: DataFrame, distance: float, order: Column) -> DataFrame:
+    """Pairs (as ``l`` and ``r``) of boxes within the distance, each in the first cell that both touch, with ``sure``: whether boxes alone tell that the shapes are near.
+
+    Sides are not broadcast, as their size in memory is many times that of the files they come from.
+    """
+    l, r = left.alias("l"), right.hint("merge").alias("r")  # noqa: E741
+    met = (F.col("l.g") == F.col("r.g")) & (F.col("l.cx") == F.col("r.cx")) & (F.col("l.cy") == F.col("r.cy")) & order
     first = (F.col("l.cx") == F.greatest("l.cx0", "r.cx0")) & (F.col("l.cy") == F.greatest("l.cy0", "r.cy0"))
-    close = F.lit(True)
-    for axis in ("x", "y"):
-        close = close & (F.col(f"l.b.{axis}0") - F.col(f"r.b.{axis}1") <= distance) & (F.col(f"r.b.{axis}0") - F.col(f"l.b.{axis}1") <= distance)
-    pairs = left.join(right, met & first & close).select(F.col("l.id").alias("a"), F.col("r.id").alias("b"))
+    gap = [F.greatest(F.lit(0.0), F.col(f"l.{a}0") - F.col(f"r.{a}1"), F.col(f"r.{a}0") - F.col(f"l.{a}1")) for a in ("x", "y")]
+    both = F.col("l.plain") & F.col("r.plain")
+    close = F.when(both, F.hypot(*gap) <= distance).otherwise((gap[0] <= distance) & (gap[1] <= distance))
+    return l.join(r, met & first & close).withColumn("sure", both)
+
+
+def _confirmed(pairs: DataFrame, shapes: DataFrame, distance: float, row_id: str, shape: str) -> DataFrame:
+    """``a, b`` of pairs whose boxes tell, and of those whose shapes are near."""
     own = shapes.select(F.col(row_id).alias("__id"), F.col(shape).alias("__shape"))
+    unsure = pairs.where(~F.col("sure")).select("a", "b")
     for end in ("a", "b"):
-        pairs = pairs.join(own.withColumnRenamed("__shape", f"__{end}"), F.col(end) == F.col("__id")).drop("__id")
-    return pairs.where(spatial.st_dwithin("__a", "__b", F.lit(float(distance)))).select("a", "b")
+        unsure = unsure.join(own.withColumnRenamed("__shape", f"__{end}").hint("merge"), F.col(end) == F.col("__id")).drop("__id")
+    return pairs.where("sure").select("a", "b").unionAll(unsure.where(spatial.st_dwithin("__a", "__b", F.lit(float(distance)))).select("a", "b"))
+
+
+def shape_pairs(shapes: DataFrame, distance: float, row_id: str = "row_seq", shape: str = "shape", group: str | None = None, cell: float = 0.5) -> DataFrame:
+    """``a, b`` (a < b) of shapes at most ``distance`` apart, and in the same group if one is named; NULL and empty shapes are near nothing.
+
+    Boxes, widened by half the distance, fall into the square cells that they touch; a pair of boxes is looked at in the first cell that both touch, so each pair
+    comes once. Rectangles are compared there; other shapes join only the pairs whose boxes are near. The pairs grow with the square of a group's density.
+    """
+    spread = _in_cells(_boxed(shapes, distance, row_id, shape, group, cell))
+    pairs = _met(spread, spread, distance, F.col("l.id") < F.col("r.id")).select(F.col("l.id").alias("a"), F.col("r.id").alias("b"), "sure")
+    return _confirmed(pairs, shapes, distance, row_id, shape)
+
+
+def near_any(shapes: DataFrame, distance: float, row_id: str = "row_seq", shape: str = "shape", group: str | None = None) -> DataFrame:
+    """``id`` of the shapes that have another of their group within ``distance``; the same as the ends of ``shape_pairs`` without all its pairs.
+
+    A vertex of each shape falls into a cell whose diagonal is the distance, so two shapes of one cell are near. What is alone in its cell, at most one shape a
+    cell, is compared with the shapes around it: each shape meets a bounded number of them, however dense the group is.
+    """
+    side = distance / 1.5  # a diagonal of less than the distance, so that rounding does not matter
+    named = F.col(group).alias("g") if group else F.lit(0).alias("g")
+    placed = shapes.select(F.col(row_id).alias("id"), named, spatial.st_first_vertex(F.col(shape)).alias("p")).where("p.x is not null and g is not null")
+    cells = placed.select("id", "g", F.floor(F.col("p.x") / side).cast("bigint").alias("px"), F.floor(F.col("p.y") / side).cast("bigint").alias("py"))
+    counted = cells.groupBy("g", "px", "py").agg(F.count("*").alias("n"), F.min("id").alias("id"))
+    alone = counted.where("n = 1").select(F.col("id").alias("__alone"))
+    crowded = cells.join(counted.where("n > 1").select("g", "px", "py").hint("merge"), ["g", "px", "py"], "left_semi").select("id")
+    boxed = _boxed(shapes, distance, row_id, shape, group, max(0.5, distance))
+    few = boxed.join(alone.hint("merge"), F.col("id") == F.col("__alone"), "left_semi")
+    met = _met(_in_cells(few), _in_cells(boxed), distance, F.col("l.id") != F.col("r.id")).select(F.col("l.id").alias("a"), F.col("r.id").alias("b"), "sure")
+    return crowded.unionAll(_confirmed(met, shapes, distance, row_id, shape).select("a")).toDF("id").distinct()
 
 
 def _distinct_shapes(rows: DataFrame, group: str, row_id: str, shape: str) -> tuple[DataFrame, DataFrame]:
@@ -69,7 +110,7 @@ def _distinct_shapes(rows: DataFrame, group: str, row_id: str, shape: str) -> tu
     digest = F.sha2(F.col(shape), 256)
     keyed = rows.where(F.col(shape).isNotNull() & (F.octet_length(shape) > 9)).select(F.col(group).alias("g"), F.col(row_id).alias("a"), digest.alias("d"), F.col(shape).alias("shape"))
     first = keyed.groupBy("g", "d").agg(F.min("a").alias("b"), F.min_by("shape", "a").alias("shape"), F.count("*").alias("n"))
-    return first.select("g", F.col("b").alias("row_seq"), "shape", "n"), keyed.select("g", "a", "d").join(first.select("g", "d", "b"), ["g", "d"]).select("g", "a", "b")
+    return first.select("g", F.col("b").alias("row_seq"), "shape", "n"), keyed.select("g", "a", "d").join(first.select("g", "d", "b").hint("merge"), ["g", "d"]).select("g", "a", "b")
 
 
 def name_edges(records: DataFrame, distance: float = NEAR_DEGREES, row_id: str = "row_seq", shape: str = "shape") -> DataFrame:
@@ -99,10 +140,9 @@ def fire_entities(rows: DataFrame) -> DataFrame:
 def distant_fires(rows: DataFrame, distance: float = OUTLIER_DEGREES) -> DataFrame:
     """``fire_id`` of fires of which some row lies further than ``distance`` from all others, or has no shape while another has one."""
     shapes, copies = _distinct_shapes(rows, "fire_id", "row_seq", "shape")
-    pairs = shape_pairs(shapes, distance, group="g")
-    near = pairs.select("a").unionAll(pairs.select("b")).unionAll(shapes.where("n > 1").select("row_seq")).toDF("b").distinct()
-    matched = copies.join(near, "b", "left_semi").select(F.col("a").alias("row_seq"), F.lit(True).alias("near"))
-    marked = rows.select("fire_id", "row_seq", F.col("shape").isNotNull().alias("has")).join(matched, "row_seq", "left")
+    near = near_any(shapes, distance, group="g").unionAll(shapes.where("n > 1").select("row_seq")).toDF("b").distinct()
+    matched = copies.join(near.hint("merge"), "b", "left_semi").select(F.col("a").alias("row_seq"), F.lit(True).alias("near"))
+    marked = rows.select("fire_id", "row_seq", F.col("shape").isNotNull().alias("has")).join(matched.hint("merge"), "row_seq", "left")
     counted = marked.groupBy("fire_id").agg(F.sum(F.col("has").cast("int")).alias("shapes"), F.sum((F.col("has") & F.col("near").isNull()).cast("int")).alias("alone"), F.sum((~F.col("has")).cast("int")).alias("bare"))
     return counted.where("(shapes >= 2 and alone > 0) or (shapes >= 1 and bare > 0)").select("fire_id")
 
